@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cuefold.llm import chat_format, token_count, url_filter
+from cuefold.llm import chat_format, packing, token_count, token_file, url_filter
 from cuefold.llm.storage import table
 
 
@@ -27,10 +27,20 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_chats(rows))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file.token_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_token_counts": op2_token_counts,
     "op3_chat_formatting": op3_chat_formatting,
+    "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_token_files": op6_token_files,
 }
 
 ORACLES: dict[str, str] = {"op1_url_filters": url_filter.oracle()}
