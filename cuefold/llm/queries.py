@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cuefold.llm import chat_format, packing, token_count, token_file, url_filter
+from cuefold.llm import chat_format, exact_dedup, mixing, packing, token_count, token_file, url_filter
 from cuefold.llm.storage import table
 
 
@@ -27,6 +27,10 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_chats(rows))
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -35,12 +39,18 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.token_digests(table(spark, sf_dir, "documents"))
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_token_counts": op2_token_counts,
     "op3_chat_formatting": op3_chat_formatting,
+    "op4_source_mixing": op4_source_mixing,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_token_files": op6_token_files,
+    "op7_exact_dedup": op7_exact_dedup,
 }
 
-ORACLES: dict[str, str] = {"op1_url_filters": url_filter.oracle()}
+ORACLES: dict[str, str] = {"op1_url_filters": url_filter.oracle(), "op7_exact_dedup": exact_dedup.oracle()}
