@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cuefold.llm import chat_format, exact_dedup, mixing, packing, token_count, token_file, url_filter
+from cuefold.llm import chat_format, exact_dedup, mixing, packing, simhash, token_count, token_file, url_filter
 from cuefold.llm.storage import table
 
 
@@ -43,6 +43,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_token_counts": op2_token_counts,
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_token_files": op6_token_files,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
 
 ORACLES: dict[str, str] = {"op1_url_filters": url_filter.oracle(), "op7_exact_dedup": exact_dedup.oracle()}
