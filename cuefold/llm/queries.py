@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cuefold.llm import chat_format, exact_dedup, mixing, packing, simhash, token_count, token_file, url_filter
+from cuefold.llm import chat_format, exact_dedup, mixing, packing, simhash, token_count, token_file, topk, toxicity, url_filter
 from cuefold.llm.storage import table
 
 
@@ -47,6 +47,15 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_token_counts": op2_token_counts,
@@ -56,6 +65,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_files": op6_token_files,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_exact_top_k": op9_exact_top_k,
+    "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {"op1_url_filters": url_filter.oracle(), "op7_exact_dedup": exact_dedup.oracle()}
+ORACLES: dict[str, str] = {"op1_url_filters": url_filter.oracle(), "op7_exact_dedup": exact_dedup.oracle(), "op9_exact_top_k": topk.oracle()}
