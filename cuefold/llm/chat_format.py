@@ -4,7 +4,7 @@ A conversation is rendered whole: for each turn the mark, the role, the mark, th
 Inside roles and texts a backslash goes after every backslash and after the first character of every
 control string, so no text can forge a mark and unescaping gives the text back. The rendering is encoded
 once, with offsets. Spans of assistant texts and spans of tokens are both sorted, so each turn's tokens
-are found by binary search, and the mask holds, for each such token, the part of it inside the turn.
+are found by binary search, and the mask holds the run of them with the characters inside the turn.
 
 Defined results: a null text is empty, a null role is an empty role; turns are ordered by turn (null
 first), then role, then text; repeated rows are turns of their own; an empty table gives an empty one.
@@ -13,9 +13,9 @@ first), then role, then text; repeated rows are turns of their own; an empty tab
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -58,26 +58,25 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     return [(unescape(fields[i]), unescape(fields[i + 1])) for i in range(0, len(fields), 2)]
 
 
-def mask(spans: list[tuple[int, int]], starts: list[int], ends: list[int]) -> list[tuple[int, int, int]]:
-    """(token, start, end) for each token that overlaps a span, with the characters inside it. Offsets ascend."""
+def mask(spans: list[tuple[int, int]], starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """(first token, last token, start, end): runs of tokens that overlap a span, with the characters inside it.
+    Token offsets ascend. A run ends where characters between two tokens belong to neither."""
     found = []
     for a, b in spans:
-        first = bisect_right(ends, a)
-        for k in range(first, bisect_left(starts, b, first)):
-            lo, hi = max(a, starts[k]), min(b, ends[k])
-            if lo < hi:
-                found.append((k, lo, hi))
+        first, stop = np.searchsorted(ends, a, "right"), np.searchsorted(starts, b, "left")
+        if first >= stop:
+            continue
+        gaps = first + 1 + np.flatnonzero(starts[first + 1 : stop] > ends[first : stop - 1])
+        for lo, hi in zip([first, *gaps], [*gaps, stop], strict=True):
+            start, end = max(a, int(starts[lo])), min(b, int(ends[hi - 1]))
+            if start < end:
+                found.append((int(lo), int(hi) - 1, start, end))
     return found
 
 
-def masked_text(formatted: str, found: list[tuple[int, int, int]]) -> str:
-    """All characters under the mask, each once, unescaped. A character that several tokens spell is under each."""
-    out, at = [], 0
-    for _, lo, hi in found:
-        if hi > at:
-            out.append(formatted[max(lo, at) : hi])
-            at = hi
-    return unescape("".join(out))
+def masked_text(formatted: str, found: list[tuple[int, int, int, int]]) -> str:
+    """All characters under the mask, each once, unescaped."""
+    return unescape("".join(formatted[start:end] for _, _, start, end in found))
 
 
 _tokenizers: dict[str, object] = {}
@@ -95,7 +94,7 @@ def _tokenizer(vocabulary: str):
 
 
 def format_chats(conversations: DataFrame, vocabulary: str = VOCABULARY, learned=LEARNED_ROLES) -> DataFrame:
-    """One row per conversation: conv_id, formatted, ids, mask (token, start, end of what is learned)."""
+    """One row per conversation: conv_id, formatted, ids, mask (runs of tokens to learn: first, last, start, end)."""
     c = conversations
     turns = c.select(
         c["conv_id"].alias("conv_id"), c["turn"].cast("long").alias("turn"),
@@ -104,27 +103,28 @@ def format_chats(conversations: DataFrame, vocabulary: str = VOCABULARY, learned
     kind = turns.schema["conv_id"].dataType.simpleString()
     whole = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
     whole = whole.select("conv_id", F.transform("turns", lambda t: t["role"]).alias("roles"), F.transform("turns", lambda t: t["text"]).alias("texts"))
-    span = pa.struct([("token", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
+    names = ("first", "last", "start", "end")
+    run = pa.struct([(n, pa.int32()) for n in names])
 
     def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(vocabulary)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 32):
+                part = batch.slice(at, 32)
                 texts, ids, masks = [], [], []
                 for roles, said in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
                     text, spans = render(list(zip(roles, said, strict=True)), learned)
                     encoded = tokenizer.encode(text, add_special_tokens=False)
-                    starts, ends = zip(*encoded.offsets, strict=True)
+                    offsets = np.array(encoded.offsets, np.int64)
                     texts.append(text)
-                    ids.append(encoded.ids)
-                    masks.append([{"token": k, "start": a, "end": b} for k, a, b in mask(spans, starts, ends)])
+                    ids.append(np.array(encoded.ids, np.int32))
+                    masks.append([dict(zip(names, m, strict=True)) for m in mask(spans, offsets[:, 0], offsets[:, 1])])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(texts, pa.string()), pa.array(ids, pa.list_(pa.int32())), pa.array(masks, pa.list_(span))],
+                    [part.column(0), pa.array(texts, pa.string()), pa.array(ids, pa.list_(pa.int32())), pa.array(masks, pa.list_(run))],
                     ["conv_id", "formatted", "ids", "mask"],
                 )
 
-    return whole.mapInArrow(formatted, f"conv_id {kind}, formatted string, ids array<int>, mask array<struct<token:int,start:int,end:int>>")
+    return whole.mapInArrow(formatted, f"conv_id {kind}, formatted string, ids array<int>, mask array<struct<first:int,last:int,start:int,end:int>>")
 
 
 def read_back(chats: DataFrame) -> DataFrame:
@@ -137,7 +137,7 @@ def read_back(chats: DataFrame) -> DataFrame:
             rows = []
             for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 turns = parse(text)
-                loss = masked_text(text, [(m["token"], m["start"], m["end"]) for m in found])
+                loss = masked_text(text, [tuple(m.values()) for m in found])
                 rows.append((len(turns), sha("".join(f"{role}\n{said}\n" for role, said in turns)), len(loss), sha(loss), len(text)))
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
             columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
