@@ -35,7 +35,8 @@ from cuefold.llm.storage import written
 FIT_ROWS = 20_000
 MAX_TERMS = 2_000
 THRESHOLD = 0.3
-PREFIXES = (3, 4, 5, 6)
+PREFIXES = (4, 5, 6, 7, 8)
+MAX_WEIGHT = 8.0
 CACHED = 400_000
 
 # The grammar's seed words.
@@ -239,7 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     usual = (F.col("t") + F.col("c")) * (sums[1] / (sums[0] + sums[1]))
     told = counts.withColumn("odds", odds).where((F.col("t") >= max(4.0, 0.01 * sums[1])) & (F.col("odds") >= 2.5) & (F.col("t") - usual >= 4 * F.sqrt(usual)))
     terms = told.orderBy(F.desc("odds"), "term").limit(MAX_TERMS).select("term", "odds").collect()
-    weights = {r.term: min(4.0, r.odds) for r in terms}
+    weights = {r.term: min(MAX_WEIGHT, r.odds) for r in terms}
     model = Model({t[1:]: w for t, w in weights.items() if t[0] == "="}, {t[1:]: w for t, w in weights.items() if t[0] == "^"})
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
