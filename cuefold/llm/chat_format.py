@@ -147,3 +147,18 @@ def read_back(chats: DataFrame) -> DataFrame:
 
     schema = f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     return chats.select("conv_id", "formatted", "mask").mapInArrow(digests, schema)
+
+
+def oracle() -> str:
+    """What read_back gives for the table conversations and conversation -1, in DuckDB."""
+    times = lambda column, s: f"(length({column}) - length(replace({column}, '{s}', ''))) // {len(s)}"
+    controls = ("\\", "<|", "<s>", "</s>", "<<SYS>>", "<</SYS>>", "[INST]", "[/INST]")
+    longer = lambda column: " + ".join([f"length({column})", *[times(column, s) for s in controls]])
+    return f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum({2 * len(MARK)} + {longer("role")} + {longer("text")}) + {len(MARK)} AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id"""

@@ -69,4 +69,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {"op1_url_filters": url_filter.oracle(), "op7_exact_dedup": exact_dedup.oracle(), "op9_exact_top_k": topk.oracle()}
+ORACLES: dict[str, str] = {
+    "op1_url_filters": url_filter.oracle(),
+    "op3_chat_formatting": chat_format.oracle(),
+    "op7_exact_dedup": exact_dedup.oracle(),
+    "op9_exact_top_k": topk.oracle(),
+}
