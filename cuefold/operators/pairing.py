@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cuefold.functions import ids
+from cuefold.operators.numbering import numbered
+from cuefold.storage import written
+
+MAX_BROADCAST = 500_000
 
 
 def identified(files: DataFrame, extensions: tuple[str, ...], path_col: str = "path") -> DataFrame:
@@ -17,9 +21,7 @@ def identified(files: DataFrame, extensions: tuple[str, ...], path_col: str = "p
 def pairs(audio: DataFrame, subtitles: DataFrame) -> DataFrame:
     """pair_index (from 1, in natural order of the audio's name), yt_id, audio, subtitle."""
     both = audio.select("yt_id", F.col("path").alias("audio")).join(subtitles.select("yt_id", F.col("path").alias("subtitle")), "yt_id")
-    # numbered by a listing of files: one row for each pair
-    order = Window.orderBy(ids.natural_key(F.col("audio")), "audio")
-    return both.select(F.row_number().over(order).alias("pair_index"), "yt_id", "audio", "subtitle")
+    return numbered(both, [ids.natural_key(F.col("audio")), F.col("audio")], "pair_index").select("pair_index", "yt_id", "audio", "subtitle")
 
 
 def orphans(audio: DataFrame, subtitles: DataFrame) -> DataFrame:
@@ -101,9 +103,14 @@ def term_matches(docs: DataFrame, terms: DataFrame, doc_id: str, text_col: str,
     anchor = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
     t = t.withColumn("_anchor", anchor)
     d = docs.select(F.col(doc_id).alias("_doc"), F.col(text_col).alias("_text")).where(F.col("_text").isNotNull())
-    long_ = t.where(F.col("_anchor").isNotNull())
+    long_, short = t.where(F.col("_anchor").isNotNull()), t.where(F.col("_anchor").isNull())
     tokens = d.select("_doc", F.explode(F.array_distinct(F.split("_text", " "))).alias("_anchor"))
-    met = tokens.join(long_, "_anchor").select("_doc", "_id", "_term").join(d, "_doc").where(F.contains("_text", F.col("_term")))
-    short = t.where(F.col("_anchor").isNull())
+    met = written(tokens.join(_small(long_), "_anchor").select("_doc", "_id", "_term"), "anchors")
+    met = d.join(_small(met), "_doc").where(F.contains("_text", F.col("_term")))
     plain = d.join(short, F.contains(F.col("_text"), F.col("_term")))
     return met.select("_doc", "_id").unionByName(plain.select("_doc", "_id")).select(F.col("_doc").alias(doc_id), F.col("_id").alias(term_id))
+
+
+def _small(rows: DataFrame, most: int = MAX_BROADCAST) -> DataFrame:
+    """rows, to be broadcast where there are `most` at most, so that texts aren't shuffled."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows

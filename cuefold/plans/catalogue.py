@@ -14,7 +14,9 @@ from cuefold.operators import cues as C
 from cuefold.operators import metrics as M
 from cuefold.operators import pairing as P
 from cuefold.operators import split as H
+from cuefold.operators.numbering import numbered
 from cuefold.plans import views as V
+from cuefold.storage import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -232,10 +234,9 @@ def video_id(spark, sf_dir):
 
 @query(f"""WITH n AS ({_NAMES}), k AS (SELECT page_id, list_transform(regexp_extract_all(lower(regexp_replace(path, '^.*/', '')), '([0-9]+|[^0-9]+)'),
   lambda t: CASE WHEN regexp_matches(t, '^[0-9]+$') THEN '0' || lpad(t, 20, '0') ELSE '1' || t END) AS key FROM n)
-SELECT page_id, CAST(row_number() OVER (ORDER BY key, page_id) AS INTEGER) AS place FROM k""")
+SELECT page_id, row_number() OVER (ORDER BY key, page_id) AS place FROM k""")
 def natural_sort(spark, sf_dir):
-    order = Window.orderBy(ids.natural_key(F.col("path")), "page_id")
-    return _names(spark, sf_dir).select("page_id", F.row_number().over(order).alias("place"))
+    return numbered(_names(spark, sf_dir), [ids.natural_key(F.col("path")), F.col("page_id")], "place").select("page_id", "place")
 
 
 # Joins
@@ -246,7 +247,7 @@ def _identified(spark, sf_dir):
     return P.identified(audio, ids.AUDIO_EXTENSIONS), P.identified(srt, (".srt",))
 
 
-@query(f"""WITH {V.FILES} SELECT CAST(row_number() OVER (ORDER BY CAST(regexp_extract(a.path, 'EP([0-9]+)', 1) AS INTEGER), a.path) AS INTEGER) AS pair_index, yt_id, a.path AS audio, s.path AS subtitle
+@query(f"""WITH {V.FILES} SELECT row_number() OVER (ORDER BY CAST(regexp_extract(a.path, 'EP([0-9]+)', 1) AS INTEGER), a.path) AS pair_index, yt_id, a.path AS audio, s.path AS subtitle
 FROM audio a JOIN srt s USING (yt_id)""")
 def pair_inner(spark, sf_dir):
     return P.pairs(*_identified(spark, sf_dir))
@@ -483,7 +484,8 @@ def prompt_build(spark, sf_dir):
 SELECT count(*) AS n_sidecar, count(*) AS n_rows, count(*) FILTER (s.sentence = e.transcript) AS n_equal, count(*) = count(*) FILTER (s.sentence = e.transcript) AS aligned FROM e JOIN s USING (pos)""")
 def sidecar_zip_align(spark, sf_dir):
     """A sidecar in which every 17th sentence differs."""
-    rows = _split(spark, sf_dir).where("split = 'eval'").select(F.row_number().over(Window.orderBy("pos")).alias("pos"), F.col("transcript").alias("sentence"))
+    rows = _split(spark, sf_dir).where("split = 'eval'").select("pos", F.col("transcript").alias("sentence"))
+    rows = written(numbered(rows.withColumnRenamed("pos", "at"), [F.col("at")], "pos").drop("at"), "held")
     sidecar = rows.withColumn("sentence", F.when(F.col("pos") % 17 == 0, F.concat("sentence", F.lit("x"))).otherwise(F.col("sentence")))
     return M.aligned(sidecar, rows)
 
