@@ -1,47 +1,12 @@
-"""Tables that cut lineage, in the folder all executors share."""
+"""The shared tables of cuefold.storage, and the driver's tables."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-_own: dict[str, str] = {}
-_written: list[tuple[SparkSession, str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; in local mode a temporary one where that is unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _own.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="cuefold-"))
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: computed once, safe from lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cuefold-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    if not _written:
-        atexit.register(release)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
+from cuefold.storage import release, shared_dir, written
 
-def release() -> None:
-    """Delete the tables that this process has written. Their DataFrames can't be read afterwards."""
-    while _written:
-        spark, path = _written.pop()
-        try:
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-        except Exception:  # the session has ended
-            return
+__all__ = ["release", "shared_dir", "table", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
