@@ -111,3 +111,12 @@ def test_padding(spark):
     got = {(r.b, tuple(r.labels)) for r in arrays.pad_and_mask(rows, "b", "labels", 7).collect()}
     assert got == {(0, (1, -100)), (0, (1, 2)), (1, (7, -100)), (1, (8, 9))}
     assert spark.range(1).select(arrays.unmask(F.array(F.lit(1), F.lit(-100)), 0).alias("x")).first().x == [1, 0]
+
+
+def test_numbered_rows_follow_the_order(spark):
+    from cuefold.operators.numbering import numbered
+
+    rows = spark.range(1000).withColumn("k", (F.col("id") * 7919) % 1000).repartition(5)
+    got = numbered(rows, [F.col("k")], "n").collect()
+    assert len(got) == 1000 and all(r.n == r.k + 1 for r in got)
+    assert numbered(rows.limit(0), [F.col("k")], "n").count() == 0
