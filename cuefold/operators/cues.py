@@ -13,16 +13,20 @@ CUE = "struct<idx:int,start:double,end:double,text:string>"
 _TIME = r"^(\d+):(\d+):(\d+),(\d+)"
 
 
-def seconds(literal: Column) -> Column:
-    """H:M:S,ms as seconds; the digits after the comma are thousandths however many there are. Anything else raises."""
+def seconds(literal: Column, strict: bool = True) -> Column:
+    """H:M:S,ms as seconds; the digits after the comma are thousandths however many there are. Anything else raises, or is null."""
     part = lambda k: F.regexp_extract(T.strip(literal), _TIME, k)
     ok = T.strip(literal).rlike(_TIME)
+    if not strict:
+        return F.when(ok, part(1).cast("long") * 3600 + part(2).cast("long") * 60 + part(3).cast("long") + part(4).cast("long") / F.lit(1000))
     value = part(1).cast("long") * 3600 + part(2).cast("long") * 60 + part(3).cast("long") + part(4).cast("long") / F.lit(1000)
     return F.when(ok, value).otherwise(F.raise_error(F.concat(F.lit("not a subtitle time: "), literal)).cast("double"))
 
 
-def parse_subtitles(files: DataFrame, key_col: str = "video", value_col: str = "value") -> DataFrame:
-    """key, idx, start, end, text of every cue of whole subtitle texts, in file order."""
+def parse_subtitles(files: DataFrame, key_col: str = "video", value_col: str = "value", strict: bool = True) -> DataFrame:
+    """key, idx, start, end, text of every cue of whole subtitle texts, in file order.
+
+    A time that can't be read raises; where strict is false the whole file is left out instead."""
     body = T.strip(F.regexp_replace(F.regexp_replace(value_col, "^﻿", ""), "\r\n?", "\n"))
     blocks = files.select(key_col, F.posexplode(F.split(body, "\n\n")).alias("block", "value"))
     lines = F.filter(F.split("value", "[\n\x0b\x0c\x1c-\x1e\x85  ]"), lambda x: T.strip(x) != "")
@@ -30,8 +34,11 @@ def parse_subtitles(files: DataFrame, key_col: str = "video", value_col: str = "
     second = F.contains(F.col("lines")[1], F.lit("-->"))
     times = F.split(F.when(second, F.col("lines")[1]).otherwise(F.col("lines")[0]), "-->")
     said = F.array_join(F.when(second, F.slice("lines", 3, 2147483647 - 3)).otherwise(F.slice("lines", 2, 2147483647 - 3)), " ")
-    rows = rows.select(key_col, "block", seconds(times[0]).alias("start"), seconds(times[1]).alias("end"), said.alias("text"))
+    rows = rows.select(key_col, "block", seconds(times[0], strict).alias("start"), seconds(times[1], strict).alias("end"), said.alias("text"))
     order = Window.partitionBy(key_col).orderBy("block")
+    if not strict:
+        bad = F.max(F.col("start").isNull() | F.col("end").isNull()).over(Window.partitionBy(key_col))
+        rows = rows.withColumn("_bad", bad).where(~F.col("_bad")).drop("_bad")
     return rows.select(key_col, (F.row_number().over(order) - 1).alias("idx"), "start", "end", "text")
 
 
@@ -107,6 +114,11 @@ def boundaries(windows: DataFrame, key_col: str = "video", gap: float = GAP, pad
     return rows.withColumn("chunk_start", opened).withColumn("shift", F.col("chunk_end") - F.col("end")).drop("_next")
 
 
+def shifts(bounds: DataFrame, least: float = 0.05) -> DataFrame:
+    """Boundaries that snapping moved by more than `least` seconds."""
+    return bounds.where(F.abs("shift") > least)
+
+
 def reassign(cues: DataFrame, chunks: DataFrame, key_col: str = "video") -> DataFrame:
     """key, chunk_idx, n_cues, text by the chunks' final ends: a cue goes to the first chunk that ends after it
     starts, else to the last, and never before the chunk of a cue ahead of it."""

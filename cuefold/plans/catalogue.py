@@ -12,6 +12,7 @@ from cuefold.functions import signal as S
 from cuefold.functions import text as T
 from cuefold.operators import cues as C
 from cuefold.operators import metrics as M
+from cuefold.operators import models
 from cuefold.operators import pairing as P
 from cuefold.operators import split as H
 from cuefold.operators.numbering import numbered
@@ -493,8 +494,7 @@ def sidecar_zip_align(spark, sf_dir):
 @query("""WITH b AS (SELECT conv_id, turn, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) // 3 AS batch, text FROM conversations)
 SELECT conv_id, CAST(batch AS INTEGER) AS batch, count(*) AS rows, CAST(max(length(text)) AS INTEGER) AS longest FROM b GROUP BY conv_id, batch""")
 def mini_batches(spark, sf_dir):
-    order = Window.partitionBy("conv_id").orderBy("turn")
-    rows = V.table(spark, sf_dir, "conversations").withColumn("batch", F.floor((F.row_number().over(order) - 1) / 3).cast("int"))
+    rows = models.batches(V.table(spark, sf_dir, "conversations"), ["conv_id"], ["turn"], 3)
     return rows.groupBy("conv_id", "batch").agg(F.count("*").alias("rows"), F.max(F.length("text")).alias("longest"))
 
 

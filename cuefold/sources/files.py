@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import json
 import wave
 from collections.abc import Iterator
 
@@ -64,13 +65,13 @@ def videos(spark: SparkSession, folder: str) -> DataFrame:
     return listing(spark, folder, ids.VIDEO_EXTENSIONS).orderBy(rank, "path")
 
 
-def whole_texts(spark: SparkSession, path: str, strip: bool = True) -> DataFrame:
+def whole_texts(spark: SparkSession, path: str | list[str], strip: bool = True) -> DataFrame:
     """path, value of whole text files."""
     rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     return rows.withColumn("value", F.regexp_replace("value", r"(?U)^\s+|\s+$", "")) if strip else rows
 
 
-def subtitles(spark: SparkSession, path: str) -> DataFrame:
+def subtitles(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """video (the file's stem) and value of subtitle files, for parse_subtitles."""
     rows = whole_texts(spark, path, strip=False)
     return rows.select(ids.stem(F.col("path")).alias("video"), "value")
@@ -90,6 +91,18 @@ def lexicon(spark: SparkSession, path: str) -> dict[str, list[str]]:
     return {k: list(row[k] or []) for k in ("spiritual_terms", "arabic_phrases", "english_domain")}
 
 
+def config(spark: SparkSession, path: str) -> dict:
+    """Nested settings of a JSON file, or of a YAML file where a YAML library is installed."""
+    text = whole_texts(spark, path).first().value
+    if path.endswith(".json"):
+        return json.loads(text)
+    try:
+        import yaml
+    except ImportError as e:
+        raise ValueError("a YAML file needs PyYAML; JSON needs nothing") from e
+    return yaml.safe_load(text)
+
+
 def corrections(spark: SparkSession, path: str) -> dict[str, str]:
     return dict(spark.read.schema(schemas.CORRECTIONS).option("multiLine", True).json(path).first()["corrections"] or {})
 
@@ -113,7 +126,7 @@ def resample(samples: np.ndarray, rate: int, to: int) -> np.ndarray:
     return np.interp(np.arange(n) * rate / to, np.arange(len(samples)), samples)
 
 
-def audio(spark: SparkSession, path: str, rate: int = 16_000) -> DataFrame:
+def audio(spark: SparkSession, path: str | list[str], rate: int = 16_000) -> DataFrame:
     """video, rate, samples, error of WAV files as mono signals; a file that can't be read has its error and no samples."""
 
     def decoded(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -135,6 +148,25 @@ def duration(signals: DataFrame) -> DataFrame:
     return signals.withColumn("duration", F.size("samples") / F.col("rate"))
 
 
+def sidecar(spark: SparkSession, path: str) -> DataFrame | None:
+    """pos, episode, sentence, buckets beside a dataset, or None where there is none."""
+    return json_array(spark, path, schemas.SIDECAR).drop("file") if _exists(spark, path) else None
+
+
+def listed(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """path and content of the files of a list; those that don't exist are skipped."""
+    found = [p for p in paths if _exists(spark, p)]
+    return spark.read.format("binaryFile").load(found).select("path", "content") if found else spark.createDataFrame([], "path string, content binary")
+
+
+def mark_live(manifests: DataFrame, listing: DataFrame, path_col: str = "audio_path") -> DataFrame:
+    """manifests with live: whether the path, its slashes of either kind, is in the listing."""
+    form = lambda c: F.regexp_replace(F.replace(c, F.lit("\\"), F.lit("/")), "^file:/+", "/")
+    there = listing.select(form(F.col("path")).alias("_path")).distinct().withColumn("_live", F.lit(True))
+    rows = manifests.withColumn("_path", form(F.col(path_col))).join(there, "_path", "left")
+    return rows.withColumn("live", F.coalesce("_live", F.lit(False))).drop("_path", "_live")
+
+
 def dataset(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
     """A dataset written by sinks.dataset; one split reads only its partition."""
     rows = spark.read.parquet(path)

@@ -89,3 +89,19 @@ def clips(chunks: DataFrame) -> DataFrame:
     path = F.format_string("audio/%s/%s_%03d.wav", "video", "video", "chunk_idx")
     rows = chunks.select("video", "chunk_idx", path.alias("path"), "samples", F.col("rate").cast("int").alias("rate"))
     return rows.mapInPandas(encoded, "video string, chunk_idx int, path string, content binary")
+
+
+def wav_files(clips: DataFrame, root: str) -> None:
+    """Each clip as a file below root, which must be a folder that all workers see. A retried task writes the same files again."""
+
+    def put(rows) -> None:
+        import os
+
+        for r in rows:
+            path = os.path.join(root, r.path)
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            with open(f"{path}.{os.getpid()}", "wb") as f:
+                f.write(r.content)
+            os.replace(f"{path}.{os.getpid()}", path)
+
+    clips.select("path", "content").foreachPartition(put)
