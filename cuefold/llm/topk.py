@@ -51,16 +51,29 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.floor(out * SCALE)
 
 
+def _stored(m: np.ndarray) -> tuple[str, bytes]:
+    """The narrowest kind of number that holds all components, and the rows in it."""
+    most = np.abs(m).max(initial=0)
+    kind = next((k for k, bits in (("<i1", 7), ("<i2", 15), ("<i4", 31)) if most < 1 << bits), "<f8")
+    return kind, m.astype(kind).tobytes()
+
+
+def _block(kind: str, ids: bytes, rows: bytes) -> tuple[np.ndarray, np.ndarray]:
+    own = np.frombuffer(ids, np.int64)
+    return own, np.frombuffer(rows, kind).reshape(len(own), -1).astype(np.float64)
+
+
 def blocks(vectors: DataFrame, n_blocks: int) -> DataFrame:
-    """block, ids and rows (float64, row by row, ids ascending) of each block."""
+    """block, kind, ids and rows (numbers of that kind, row by row, ids ascending) of each block."""
 
     def packed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("vec_id", kind="stable")
         m = _matrix(rows["v"])
-        return pd.DataFrame({"block": [key[0]], "width": [m.shape[1]], "ids": [rows["vec_id"].to_numpy(np.int64).tobytes()], "rows": [m.tobytes()]})
+        kind, stored = _stored(m)
+        return pd.DataFrame({"block": [key[0]], "kind": [kind], "ids": [rows["vec_id"].to_numpy(np.int64).tobytes()], "rows": [stored]})
 
     dealt = vectors.select("vec_id", "v", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n_blocks)).cast("int").alias("block"))
-    return dealt.groupBy("block").applyInPandas(packed, "block int, width int, ids binary, rows binary")
+    return dealt.groupBy("block").applyInPandas(packed, "block int, kind string, ids binary, rows binary")
 
 
 def _pad(m: np.ndarray, width: int) -> np.ndarray:
@@ -139,38 +152,34 @@ def top_k(
     n_candidates = max(1, -(-total // candidate_block))
     near = rows.withColumn("h", F.xxhash64("vec_id")).orderBy("h", "vec_id").limit(sample).drop("h")  # bounded: floors only, no result
     queries = written(blocks(asked, n_queries), "queries")
-    known = written(blocks(near, 1), "sample")
+    known = blocks(near, 1).first()
+
+    seen = (known.kind, bytes(known.ids), bytes(known.rows)) if known else ("<i1", b"", b"")  # `sample` vectors at most
 
     def floors(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for r in part.itertuples(index=False):
-                q_ids, c_ids = np.frombuffer(r.ids, np.int64), np.frombuffer(r.s_ids, np.int64)
-                q = np.frombuffer(r.rows, np.float64).reshape(len(q_ids), -1)
-                c = np.frombuffer(r.s_rows, np.float64).reshape(len(c_ids), -1)
+                (q_ids, q), (c_ids, c) = _block(r.kind, r.ids, r.rows), _block(*seen)
                 found = np.full(len(q), -np.inf)
                 i, _, s = best(q, q_ids, c, c_ids, found, k)
                 n = np.bincount(i, minlength=len(q))
                 low = np.full(len(q), np.inf)
                 np.minimum.at(low, i, s)
                 found[n >= k] = low[n >= k]
-                yield pd.DataFrame({"block": [r.block], "width": [r.width], "ids": [r.ids], "rows": [r.rows], "floors": [found.tobytes()]})
+                yield pd.DataFrame({"block": [r.block], "kind": [r.kind], "ids": [r.ids], "rows": [r.rows], "floors": [found.tobytes()]})
 
-    one = known.select(F.col("block").alias("s"), F.col("ids").alias("s_ids"), F.col("rows").alias("s_rows"))
-    asked_blocks = queries.withColumn("s", F.lit(0)).join(F.broadcast(one), "s")  # block 0: one row of `sample` vectors
-    asked_blocks = written(asked_blocks.mapInPandas(floors, "block int, width int, ids binary, rows binary, floors binary"), "floors")
+    asked_blocks = written(queries.mapInPandas(floors, "block int, kind string, ids binary, rows binary, floors binary"), "floors")
 
     def scored(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for r in part.itertuples(index=False):
-                q_ids, c_ids = np.frombuffer(r.ids, np.int64), np.frombuffer(r.c_ids, np.int64)
-                q = np.frombuffer(r.rows, np.float64).reshape(len(q_ids), -1)
-                c = np.frombuffer(r.c_rows, np.float64).reshape(len(c_ids), -1)
+                (q_ids, q), (c_ids, c) = _block(r.kind, r.ids, r.rows), _block(r.c_kind, r.c_ids, r.c_rows)
                 i, j, s = best(q, q_ids, c, c_ids, np.frombuffer(r.floors, np.float64), k)
                 yield pd.DataFrame({"query_id": q_ids[i], "vec_id": c_ids[j], "score": s})
 
-    candidates = blocks(rows, n_candidates).select("block", F.col("ids").alias("c_ids"), F.col("rows").alias("c_rows"))
+    candidates = blocks(rows, n_candidates).select("block", F.col("kind").alias("c_kind"), F.col("ids").alias("c_ids"), F.col("rows").alias("c_rows"))
     met = asked_blocks.drop("block").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_candidates - 1))))
-    found = met.join(written(candidates, "candidates"), "block").select("ids", "rows", "floors", "c_ids", "c_rows")
+    found = met.join(written(candidates, "candidates"), "block").select("kind", "ids", "rows", "floors", "c_kind", "c_ids", "c_rows")
     pairs = found.mapInPandas(scored, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # k rows of each block of candidates at most
     return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
