@@ -26,11 +26,43 @@ LATIN_RUN = "[A-Za-z]{2,}"
 CARRIER = "آج کی گفتگو روحانیت اور تصوف کے بارے میں ہے۔"
 
 SPACE = r"[\s\x1c-\x1f]"
+#: White space of all scripts, as str.strip knows it.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 
 
 def strip(text: Column) -> Column:
     """Without white space of any script at both ends."""
-    return F.regexp_replace(text, f"(?U)^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACES))
+
+
+def _literal(pattern: str) -> bool:
+    return not set(pattern) & set("\\^$.|?*+()[]{}")
+
+
+#: Of rules that are no literals: what a text must hold for them to fire, and the bytes that each firing adds, if always as many.
+PROBES = {" +۔": (" ۔", None), r"(?U)،(\S)": ("،", 1)}
+
+
+def _rewritten(text: Column, pattern: str, replacement: str) -> Column:
+    """A rule's result. Literals need no regular expression, and only texts that hold what a rule needs are rewritten."""
+    if _literal(pattern):
+        return F.replace(text, F.lit(pattern), F.lit(replacement))
+    after = F.regexp_replace(text, F.lit(pattern), F.lit(replacement))
+    return F.when(F.contains(text, F.lit(PROBES.get(pattern, ("", None))[0])), after).otherwise(text)
+
+
+def _fired(before: Column, after: Column, pattern: str, replacement: str) -> Column:
+    """How often a rule fired: where each firing adds as many bytes, the lengths tell."""
+    grows = len(replacement.encode()) - len(pattern.encode()) if _literal(pattern) else PROBES.get(pattern, ("", None))[1]
+    if grows:
+        n = ((F.octet_length(after) - F.octet_length(before)) / F.lit(grows)).cast("int")
+    else:
+        n = F.when(before != after, F.regexp_count(before, F.lit(pattern)))
+    return F.coalesce(n, F.lit(0))
+
+
+def _single_spaced(text: Column) -> Column:
+    return F.when(F.contains(text, F.lit("  ")), F.regexp_replace(text, "  +", " ")).otherwise(text)
 
 
 def normalise(df: DataFrame, text_col: str = "transcript", rules=RULES) -> DataFrame:
@@ -38,14 +70,17 @@ def normalise(df: DataFrame, text_col: str = "transcript", rules=RULES) -> DataF
 
     Each rule sees the result of the one before. Runs of spaces collapse last. A text that no rule
     touches stays as it is, spaces too; null stays null."""
-    text, hits = F.col(text_col), []
-    for _, pattern, replacement in rules:
-        hits.append(F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0)))
-        text = F.regexp_replace(text, F.lit(pattern), F.lit(replacement))
-    text = strip(F.regexp_replace(text, "  +", " "))
-    out = df.withColumn("_rewritten", text).withColumn("hits", F.array(*hits))
-    fired = F.exists("hits", lambda n: n > 0)
-    return out.withColumn("changed", fired).withColumn(text_col, F.when(fired, F.col("_rewritten")).otherwise(F.col(text_col))).drop("_rewritten")
+    out, at, counts = df, text_col, []
+    for k, (_, pattern, replacement) in enumerate(rules):  # one column for each step, so that none is computed twice
+        out = out.withColumn(f"_t{k}", _rewritten(F.col(at), pattern, replacement))
+        counts.append(_fired(F.col(at), F.col(f"_t{k}"), pattern, replacement))
+        at = f"_t{k}"
+    out = out.withColumns({f"_n{k}": n for k, n in enumerate(counts)})
+    counts = [F.col(f"_n{k}") for k in range(len(rules))]
+    fired = F.greatest(*counts, F.lit(0), F.lit(0)) > 0
+    out = out.withColumn("hits", F.array(*counts)).withColumn("changed", fired)
+    out = out.withColumn(text_col, F.when(F.col("changed"), strip(_single_spaced(F.col(at)))).otherwise(F.col(text_col)))
+    return out.drop(*[f"_{x}{k}" for x in "nt" for k in range(len(rules))])
 
 
 def rule_totals(normalised: DataFrame, rules=RULES) -> DataFrame:

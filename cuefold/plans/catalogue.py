@@ -508,5 +508,5 @@ SELECT bucket, count(*) FILTER (split = 'train') AS train, count(*) FILTER (spli
 def flagship(spark, sf_dir):
     """After normalisation, which whole groups are held out, and how many clips of each bucket does each split get?"""
     rows = T.normalise(V.clips_ur(spark, sf_dir)).withColumn("buckets", T.buckets(F.col("transcript"), ["صَلَّى", "عَلَیْہِ"], V.LATIN))
-    rows = rows.select("pos", "episode", "buckets")
+    rows = written(rows.select("pos", "episode", "buckets"), "bucketed")  # read twice: to rank the groups and to count
     return H.bucket_counts(H.split_rows(rows, H.held_groups(rows, "episode", _rich(), 0.12), "episode"))
