@@ -21,6 +21,11 @@ def unmask(labels: Column, pad: int, ignored: int = IGNORED) -> Column:
     return F.transform(labels, lambda x: F.when(x == ignored, F.lit(pad)).otherwise(x))
 
 
+def let(value: Column, body) -> Column:
+    """body of a value that is computed once, however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def tokens(text: Column) -> Column:
     """Words split on spaces; none in an empty text."""
     return F.filter(F.split(text, " "), lambda w: w != "")
@@ -31,10 +36,8 @@ def word_edits(reference: Column, hypothesis: Column) -> Column:
 
     Each distinct word of the pair becomes one character, so that the built-in levenshtein counts words.
     Numbers from 55,296 on skip the surrogates; a pair may hold 1,000,000 distinct words."""
-    ref, hyp = tokens(reference), tokens(hypothesis)
-    known = F.array_distinct(F.concat(ref, hyp))
 
-    def spelled(words: Column) -> Column:
+    def spelled(words: Column, known: Column) -> Column:
         def char(w: Column) -> Column:
             i = F.array_position(known, w).cast("int") + F.lit(255)
             code = F.when(i >= 0xD800, i + F.lit(0x800)).otherwise(i)
@@ -42,4 +45,7 @@ def word_edits(reference: Column, hypothesis: Column) -> Column:
 
         return F.array_join(F.transform(words, char), "")
 
-    return F.levenshtein(spelled(ref), spelled(hyp))
+    def distance(pair: Column) -> Column:
+        return let(F.array_distinct(F.concat(pair["ref"], pair["hyp"])), lambda known: F.levenshtein(spelled(pair["ref"], known), spelled(pair["hyp"], known)))
+
+    return let(F.struct(tokens(reference).alias("ref"), tokens(hypothesis).alias("hyp")), distance)

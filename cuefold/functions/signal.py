@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cuefold.functions.arrays import let
+
 FRAME, HOP, RATIO, BEFORE = 400, 160, 0.5, 0.5
 
 
@@ -12,16 +14,19 @@ def rms(signal: Column, frame: int = FRAME, hop: int = HOP) -> Column:
     """Root mean square of each frame; frames are centred and the ends padded with zeros."""
     half = frame // 2
     zeros = F.array_repeat(F.lit(0.0), half)
-    padded = F.concat(zeros, signal.cast("array<double>"), zeros)
     n = F.floor((F.size(signal) + F.lit(2 * half - frame)) / F.lit(hop)).cast("int")
     squares = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x * x)
-    return F.transform(F.sequence(F.lit(0), n), lambda i: F.sqrt(squares(F.slice(padded, i * hop + 1, F.lit(frame))) / F.lit(float(frame))))
+
+    def frames(padded: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), n), lambda i: F.sqrt(squares(F.slice(padded, i * hop + 1, F.lit(frame))) / F.lit(float(frame))))
+
+    return let(F.concat(zeros, signal.cast("array<double>"), zeros), frames)
 
 
 def median(values: Column) -> Column:
     """The middle of the sorted values, or the mean of the two middle ones."""
-    s, n = F.array_sort(values), F.size(values)
-    return (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2
+    at = lambda s, k: F.get(s, F.floor((F.size(s) + k) / 2).cast("int"))
+    return let(F.array_sort(values), lambda s: (at(s, F.lit(-1)) + at(s, F.lit(0))) / 2)
 
 
 def first_least(values: Column) -> Column:
@@ -33,12 +38,14 @@ def snap(signal: Column, rate: Column, nominal: Column, until: Column, frame: in
     """The time of least energy from `before` seconds before nominal to until, where it is a clear dip; else nominal."""
     start = F.greatest(F.lit(0), ((nominal - before) * rate).cast("int"))
     end = F.least(F.size(signal), (until * rate).cast("int"))
-    energy = rms(F.slice(signal, start + 1, F.greatest(end - start, F.lit(0))), frame, hop)
-    middle = median(energy)
-    dip = (middle > 0) & (F.array_min(energy) <= ratio * middle)
-    found = (start + first_least(energy) * hop) / rate
+
+    def boundary(energy: Column) -> Column:
+        clear = let(median(energy), lambda middle: (middle > 0) & (F.array_min(energy) <= ratio * middle))
+        return F.when(clear, (start + first_least(energy) * hop) / rate).otherwise(nominal)
+
+    found = let(rms(F.slice(signal, start + 1, F.greatest(end - start, F.lit(0))), frame, hop), boundary)
     searched = until.isNotNull() & (until > nominal) & (end > start + frame)
-    return F.when(searched, F.when(dip, found).otherwise(nominal)).otherwise(nominal)
+    return F.when(searched, found).otherwise(nominal)
 
 
 def clip(signal: Column, rate: Column, start: Column, end: Column) -> Column:
