@@ -457,17 +457,53 @@ _RATE = "round(100 * sum(edits) / sum(ref_words), 6)"
 
 @query(f"WITH {_RAW} SELECT model, count(*) AS n, {_RATE} AS wer FROM edits GROUP BY model")
 def wer_overall(spark, sf_dir):
-    return M.wer(M.edits(V.predictions(spark, sf_dir)), ["model"]).withColumn("wer", F.round("wer", 6))
+    return M.wer(M.edits(V.spellable(V.predictions(spark, sf_dir))), ["model"]).withColumn("wer", F.round("wer", 6))
 
 
 @query(f"WITH {_NORM}, b AS (SELECT *, unnest(buckets) AS bucket FROM edits) SELECT model, bucket, count(*) AS n, {_RATE} AS wer FROM b GROUP BY model, bucket")
 def wer_by_bucket(spark, sf_dir):
-    return M.wer_by_bucket(V.predictions(spark, sf_dir), ["model"]).withColumn("wer", F.round("wer", 6))
+    return M.wer_by_bucket(V.spellable(V.predictions(spark, sf_dir)), ["model"]).withColumn("wer", F.round("wer", 6))
 
 
 @query(f"""WITH {_NORM}, b AS (SELECT *, unnest(buckets) AS bucket FROM edits), g AS (SELECT model, bucket, 100 * sum(edits) / sum(ref_words) AS wer FROM b GROUP BY model, bucket)
 SELECT bucket, round(max(wer) FILTER (model = 'base'), 6) AS base, round(max(wer) FILTER (model = 'finetuned'), 6) AS tuned, round(max(wer) FILTER (model = 'base') - max(wer) FILTER (model = 'finetuned'), 6) AS delta FROM g GROUP BY bucket""")
 def wer_delta(spark, sf_dir):
+    rows = M.wer_by_bucket(V.spellable(V.predictions(spark, sf_dir)), ["model"])
+    delta = M.wer_delta(rows.where("model = 'base'"), rows.where("model = 'finetuned'"), ["bucket"])
+    return delta.select("bucket", *[F.round(c, 6).alias(c) for c in ("base", "tuned", "delta")])
+
+
+def _all_edits_sql(ref: str, hyp: str) -> str:
+    """Edits of pairs of any length: the cells of the distance table by diagonals, d[i + 1] of row i; 1e9 stands outside of the table."""
+    words = lambda c: f"list_filter(string_split({c}, ' '), lambda w: w <> '')"
+    cell = """CASE WHEN k - i < 0 OR k - i > m THEN 1000000000 WHEN i = 0 OR i = k THEN k
+      ELSE least(least(d[i], d[i + 1]) + 1, older[i] + CASE WHEN a[i] = b[k - i] THEN 0 ELSE 1 END) END"""
+    return f"""pairs AS (SELECT *, {words(ref)} AS a, {words(hyp)} AS b FROM predictions),
+sized AS (SELECT *, len(a) AS n, len(b) AS m FROM pairs),
+cells AS (SELECT conv_id, turn, model, 0::BIGINT AS k, [0::BIGINT] AS before, list_transform(generate_series(0, n), lambda i: CASE WHEN i = 0 THEN 0 ELSE 1000000000 END::BIGINT) AS d FROM sized
+  UNION ALL
+  SELECT conv_id, turn, model, k, before, list_transform(generate_series(0, n), lambda i: ({cell})::BIGINT)
+  FROM (SELECT conv_id, turn, model, c.k + 1 AS k, c.d AS before, c.d, c.before AS older, n, m, a, b FROM cells c JOIN sized USING (conv_id, turn, model) WHERE c.k < n + m)),
+edits AS (SELECT s.*, d[n + 1] AS edits, n AS ref_words FROM sized s JOIN cells c USING (conv_id, turn, model) WHERE c.k = n + m)"""
+
+
+_ALL_RAW = f"{V.ALL_PREDICTIONS}, {_all_edits_sql('reference', 'prediction')}"
+_ALL_NORM = f"{V.ALL_PREDICTIONS}, {_all_edits_sql(_WER_SQL.format('reference'), _WER_SQL.format('prediction'))}"
+
+
+@query(f"WITH RECURSIVE {_ALL_RAW} SELECT model, count(*) AS n, {_RATE} AS wer FROM edits GROUP BY model")
+def wer_overall_all_turns(spark, sf_dir):
+    return M.wer(M.edits(V.predictions(spark, sf_dir)), ["model"]).withColumn("wer", F.round("wer", 6))
+
+
+@query(f"WITH RECURSIVE {_ALL_NORM}, b AS (SELECT *, unnest(buckets) AS bucket FROM edits) SELECT model, bucket, count(*) AS n, {_RATE} AS wer FROM b GROUP BY model, bucket")
+def wer_by_bucket_all_turns(spark, sf_dir):
+    return M.wer_by_bucket(V.predictions(spark, sf_dir), ["model"]).withColumn("wer", F.round("wer", 6))
+
+
+@query(f"""WITH RECURSIVE {_ALL_NORM}, b AS (SELECT *, unnest(buckets) AS bucket FROM edits), g AS (SELECT model, bucket, 100 * sum(edits) / sum(ref_words) AS wer FROM b GROUP BY model, bucket)
+SELECT bucket, round(max(wer) FILTER (model = 'base'), 6) AS base, round(max(wer) FILTER (model = 'finetuned'), 6) AS tuned, round(max(wer) FILTER (model = 'base') - max(wer) FILTER (model = 'finetuned'), 6) AS delta FROM g GROUP BY bucket""")
+def wer_delta_all_turns(spark, sf_dir):
     rows = M.wer_by_bucket(V.predictions(spark, sf_dir), ["model"])
     delta = M.wer_delta(rows.where("model = 'base'"), rows.where("model = 'finetuned'"), ["bucket"])
     return delta.select("bucket", *[F.round(c, 6).alias(c) for c in ("base", "tuned", "delta")])

@@ -103,10 +103,9 @@ REVIEWED = """reviewed AS (SELECT 'EP' || (doc_id % 20) AS episode, 'x' || lpad(
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns as references with the predictions of two models; pairs of 90 distinct words at most, which the SQL can spell."""
+    """Every turn as a reference with the predictions of two models."""
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("reference"))
     words = F.size(F.array_distinct(F.split("reference", " ")))
-    c = c.where(words <= 88)
     base = F.replace(F.replace("reference", F.lit(" la "), F.lit(" ")), F.lit(" the "), F.lit(" a "))
     tuned = F.replace("reference", F.lit(" of "), F.lit(" off of "))
     buckets = F.array(F.when(F.col("reference").rlike("[À-ÿ]"), "accented").otherwise("plain"), F.when(words > 40, "long").otherwise("short"))
@@ -114,6 +113,11 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("model", F.lit("base")).withColumn("prediction", base).unionByName(rows.withColumn("model", F.lit("finetuned")).withColumn("prediction", tuned))
 
 
+def spellable(predictions: DataFrame) -> DataFrame:
+    """The pairs that PREDICTIONS holds: of 90 distinct words at most, which SQL can spell in ASCII."""
+    return predictions.where(F.size(F.array_distinct(F.split("reference", " "))) <= 88)
+
+
 _PAIRS = """SELECT conv_id, turn, text AS reference, '{model}' AS model, {prediction} AS prediction,
   [CASE WHEN regexp_matches(text, '[À-ÿ]') THEN 'accented' ELSE 'plain' END, CASE WHEN len(list_distinct(string_split(text, ' '))) > 40 THEN 'long' ELSE 'short' END] AS buckets
   FROM conversations WHERE len(list_distinct(string_split(text, ' '))) <= 88"""
@@ -125,6 +129,9 @@ PREDICTIONS = (
     + ")"
 )
 
+_WHERE = "WHERE len(list_distinct(string_split(text, ' '))) <= 88"
+ALL_PREDICTIONS = PREDICTIONS.replace(_WHERE, "")
+
 
 def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("samples"))

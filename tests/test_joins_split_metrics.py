@@ -120,3 +120,35 @@ def test_numbered_rows_follow_the_order(spark):
     got = numbered(rows, [F.col("k")], "n").collect()
     assert len(got) == 1000 and all(r.n == r.k + 1 for r in got)
     assert numbered(rows.limit(0), [F.col("k")], "n").count() == 0
+
+
+def test_rates_of_all_turns_by_brute_force(spark, tmp_path):
+    """Texts of far more than 93 distinct words count."""
+    import random
+
+    from cuefold.plans.catalogue import QUERIES
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+        return row[-1]
+
+    r = random.Random(7)
+    texts = [" ".join(r.choices([f"w{k}" for k in range(900)] + ["of", "la", "the", "é"] * 40, k=n)) for n in (5, 80, 300, 700)]
+    spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)], "conv_id long, turn int, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    assert max(len(set(t.split())) for t in texts) > 300
+    models = {"base": lambda t: t.replace(" la ", " ").replace(" the ", " a "), "finetuned": lambda t: t.replace(" of ", " off of ")}
+
+    def rate(model, rows):
+        return round(100 * sum(distance(t.split(), models[model](t).split()) for t in rows) / sum(len(t.split()) for t in rows), 6)
+
+    got = {r.model: (r.n, r.wer) for r in QUERIES["wer_overall_all_turns"](spark, str(tmp_path)).collect()}
+    assert got == {m: (4, pytest.approx(rate(m, texts))) for m in models}
+    long = [t for t in texts if len(set(t.split())) > 40]
+    got = {(r.model, r.bucket): (r.n, r.wer) for r in QUERIES["wer_by_bucket_all_turns"](spark, str(tmp_path)).collect()}
+    assert all(got[(m, "long")] == (len(long), pytest.approx(rate(m, long))) for m in models)
+    delta = {r.bucket: r.delta for r in QUERIES["wer_delta_all_turns"](spark, str(tmp_path)).collect()}
+    assert delta["long"] == pytest.approx(rate("base", long) - rate("finetuned", long), abs=1e-5)
