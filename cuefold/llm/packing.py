@@ -37,6 +37,7 @@ class Bins:
         self.lengths, self.capacity = lengths, capacity
         self.bin_of = np.full(len(lengths), -1, np.int64)
         self.fill: list[int] = []
+        self.by_length = np.argsort(lengths, kind="stable")
         self._best_fit()
         self.fill = np.array(self.fill, np.int64)
 
@@ -82,23 +83,13 @@ class Bins:
         bins = np.flatnonzero(into)
         if not len(bins):
             return False
-        for i in own[np.argsort(-self.lengths[own], kind="stable")].tolist():
+        movable = own[self.lengths[own] <= room[bins].max()]
+        if len(movable):
+            i = int(movable[np.argmax(self.lengths[movable])])
             fits = bins[room[bins] >= self.lengths[i]]
-            if len(fits):
-                self._put(i, int(fits[np.argmin(room[fits])]))
-                return True
-        others = np.flatnonzero(into[self.bin_of])
-        other_room = room[self.bin_of[others]]
-        best, found = 0, None
-        offers = [(int(self.lengths[i]), (i,)) for i in own.tolist()]
-        few = own[np.argsort(self.lengths[own], kind="stable")][:64].tolist()
-        offers += [(int(self.lengths[i] + self.lengths[j]), (i, j)) for k, i in enumerate(few) for j in few[:k]]
-        for size, pieces in offers:
-            gain = size - self.lengths[others]
-            gain = np.where((gain > 0) & (gain <= other_room), gain, 0)
-            at = int(np.argmax(gain)) if len(gain) else 0
-            if len(gain) and gain[at] > best:
-                best, found = int(gain[at]), (pieces, int(others[at]))
+            self._put(i, int(fits[np.argmin(room[fits])]))
+            return True
+        found = self._exchange(own, self.by_length[into[self.bin_of[self.by_length]]], room)
         if not found:
             return False
         pieces, back = found
@@ -108,22 +99,45 @@ class Bins:
             self._put(i, target)
         return True
 
+    def _exchange(self, own: np.ndarray, others: np.ndarray, room: np.ndarray) -> tuple[tuple[int, ...], int] | None:
+        """One or two pieces of `own` and the piece of `others` (shortest first) that they replace, with the greatest gain."""
+        at, sizes, twins = {}, self.lengths[own], set()
+        for i, n in zip(own.tolist(), sizes.tolist(), strict=True):
+            twins.add(n) if n in at else at.setdefault(n, i)
+        kinds = np.array(sorted(at), np.int64)  # equal lengths are one kind: a bin has few, since their sum is at most the capacity
+        x, y = np.triu_indices(len(kinds))
+        x, y = (k[(x != y) | np.isin(kinds[x], list(twins))] for k in (x, y))
+        offers = np.concatenate([kinds, kinds[x] + kinds[y]])
+        # the shortest piece whose bin takes the offer in its place: the first at which the greatest length and room so far is enough
+        reach = np.maximum.accumulate(self.lengths[others] + room[self.bin_of[others]])
+        first = np.searchsorted(reach, offers)
+        gain = np.where(first < len(others), offers - self.lengths[others[np.minimum(first, len(others) - 1)]], 0)
+        best = int(np.argmax(gain))
+        if gain[best] <= 0:
+            return None
+        back = int(others[first[best]])
+        if best < len(kinds):
+            return (at[int(kinds[best])],), back
+        a, b = int(kinds[x[best - len(kinds)]]), int(kinds[y[best - len(kinds)]])
+        twin = int(own[np.flatnonzero(sizes == b)[-1]])
+        return (at[a], twin), back
+
     def search(self) -> None:
-        """Empties bins until there are as few as the tokens need or no step is left. Each step raises an integer that is bounded."""
-        least, stuck = self.needed(), set()
-        while self.used() > least:
-            order = [b for b in np.argsort(self.fill, kind="stable").tolist() if self.fill[b] > 0 and b not in stuck]
-            if not order:
-                return
-            before = self.used()
-            while self.fill[order[0]] > 0 and self._step(order[0]):
-                pass
-            if self.fill[order[0]] > 0:
-                stuck.add(order[0])
+        """Empties bins until there are as few as the tokens need or no bin has a step left. Each step raises an integer that is bounded."""
+        least, stuck, stepped = self.needed(), np.zeros(len(self.fill), bool), False
+        while (before := self.used()) > least:
+            left = np.flatnonzero((self.fill > 0) & (self.fill < self.capacity) & ~stuck)
+            if not len(left):
+                if not stepped:
+                    return
+                stuck[:], stepped = False, False  # steps since may have freed a bin
+                continue
+            source = int(left[np.argmin(self.fill[left])])
+            while self.fill[source] > 0 and self._step(source):
+                stepped = True
+            stuck[source] = True
             if self.used() < before:
-                stuck.clear()
-            if len(stuck) > 8:
-                return  # the emptiest bins can't be emptied; fuller ones less so
+                stuck[:] = False
 
 
 def pack_lengths(lengths: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:

@@ -199,6 +199,27 @@ def test_local_search_beats_best_fit():
     assert (np.bincount(bins.bin_of, lengths, len(bins.fill)) == bins.fill).all() and bins.fill.max() <= 4096
 
 
+def test_local_search_ends_when_no_bin_has_a_step():
+    rng = np.random.default_rng(1)
+    lengths = rng.integers(700, 1101, 800).astype(np.int64)
+    bins = packing.Bins(lengths, 4096)
+    bins.search()
+    assert bins.used() > bins.needed()
+    for source in np.flatnonzero((bins.fill > 0) & (bins.fill < 4096)):
+        own = lengths[bins.bin_of == source]
+        offers = {int(a) for a in own} | {int(own[i] + own[j]) for i in range(len(own)) for j in range(i)}
+        for target in np.flatnonzero((bins.fill >= bins.fill[source]) & (bins.fill < 4096)):
+            if target != source:
+                room = 4096 - bins.fill[target]
+                assert own.min() > room and not any(0 < size - n <= room for size in offers for n in lengths[bins.bin_of == target])
+
+
+def test_any_two_pieces_of_a_bin_are_offered():
+    bins = packing.Bins(np.array([3995, 100, 51, 50] + [2] * 70, np.int64), 4096)
+    assert bins.fill.tolist() == [4095, 241]
+    assert bins._step(1) and bins.fill.tolist() == [4096, 240] and bins.bin_of[1:4].tolist() == [1, 0, 0]
+
+
 @pytest.mark.parametrize("n", [1, 2, 17, 1000, 70_000, 300_000])
 def test_rans_round_trip(n):
     rng = np.random.default_rng(n)
