@@ -20,8 +20,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from cuefold.llm.storage import written
 
@@ -50,19 +51,20 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE, seed: int = SEED) ->
     return int(np.packbits(2 * counts > total, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (the 64 bits as a long) of every row."""
-    slim = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").cast("binary").alias("text"))
-    kind = slim.schema["doc_id"].dataType.simpleString()
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns of `also` and fp (the 64 bits as a long) of every row."""
+    slim = docs.select(docs[text_col].cast("string").cast("binary").alias("text"), docs[id_col].alias("doc_id"), *also)
+    kept = slim.drop("text").schema
+    names = [*kept.names, "fp"]
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                found = np.array([fingerprint(text, shingle) for text in part.column(1).to_pylist()], np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+                found = np.array([fingerprint(text, shingle) for text in part.column(0).to_pylist()], np.uint64)
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(found.view(np.int64))], names)
 
-    return slim.mapInArrow(hashed, f"doc_id {kind}, fp long")
+    return slim.mapInArrow(hashed, StructType([*kept.fields, StructField("fp", LongType())]))
 
 
 def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
@@ -98,25 +100,46 @@ def components(edges: DataFrame) -> DataFrame:
     return roots
 
 
+def firsts(found: DataFrame, order: Column, distance: int = DISTANCE) -> DataFrame:
+    """fp and first: of each fingerprint of `found`, the least `order` among the rows of its component."""
+    first = written(found.groupBy("fp").agg(F.min(order).alias("own")), "distinct")
+    edges = written(links(first, distance), "links")
+    linked = first.join(components(edges).withColumnRenamed("node", "fp"), "fp")
+    least = linked.groupBy("root").agg(F.min("own").alias("least"))
+    named = written(linked.join(least, "root").select("fp", "least"), "components")
+    return written(first.join(named, "fp", "left").select("fp", F.coalesce("least", "own").alias("first")), "named")
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id."""
     found = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    first = written(found.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    edges = written(links(first, distance), "links")
-    roots = components(edges).withColumnRenamed("node", "fp")
-    linked = first.join(roots, "fp")
-    ids = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = written(linked.join(ids, "root").select("fp", "component_id"), "components")
-    alone = first.join(named, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
-    rows = found.join(written(alone, "named"), "fp")
-    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    rows = found.join(firsts(found, F.col("doc_id"), distance), "fp")
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first").alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """docs, all columns, without the documents that are not the first of their component.
-
-    doc_id stands for a document: rows that share one stay or go together."""
-    found = near_dedup(docs, id_col, text_col, shingle, distance)
-    gone = written(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    gone = F.broadcast(gone) if gone.count() <= MAX_BROADCAST_IDS else gone
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    """docs, all columns, without the rows that are not the first of their component: one row of each stays.
+
+    The first has the smallest doc_id (null after all others); of several texts with that id, it is the one of least hash.
+    A row stands for its id and text, by 128 bits of hash, so that docs may be read in another order again."""
+    key = ["_near_a", "_near_b"]
+    own, text = docs[id_col], docs[text_col].cast("string")
+    docs_by = docs.withColumns({"_near_a": F.xxhash64(own, text), "_near_b": F.xxhash64(F.lit(1), text, own)})
+    found = written(fingerprints(docs_by, id_col, text_col, shingle, tuple(key)), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *key)
+    rows = found.join(firsts(found, order, distance), "fp")
+    stays = (F.col("_near_a") == F.col("first._near_a")) & (F.col("_near_b") == F.col("first._near_b"))
+    counted = rows.select(*key, stays.alias("stays")).groupBy(*key).agg(F.first("stays").alias("stays"), F.count("*").alias("n"))
+    counted = written(counted.where(~F.col("stays") | (F.col("n") > 1)), "counted")
+
+    def small(keys: DataFrame) -> DataFrame:
+        keys = keys.select(*key)
+        return F.broadcast(keys) if keys.count() <= MAX_BROADCAST_IDS else keys
+
+    left = docs_by.join(small(counted.where(~F.col("stays"))), key, "left_anti")
+    twins = counted.where("stays")  # rows of one id and text
+    if not twins.isEmpty():
+        doc = F.struct(*[F.col(c) for c in docs_by.columns]).alias("doc")
+        one = left.join(small(twins), key, "left_semi").select(*key, doc).groupBy(*key).agg(F.first("doc").alias("doc")).select("doc.*")
+        left = left.join(small(twins), key, "left_anti").select(docs_by.columns).unionByName(one)
+    return left.select(docs.columns)

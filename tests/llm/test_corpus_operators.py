@@ -169,6 +169,17 @@ def test_simhash_edges(spark):
     assert simhash.near_dedup(frame(spark, [])).count() == 0
 
 
+def test_near_copies_without_ids_and_with_repeated_ids(spark):
+    """One row of each component stays, also where ids are null or stand on several texts."""
+    base, clean = " ".join(f"w{k}" for k in range(400)), " ".join(f"v{k}" for k in range(300))
+    rows = [(None, base), (None, base + " x"), (7, base + " x y"), (7, clean), (7, clean), (8, clean), (9, "one more text"), (None, "a text of none"), (None, "a text of none"), (3, None), (3, "")]
+    found = simhash.drop_near_copies(frame(spark, [(d, t, "s") for d, t in rows]))
+    assert found.columns == frame(spark, []).columns
+    left = [(r.doc_id, r.text or "") for r in found.collect()]
+    assert sorted(left, key=repr) == sorted([(7, base + " x y"), (7, clean), (9, "one more text"), (None, "a text of none"), (3, "")], key=repr)
+    assert simhash.drop_near_copies(frame(spark, [])).count() == 0
+
+
 def test_links_and_components_of_chains(spark):
     """Links at every distance up to 3 are found, and a long chain is one component."""
     r = random.Random(3)
