@@ -50,9 +50,16 @@ def video_id(path: Column, index: Column) -> Column:
 
 
 def natural_key(path: Column) -> Column:
-    """Sorts digits by value and the rest by lower case. A name's runs are marked so that digits and letters compare as lists do."""
+    """Sorts digits by value and the rest by lower case. A name's runs are marked so that digits and letters compare as lists do.
+
+    Digits without leading zeros follow their count, which ten digits hold for any string."""
     runs = F.regexp_extract_all(F.lower(name(path)), F.lit(r"(\d+|\D+)"), F.lit(1))
-    return F.transform(runs, lambda run: F.when(run.rlike("^[0-9]+$"), F.concat(F.lit("0"), F.lpad(run, 20, "0"))).otherwise(F.concat(F.lit("1"), run)))
+
+    def number(run: Column) -> Column:
+        digits = F.ltrim(run, F.lit("0"))
+        return F.concat(F.lit("0"), F.lpad(F.length(digits).cast("string"), 10, "0"), digits)
+
+    return F.transform(runs, lambda run: F.when(run.rlike("^[0-9]+$"), number(run)).otherwise(F.concat(F.lit("1"), run)))
 
 
 def episode_number(label: Column) -> Column:

@@ -78,6 +78,15 @@ def test_natural_order(spark):
     assert got == ["1x", "a", "a1", "ep1_c", "EP2_b", "EP10_a"]
 
 
+def test_natural_order_of_long_numbers(spark):
+    same = "1" * 20
+    names = ["a0.wav", "a007.wav", "a10.wav", f"a{same}.wav", f"a{same}5.wav", f"a{same}7.wav", f"a{'0' * 30}{same}8.wav", f"a{'9' * 25}.wav"]
+    rows = spark.createDataFrame([(n,) for n in reversed(names)], "path string")
+    assert [r.path for r in rows.orderBy(ids.natural_key(F.col("path"))).collect()] == names
+    equal = spark.createDataFrame([("a7.wav",), ("a007.wav",)], "path string")
+    assert equal.select(ids.natural_key(F.col("path")).alias("k")).distinct().count() == 1
+
+
 def test_paths(spark):
     path = "data\\processed\\b\\audio\\EP7_x\\EP7_x_012.wav"
     assert one(spark, path, ids.parent) == "EP7_x"
