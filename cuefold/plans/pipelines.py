@@ -28,17 +28,18 @@ def prepare_batch(spark: SparkSession, input_dir: str, output_dir: str, most: fl
     done = files.optional_manifest(spark, f"{output_dir}/manifest.json")
     new = P.unseen(paired, done.select(ids.parent(F.col("audio_path")).alias("video_id")))
     new = written(new, "new_pairs")
-    todo = new.limit(MAX_PATHS).collect()  # paths of one call; the next call takes the rest
-    empty = spark.createDataFrame([], "video_id string, chunk_idx int, chunk_start double, chunk_end double, duration double, transcript string, samples array<double>, rate double")
-    chunks = empty
-    if todo:
-        named = F.broadcast(new.select(ids.stem(F.col("audio")).alias("video"), ids.stem(F.col("subtitle")).alias("sub"), "video_id"))
+    part = F.floor((F.col("pair_index") - 1) / MAX_PATHS)  # pairs are read in parts of MAX_PATHS, until none is left
+    chunks = spark.createDataFrame([], "video_id string, chunk_idx int, chunk_start double, chunk_end double, duration double, transcript string, samples array<double>, rate double")
+    for k in sorted(r.part for r in new.select(part.alias("part")).distinct().collect()):
+        own = new.where(part == k)
+        todo = own.select("audio", "subtitle").collect()  # MAX_PATHS rows at most
+        named = F.broadcast(own.select(ids.stem(F.col("audio")).alias("video"), ids.stem(F.col("subtitle")).alias("sub"), "video_id"))
         signals = files.audio(spark, [r.audio for r in todo]).where("error IS NULL").join(named.drop("sub"), "video").drop("video", "error")
         texts = files.subtitles(spark, [r.subtitle for r in todo]).withColumnRenamed("video", "sub").join(named.drop("video"), "sub").drop("sub")
-        chunks = written(C.chunks_of_audio(C.parse_subtitles(texts, "video_id", strict=False), signals, "video_id", most), "chunks")
+        chunks = chunks.unionByName(written(C.chunks_of_audio(C.parse_subtitles(texts, "video_id", strict=False), signals, "video_id", most), "chunks"))
     path = F.format_string(f"{output_dir}/audio/%s/%s_%03d.wav", "video_id", "video_id", "chunk_idx")
     order = new.select("video_id", "pair_index")
-    rows = chunks.join(F.broadcast(order), "video_id").select(
+    rows = chunks.join(order, "video_id").select(
         (F.col("pair_index") * 1_000_000 + F.col("chunk_idx")).alias("at"), path.alias("audio_path"), "transcript", "duration", F.lit("ur").alias("language")
     )
     merged = done.select(F.lit(0).alias("old"), F.col("pos").alias("at"), "audio_path", "transcript", "duration", "language").unionByName(rows.select(F.lit(1).alias("old"), "*"))

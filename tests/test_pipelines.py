@@ -75,6 +75,17 @@ def test_from_audio_to_dataset(spark, tmp_path):
     assert files.sidecar(spark, str(tmp_path / "none.json")) is None
 
 
+def test_prepare_batch_takes_all_pairs_in_one_call(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pipelines, "MAX_PATHS", 2)
+    names = [f"EP{k}_{'abcde'[k] * 11}" for k in range(5)]
+    for k, name in enumerate(names):
+        put_video(tmp_path, name, [(1, 5, f"متن {k}۔")], 8)
+    (tmp_path / f"{names[1]}.wav").write_bytes(b"broken")
+    merged, clips = pipelines.prepare_batch(spark, str(tmp_path), str(tmp_path / "out"))
+    texts = [r.transcript for r in merged.orderBy("pos").collect()]
+    assert texts == [f"متن {k}۔" for k in (0, 2, 3, 4)] and clips.count() == 4
+
+
 def test_flat_prep(spark, tmp_path):
     for name, text in {"a": " اچھا متن ", "b": "x", "c": "لمبا متن"}.items():
         (tmp_path / f"{name}.txt").write_text(text, encoding="utf-8")
