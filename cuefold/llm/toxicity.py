@@ -1,16 +1,28 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 A lexical transducer turns the words of a clause into symbols: insults and threats with weights, targets,
-negations, verbs of reported speech, quotation marks, other words. Four transducers, each with few states,
-are composed and run over the symbols: negation weakens what follows in its scope, reported speech and
-quotation weaken to the clause's end, a target nearby strengthens an insult, and a threat counts in full
-only where it meets a target. A clause's score is the sum of what they emit; a document's features are the
-sum, the largest clause and the sum by length, and a logistic curve turns these into a score.
-
-Insults are the seeds and the words and word beginnings that labelled training rows tell apart. They and
-the curve are fitted on FIT_ROWS labelled rows at most, the ones of smallest hash; near copies among them
-count as one. Rows whose crc32(doc_id as text) mod 4 is 2 are held out and never fitted. Labels, language,
-source and doc_id are no inputs of a score.
+negations, verbs of reported speech, quotation marks, other words. Four weighted transducers read the
+symbols together, and what an insult or a threat emits is its weight times the factors of the one path that
+all four accept:
+
+* insult: guesses at the clause's start whether a target will come; an insult emits its whole weight on a
+  path where one comes, a tenth (ALONE) on a path where none does, and a path whose guess was wrong ends;
+* threat: the same for threats;
+* negation: what stands within three words after a negation emits NEGATED of its weight;
+* reported speech: after a verb of speech to the clause's end, and between quotation marks, REPORTED.
+
+A clause's score is the sum of what it emits; a document's features are the sum over its clauses, the
+largest clause and the sum by length, and a logistic curve with slopes that aren't negative turns these
+into a score. Nothing else of a document is an input, so an isolated word counts a tenth of one that is
+aimed at somebody, and a negated or reported one less again.
+
+Targets, negations, verbs of speech and threats are fixed words and keep their role whatever is learnt.
+Insults are the seeds and the words and word beginnings that labelled training rows tell apart, MAX_TERMS
+at most (the ones of greatest odds), words of MAX_WORD characters at most; they enter as weights of the
+insult transducer. They and the curve are fitted on FIT_ROWS labelled rows at most, the ones of smallest
+hash of doc_id and text; rows that repeat both train once, near copies among the rest count as one. Rows
+whose crc32(doc_id as text) mod 4 is 2 are held out and never fitted. Labels, language, source and doc_id
+are no inputs of a score.
 
 Defined results: null and empty texts have the features 0; labels that are null, of unknown ids or neither
 0 nor 1 are ignored, an id with both is toxic; without usable labels of both kinds the seeds and a fixed
@@ -19,10 +31,12 @@ curve score; repeated rows are scored each; an empty table gives an empty one.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +51,10 @@ MAX_TERMS = 2_000
 THRESHOLD = 0.3
 PREFIXES = (4, 5, 6, 7, 8)
 MAX_WEIGHT = 8.0
+MAX_WORD = 40
 CACHED = 400_000
+ALONE, NEGATED, REPORTED = 0.1, 0.3, 0.5
+SCOPE = 3
 
 # The grammar's seed words.
 INSULTS = "idiot idiots moron morons stupid dumb loser losers scum trash worthless pathetic disgusting clown fool jerk idiote imbécile connard dummkopf trottel arschloch estúpido imbécil".split()
@@ -48,7 +65,7 @@ REPORTS = "said says say told tells quoted quote called wrote reported claimed a
 SEED_WEIGHT = 2.0
 THREAT_WEIGHT = 1.5
 
-_CLAUSE = re.compile(r"[.!?;:|\n]+")
+_CLAUSE = re.compile(r"[.!?;|\n]+")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[\"“”«»]")
 _EDGES = ".,;:!?|\"'()[]{}<>*&%$#@+-=/\\“”«»’‘…—–"
 
@@ -57,72 +74,85 @@ INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, OTHER = "ihtnrqo"
 
 @dataclass(frozen=True)
 class Transducer:
-    """States from `start`; step gives the next state, a factor and a bonus for what the symbol emits."""
+    """A path begins in each of `starts`; step gives the next state and a factor for what the symbol emits, or
+    None where the path ends; a path counts if it stops in one of `finals` (None: in any)."""
 
-    start: int
-    step: Callable[[int, str], tuple[int, float, float]]
+    starts: tuple[int, ...]
+    step: Callable[[int, str], tuple[int, float] | None]
+    finals: frozenset[int] | None = None
 
 
-def _negation(state: int, symbol: str) -> tuple[int, float, float]:
-    """The three words after a negation are in its scope."""
-    if symbol == NEGATION:
-        return 3, 1.0, 0.0
-    return max(0, state - 1), 0.5 if state and symbol in (INSULT, THREAT) else 1.0, 0.0
+def aimed(kind: str) -> Transducer:
+    """Symbols of `kind` whole where the clause has a target, else ALONE. A target right before a verb of speech
+    is the speaker and none. State 0: none comes, 1: one will, 2: one came; 3 and 4: 0 and 1 after what may be a speaker."""
 
+    def step(state: int, symbol: str) -> tuple[int, float] | None:
+        if state >= 3:
+            if symbol == REPORT:
+                return state - 3, 1.0
+            if state == 3:
+                return None
+            state = 2
+        if symbol == TARGET:
+            return (3, 4, 2)[state], 1.0
+        return state, ALONE if symbol == kind and state == 0 else 1.0
 
-def _report(state: int, symbol: str) -> tuple[int, float, float]:
-    """After a verb of speech, to the clause's end; between quotation marks. State: bit 0 verb, bit 1 quotation."""
-    if symbol == REPORT:
-        return state | 1, 1.0, 0.0
-    if symbol == QUOTE:
-        return state ^ 2, 1.0, 0.0
-    return state, 0.6 if state and symbol in (INSULT, THREAT) else 1.0, 0.0
+    return Transducer((0, 1), step, frozenset((0, 2, 4)))
 
 
-def _target(state: int, symbol: str) -> tuple[int, float, float]:
-    """State: words left of a target's reach (1 to 4), or of an insult's (5 to 8), in which the other adds to it."""
-    reach = state if state <= 4 else state - 4
-    if symbol == TARGET:
-        return 4, 1.0, 0.5 if state > 4 else 0.0
-    if symbol == INSULT:
-        return 8, 1.0, 0.5 if 0 < state <= 4 else 0.0
-    return (0 if reach <= 1 else state - 1), 1.0, 0.0
+def _negation(state: int, symbol: str) -> tuple[int, float]:
+    """State: words that are left of a negation's scope."""
+    if symbol == NEGATION:
+        return SCOPE, 1.0
+    return max(0, state - 1), NEGATED if state and symbol in (INSULT, THREAT) else 1.0
 
 
-def _threat(state: int, symbol: str) -> tuple[int, float, float]:
-    """State 1: a target was met, 2: a threat waits for one. A threat alone emits a tenth."""
-    if symbol == TARGET:
-        return 1, 1.0, 0.9 * THREAT_WEIGHT if state == 2 else 0.0
-    if symbol == THREAT:
-        return (1, 1.0, 0.0) if state == 1 else (2, 0.1, 0.0)
-    return state, 1.0, 0.0
+def _report(state: int, symbol: str) -> tuple[int, float]:
+    """State: bit 0 after a verb of speech, bit 1 between quotation marks."""
+    if symbol == REPORT:
+        return state | 1, 1.0
+    if symbol == QUOTE:
+        return state ^ 2, 1.0
+    return state, REPORTED if state and symbol in (INSULT, THREAT) else 1.0
 
 
 class Composed:
-    """The composition of transducers that read the same symbols: factors multiply, bonuses add. Its table fills as it is used."""
+    """The composition of transducers that read the same symbols: their factors multiply, and a path of the
+    composition is one of each. Its table of steps fills as it is used."""
 
     def __init__(self, parts: tuple[Transducer, ...]):
-        self.parts, self.start = parts, tuple(p.start for p in parts)
-        self.table: dict[tuple, tuple] = {}
+        self.parts, self.starts = parts, tuple(product(*(p.starts for p in parts)))
+        self.table: dict[tuple, tuple | None] = {}
 
-    def step(self, state: tuple, symbol: str) -> tuple[tuple, float, float]:
-        known = self.table.get((state, symbol))
-        if known is None:
+    def step(self, state: tuple, symbol: str) -> tuple[tuple, float] | None:
+        at = state, symbol
+        if at not in self.table:
             found = [p.step(s, symbol) for p, s in zip(self.parts, state, strict=True)]
-            known = tuple(f[0] for f in found), float(np.prod([f[1] for f in found])), sum(f[2] for f in found)
-            self.table[state, symbol] = known
-        return known
+            self.table[at] = None if None in found else (tuple(f[0] for f in found), math.prod(f[1] for f in found))
+        return self.table[at]
+
+    def _accepts(self, state: tuple) -> bool:
+        return all(p.finals is None or s in p.finals for p, s in zip(self.parts, state, strict=True))
 
     def score(self, symbols: list[tuple[str, float]]) -> float:
-        state, total = self.start, 0.0
-        for symbol, weight in symbols:
-            state, factor, bonus = self.step(state, symbol)
-            total += weight * factor + bonus
-        return total
+        """What the symbols emit on accepted paths; the grammar's guesses leave one."""
+        scored = 0.0
+        for state in self.starts:
+            total = 0.0
+            for symbol, weight in symbols:
+                step = self.step(state, symbol)
+                if step is None:
+                    break
+                state, factor = step
+                total += weight * factor
+            else:
+                if self._accepts(state):
+                    scored += total
+        return scored
 
 
 def grammar() -> Composed:
-    return Composed((Transducer(0, _negation), Transducer(0, _report), Transducer(0, _target), Transducer(0, _threat)))
+    return Composed((aimed(INSULT), aimed(THREAT), Transducer((0,), _negation), Transducer((0,), _report)))
 
 
 @dataclass
@@ -135,8 +165,8 @@ class Model:
     curve: tuple[float, ...] = (-4.0, 2.0, 2.0, 0.0)
 
     def __post_init__(self):
-        self.symbols = {w: (TARGET, 0.0) for w in TARGETS} | {w: (NEGATION, 0.0) for w in NEGATIONS} | {w: (REPORT, 0.0) for w in REPORTS}
-        self.symbols |= {w: (THREAT, THREAT_WEIGHT) for w in THREATS} | {w: (QUOTE, 0.0) for w in '"“”«»'}
+        self.roles = {w: (THREAT, THREAT_WEIGHT) for w in THREATS} | {w: (QUOTE, 0.0) for w in '"“”«»'}
+        self.roles |= {w: (TARGET, 0.0) for w in TARGETS} | {w: (NEGATION, 0.0) for w in NEGATIONS} | {w: (REPORT, 0.0) for w in REPORTS}
         self.seeds = dict.fromkeys(INSULTS, SEED_WEIGHT)
         self.known: dict[str, tuple[str, float]] = {}
         self.machine = grammar()
@@ -151,9 +181,11 @@ class Model:
         """The lexical transducer: a word's symbol and weight."""
         found = self.known.get(word)
         if found is None:
-            weight = max([self.words.get(word, 0.0), self.seeds.get(word, 0.0), *(self.prefixes.get(word[:n], 0.0) for n in PREFIXES if len(word) >= n)])
-            found = (INSULT, weight) if weight > 0 else self.symbols.get(word, (OTHER, 0.0))
-            if len(word) <= 40:
+            found = self.roles.get(word)
+            if found is None:
+                weight = max([self.words.get(word, 0.0), self.seeds.get(word, 0.0), *(self.prefixes.get(word[:n], 0.0) for n in PREFIXES if len(word) >= n)])
+                found = (INSULT, weight) if weight > 0 else (OTHER, 0.0)
+            if len(word) <= MAX_WORD:
                 if len(self.known) >= CACHED:
                     self.known.clear()
                 self.known[word] = found
@@ -193,11 +225,15 @@ def held_out(id_col: str = "doc_id"):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, most: int) -> DataFrame:
-    """doc_id, toxic, text of `most` labelled rows that are not held out, the ones of smallest hash."""
+    """toxic, text of `most` labelled rows at most that are not held out, the ones of smallest hash of doc_id and text.
+
+    Rows that repeat an id and a text are one. What is broadcast is `most` ids, then `most` hashes of rows."""
     own = labels.select(labels["doc_id"].alias("doc_id"), labels["toxic"].cast("int").alias("toxic")).where(F.col("toxic").isin(0, 1) & ~held_out())
     own = own.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    texts = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    return texts.join(F.broadcast(own), "doc_id")  # `most` ids
+    texts = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text")).join(F.broadcast(own), "doc_id")
+    hashed = texts.withColumn("row", F.xxhash64("doc_id", "text"))
+    rows = hashed.select("row").distinct().orderBy("row").limit(most)
+    return hashed.join(F.broadcast(rows), "row").groupBy("row").agg(F.max("toxic").alias("toxic"), F.first("text").alias("text")).select("toxic", "text")
 
 
 def _near_key(words: list[str]) -> int:
@@ -214,7 +250,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             keys = [_near_key((t or "").lower().split()) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.int64())], ["toxic", "text", "near"])
 
-    rows = training_rows(docs, labels, id_col, text_col, most).select("toxic", "text")
+    rows = training_rows(docs, labels, id_col, text_col, most)
     rows = written(rows.mapInArrow(keyed, "toxic int, text string, near long"), "training")
     groups = rows.groupBy("near").agg(F.count("*").alias("n"))
     rows = rows.join(F.broadcast(groups), "near").select("toxic", "text", (1 / F.col("n")).alias("weight"))  # `most` rows at most
@@ -227,7 +263,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             held: dict[str, list[float]] = defaultdict(lambda: [0.0, 0.0])
             for toxic, text, weight in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 words = {w.strip(_EDGES) for w in (text or "").lower().split()}
-                terms = {"=" + w for w in words if 1 < len(w) <= 40} | {"^" + w[:n] for w in words for n in PREFIXES if len(w) >= n}
+                terms = {"=" + w for w in words if 1 < len(w) <= MAX_WORD} | {"^" + w[:n] for w in words for n in PREFIXES if len(w) >= n}
                 for term in terms:
                     held[term][toxic] += weight
             values = list(held.values())

@@ -271,20 +271,59 @@ def test_grammar_scores_clauses_not_words():
     assert model.features(None) == model.features("") == (0.0, 0.0, 0.0)
 
 
-def test_composition_is_the_product():
-    parts = (toxicity.Transducer(0, toxicity._negation), toxicity.Transducer(0, toxicity._report))
-    both = toxicity.Composed(parts)
+def brute_features(model, text):
+    """Sum, largest clause and sum by length, from the written rules alone: no transducers, no shortcuts."""
+    clauses = [re.findall("[^\\W\\d_]+(?:['’][^\\W\\d_]+)*|[\"“”«»]", c) for c in re.split("[.!?;|\n]+", (text or "").lower())]
+    scores = []
+    for words in clauses:
+        aimed = any(w in toxicity.TARGETS and not (i + 1 < len(words) and words[i + 1] in toxicity.REPORTS) for i, w in enumerate(words))
+        score = 0.0
+        for i, w in enumerate(words):
+            if w in toxicity.TARGETS or w in toxicity.NEGATIONS or w in toxicity.REPORTS or w in '"“”«»':
+                continue
+            weight = toxicity.THREAT_WEIGHT if w in toxicity.THREATS else max([model.words.get(w, 0), 2.0 * (w in toxicity.INSULTS), *(v for p, v in model.prefixes.items() if w.startswith(p))])
+            negated = any(x in toxicity.NEGATIONS for x in words[max(0, i - 3) : i])
+            reported = any(x in toxicity.REPORTS for x in words[:i]) or sum(x in '"“”«»' for x in words[:i]) % 2
+            score += weight * (1 if aimed else 0.1) * (0.3 if negated else 1) * (0.5 if reported else 1)
+        scores.append(score)
+    return sum(scores), max(scores), 100 * sum(scores) / max(100, len((text or "").split()))
+
+
+def test_grammar_equals_brute_force():
+    model = toxicity.Model({"zog": 3.0, "you": 9.0, "not": 9.0, "kill": 9.0}, {"blar": 1.5})
+    vocabulary = ["zog", "blarney", "idiot", "kill", "hurt", "you", "he", "not", "never", "said", "told", '"', "so", "thing", "a-zog", "don't", ".", ";", "\n", "!"]
     r = random.Random(6)
-    for _ in range(200):
-        symbols = [(r.choice("ihtnrqo"), 1.0) for _ in range(r.randint(0, 12))]
-        state, want = [0, 0], 0.0
-        for s, w in symbols:
-            factor = 1.0
-            for k, p in enumerate(parts):
-                state[k], f, bonus = p.step(state[k], s)
-                factor, want = factor * f, want + bonus
-            want += w * factor
-        assert both.score(symbols) == pytest.approx(want)
+    for _ in range(2000):
+        text = " ".join(r.choices(vocabulary, k=r.randint(0, 25)))
+        assert model.features(text) == pytest.approx(brute_features(model, text)), text
+
+
+def test_negation_reports_and_targets_decide():
+    model = toxicity.Model()
+    total = lambda text: model.features(text)[0]
+    for plain, negated, quoted, reported in (
+        ("i will kill you", "i will not kill you", 'he wrote "i will kill you"', "he said i will kill you"),
+        ("you are an idiot", "you are not an idiot", '"you are an idiot"', "they say you are an idiot"),
+    ):
+        assert total(plain) > 0
+        for weaker in (negated, quoted, reported):
+            assert 0 < total(weaker) <= 0.6 * total(plain)
+    assert total("the idiot ran") < 0.5 * total("you idiot ran") and total("kill") < 0.5 * total("kill you")
+    flags = [model.score([model.features(t)])[0] >= toxicity.THRESHOLD for t in ("you idiot", "the idiot ran", "you are not an idiot")]
+    assert flags == [True, False, False]
+    learnt = toxicity.Model({"you": 5.0, "not": 5.0, "said": 5.0, "kill": 5.0})
+    assert learnt.features("you said not") == (0.0, 0.0, 0.0) and learnt.features("kill you") == model.features("kill you")
+
+
+def test_training_rows_are_bounded(spark):
+    """Many rows of one id, alike or not, don't exceed the bound."""
+    rows = [(1, f"text {i % 50}", "s") for i in range(3000)] + [(i, "same", "s") for i in range(3, 60)]
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    for most in (10, 1000):
+        found = toxicity.training_rows(frame(spark, rows), labels, "doc_id", "text", most).collect()
+        assert 0 < len(found) <= most
+        assert sorted(found) == sorted(toxicity.training_rows(frame(spark, rows[::-1]), labels, "doc_id", "text", most).collect())
+    assert len([r for r in found if r.text.startswith("text")]) == 50  # repeats of an id and a text are one
 
 
 def labelled(spark, n=1200):
@@ -328,8 +367,16 @@ def test_toxicity_edges(spark):
 
 
 def test_toxicity_query(spark):
-    rows = queries.op10_toxicity(spark, SF).collect()
-    assert len(rows) == documents(spark).count() and rows[0].asDict().keys() == {"doc_id", "held_out", "score", "predicted"}
+    """Every row's score is the curve over features by brute force."""
+    docs = documents(spark)
+    model = toxicity.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    rows = {r.doc_id: r for r in queries.op10_toxicity(spark, SF).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert rows.keys() == texts.keys() and set(rows[1].asDict()) == {"doc_id", "held_out", "score", "predicted"}
+    for d, text in texts.items():
+        want = 1 / (1 + np.exp(-(model.curve[0] + np.dot(np.log1p(brute_features(model, text)), model.curve[1:]))))
+        assert rows[d].score == pytest.approx(want, abs=1e-9) and rows[d].predicted == int(rows[d].score >= 0.3)
+        assert rows[d].held_out == (zlib.crc32(str(d).encode()) % 4 == 2)
 
 
 def test_pipeline_stages(spark):
