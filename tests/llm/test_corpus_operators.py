@@ -257,6 +257,39 @@ def test_top_k_bounds_hold():
         coarse = bound
 
 
+def like_vectors(n=6000):
+    """Vectors of 60 kinds that differ by segment, with little noise."""
+    rng = np.random.default_rng(8)
+    kinds = np.repeat(rng.normal(size=(60, 8)), 8, axis=1)
+    return np.floor(64 * (kinds[rng.integers(0, 60, n)] + 0.05 * rng.normal(size=(n, 64))))
+
+
+def test_most_like_vectors_fall_before_exact_scores():
+    c = like_vectors()
+    q, ids = c[::20], np.arange(len(c))
+    exact = np.sort(q @ c.T, axis=1)[:, -20].astype(float)
+    best, counts = topk.Best(q, ids[::20], exact, 20), []
+    topk.survivors(best.of, np.arange(len(q)), topk.Block(c, ids, 64), exact, counts)
+    pairs = len(q) * len(c)
+    assert counts == sorted(counts, reverse=True) and counts[-1] < 0.05 * pairs  # before any exact score
+    points = topk.centres(c[:1000], 30)
+    cells = topk._nearest(c, points)
+    skipped = [topk.block_bounds(best.of, *(b := topk.Block(c[cells == k], ids[cells == k], 64)).extremes(), b.reach) < exact for k in np.unique(cells)]
+    assert np.mean(skipped) > 0.7  # blocks that a query need not enter
+
+
+def test_top_k_of_like_vectors_in_many_blocks(spark):
+    c = like_vectors(2000) / 64
+    rows = [(int(i), [float(x) for x in v]) for i, v in enumerate(c)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk.top_k(df, query_block=16, candidate_block=64, sample=200, stripe_rows=256).collect()
+    whole = (c * 64).astype(np.int64)
+    for i in range(0, len(rows), 20):
+        score = whole @ whole[i]
+        order = sorted((-int(s), j) for j, s in enumerate(score) if j != i)[:20]
+        assert sorted((r.rank, r.vec_id, r.score) for r in found if r.query_id == i) == [(n + 1, j, -s) for n, (s, j) in enumerate(order)]
+
+
 def test_grammar_scores_clauses_not_words():
     model = toxicity.Model()
     total = lambda text: model.features(text)[0]
