@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
+import warnings
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,28 +21,58 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return _own.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="cuefold-"))
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: computed once, safe from lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/cuefold-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+def _path(spark: SparkSession, label: str) -> str:
     if not _written:
         atexit.register(release)
+    path = f"{shared_dir(spark)}/cuefold-{label}-{uuid.uuid4().hex}"
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def written(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """df as a Parquet table in the shared folder, in folders by the columns of `by`: computed once, safe from lost executors."""
+    path = _path(df.sparkSession, label)
+    df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def gathered(parts: Iterable[DataFrame], label: str) -> DataFrame:
+    """The rows of all parts, one at least, in one table. Parts are computed one after the other, so that only one's broadcasts are held."""
+    path = None
+    for part in parts:
+        if path is None:
+            spark, schema, path = part.sparkSession, part.schema, _path(part.sparkSession, label)
+        part.write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+@contextmanager
+def scope() -> Iterator[None]:
+    """Tables written within go at its end, whatever happens; results must be consumed or written elsewhere before."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        release(before)
+
 
+def release(keep: int = 0) -> None:
+    """Delete the tables that this process has written, but for the first `keep`. Their DataFrames can't be read afterwards.
 
-def release() -> None:
-    """Delete the tables that this process has written. Their DataFrames can't be read afterwards."""
-    while _written:
+    A folder that can't be deleted (its session has ended, its store fails) does not keep the others; it is
+    named in a warning. After a driver's loss, delete cuefold-* in the shared folder by hand."""
+    while len(_written) > keep:
         spark, path = _written.pop()
         try:
             at = spark._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-        except Exception:  # the session has ended
-            return
+        except Exception as e:
+            if path.startswith("file:") or path.startswith("/"):
+                shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
+            else:
+                warnings.warn(f"{path} stays: {type(e).__name__}", stacklevel=2)
