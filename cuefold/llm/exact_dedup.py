@@ -1,28 +1,36 @@
 """Exact dedup by two passes around a Bloom filter, with DataFrame functions alone.
 
 Pass one hashes every normalised text and builds a Bloom filter of repeats: HASHES bit positions for each
-hash, in words of 64 bits; a word holds the bits that were set more than once. Its size follows the row
-count up to MAX_BITS, so the words that hold a repeat, broadcast, have a proven bound. Pass two probes it:
-a row with a position that was set only once is alone and passes straight through; only the rest, the
-possibly repeated hashes, shuffle. Groups of HOT rows or more are few (rows / HOT at most, HOT grows with
-the rows); they are summed before any shuffle and broadcast, so no task gathers a large group.
+hash, in words of 64 bits; a word holds the bits that were set more than once. A filter has BITS_PER_ROW bits
+for each row. Where that is more than max_bits, the hashes are dealt by other bits into as many slices as keep
+it below, each with a filter of its own, one after the other; so the words that hold a repeat, broadcast, have
+a proven bound at any number of rows. Pass two probes the filter: a row with a position that was set only once
+is alone and passes straight through; only the rest, the possibly repeated hashes, shuffle. Groups of HOT rows
+or more are few (rows / HOT at most, HOT grows with the rows); they are summed before any shuffle and
+broadcast, so no task gathers a large group. Hashes, ids and places in files move, texts never do.
 
 Texts are equal when identical after lower-casing A-Z. Of equal texts the row with the largest doc_id stays
-(a null doc_id is the smallest). Null counts as empty; of rows that repeat wholly, doc_id too, one stays;
+(a null doc_id is the smallest). Null counts as empty; of rows that share text and doc_id one stays, in
+drop_copies the one whose columns have the greatest hash, and of rows that repeat wholly the last by place;
 an empty table gives an empty one; columns beyond the id and the text are ignored, or kept by drop_copies.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cuefold.llm.storage import written
+from cuefold.llm.rows import Rows
+from cuefold.llm.storage import gathered, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HASHES = 2
 BITS_PER_ROW = 16
-MAX_BITS = 1 << 26
+#: Of one filter: 4 M words at most, of which about a third hold a repeat by chance, of 16 bytes each.
+MAX_BITS = 1 << 28
+MAX_FOLDERS = 256
 HOT = 64
 MAX_HOT = 20_000
 
@@ -35,10 +43,28 @@ def digest(text: Column) -> Column:
     return F.unhex(F.sha2(normalised(text), 256))
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, sha and a row number rid of every row, written once."""
-    slim = docs.select(docs[id_col].alias("doc_id"), digest(docs[text_col]).alias("sha"), F.monotonically_increasing_id().alias("rid"))
-    return written(slim, "digests")
+def digests(docs: DataFrame, id_col: str, text_col: str, order: list[Column]) -> DataFrame:
+    """sha and own (doc_id, then `order`, which tells rows apart) of every row, written once."""
+    own = F.struct(docs[id_col].alias("doc_id"), *order)
+    return written(docs.select(digest(docs[text_col]).alias("sha"), own.alias("own")), "digests")
+
+
+def slices(slim: DataFrame, max_bits: int = MAX_BITS) -> Iterator[tuple[DataFrame, int]]:
+    """Rows of slim and their number (about, for slices) in parts of which each has BITS_PER_ROW bits a row in max_bits."""
+    n_rows = slim.count()
+    n = 1
+    while BITS_PER_ROW * n_rows > n * max_bits:
+        n *= 2
+    if n == 1:
+        yield slim, n_rows
+        return
+    part = F.pmod(F.conv(F.hex(F.substring("sha", 29, 4)), 16, 10).cast("long"), F.lit(n))  # positions use other bytes
+    per_folder = -(-n // MAX_FOLDERS)
+    dealt = slim.withColumn("slice", part).withColumn("folder", F.floor(F.col("slice") / per_folder).cast("int"))
+    dealt = written(dealt, "slices", by=("folder",))
+    for k in range(n):
+        own = dealt.where((F.col("folder") == k // per_folder) & (F.col("slice") == k))
+        yield own.drop("slice", "folder"), -(-n_rows // n)
 
 
 def _bits(n_rows: int, max_bits: int) -> int:
@@ -77,56 +103,54 @@ def probed(rows: DataFrame, words: DataFrame, bits: int) -> DataFrame:
     return held.withColumn("maybe", maybe).drop("_at", *[f"_{x}{k}" for x in "wt" for k in range(HASHES)])
 
 
-def grouped(slim: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """slim with keep_id, keep_rid and group_size: which row of each group stays."""
-    n_rows = slim.count()
+def _grouped(slim: DataFrame, n_rows: int, max_bits: int) -> DataFrame:
     words, bits = repeats(slim, n_rows, max_bits)
     rows = probed(slim, written(words, "bloom"), bits)
-    alone = rows.where(~F.col("maybe")).select(
-        "doc_id", "sha", "rid", F.col("doc_id").alias("keep_id"), F.col("rid").alias("keep_rid"), F.lit(1).cast("long").alias("group_size")
-    )
-    maybe = written(rows.where("maybe").select("doc_id", "sha", "rid"), "candidates")
+    alone = rows.where(~F.col("maybe")).select("sha", "own", F.col("own").alias("best"), F.lit(1).cast("long").alias("group_size"))
+    maybe = written(rows.where("maybe").select("sha", "own"), "candidates")
     least = max(HOT, n_rows // MAX_HOT)
-    best = F.max(F.struct("doc_id", "rid"))
-    large = maybe.groupBy("sha").agg(F.count("*").alias("group_size"), best.alias("k")).where(F.col("group_size") >= least)
-    large = large.select("sha", F.col("k.doc_id").alias("keep_id"), F.col("k.rid").alias("keep_rid"), "group_size")  # n_rows / least rows at most
-    large = written(large, "large")
+    best = F.max("own")
+    large = maybe.groupBy("sha").agg(best.alias("best"), F.count("*").alias("group_size")).where(F.col("group_size") >= least)
+    large = written(large, "large")  # n_rows / least rows at most
     in_large = maybe.join(F.broadcast(large), "sha").select(alone.columns)
     small = maybe.join(F.broadcast(large.select("sha")), "sha", "left_anti")
     same = Window.partitionBy("sha")  # fewer than `least` rows each
-    in_small = small.select("doc_id", "sha", "rid", best.over(same).alias("k"), F.count("*").over(same).alias("group_size"))
-    in_small = in_small.select("doc_id", "sha", "rid", F.col("k.doc_id").alias("keep_id"), F.col("k.rid").alias("keep_rid"), "group_size")
+    in_small = small.select("sha", "own", best.over(same).alias("best"), F.count("*").over(same).alias("group_size"))
     return alone.unionByName(in_large).unionByName(in_small)
 
 
+def grouped(slim: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """slim with best (the own of the row that stays of its group) and group_size."""
+    parts = slices(slim, max_bits)
+    first, n_rows = next(parts)
+    if first is slim:
+        return _grouped(slim, n_rows, max_bits)
+
+    def all_parts() -> Iterator[DataFrame]:
+        yield _grouped(first, n_rows, max_bits)
+        for part, n in parts:
+            yield _grouped(part, n, max_bits)
+
+    return gathered(all_parts(), "groups")
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
-    found = grouped(digests(docs, id_col, text_col), max_bits)
-    kept = F.col("rid") == F.col("keep_rid")
-    return found.select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+    found = grouped(digests(docs, id_col, text_col, [F.monotonically_increasing_id().alias("rid")]), max_bits)
+    kept = F.col("own.rid") == F.col("best.rid")
+    return found.select(
+        F.col("own.doc_id").alias("doc_id"), F.col("best.doc_id").alias("keep_id"), "group_size", kept.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256")
+    )
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
-    """docs without the rows that exact_dedup does not keep, all columns.
-
-    The rows go by the filter once more: those it clears pass straight through without a shuffle. Of the
-    others, a row of a group's largest doc_id stays; where several rows share that too, one of them.
-    """
-    slim = digests(docs, id_col, text_col)
-    n_rows = slim.count()
-    words, bits = repeats(slim, n_rows, max_bits)
-    words = written(words, "bloom")
-    least = max(HOT, n_rows // MAX_HOT)
-    large = probed(slim, words, bits).where("maybe").groupBy("sha").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("n"))
-    large = written(large.where(F.col("n") >= least).select("sha", "keep_id"), "large")
-    rows = docs.select(F.struct("*").alias("doc"), docs[id_col].alias("doc_id"), digest(docs[text_col]).alias("sha"))
-    rows = probed(rows, words, bits)
-    maybe = rows.where("maybe")
-    in_large = maybe.join(F.broadcast(large), "sha").where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    in_large = in_large.groupBy("sha").agg(F.first("doc").alias("doc"))  # summed before the shuffle
-    in_small = maybe.join(F.broadcast(large.select("sha")), "sha", "left_anti")
-    in_small = in_small.withColumn("rank", F.row_number().over(Window.partitionBy("sha").orderBy(F.desc_nulls_last("doc_id")))).where("rank = 1")
-    return rows.where(~F.col("maybe")).select("doc").unionByName(in_large.select("doc")).unionByName(in_small.select("doc")).select("doc.*")
+    """docs, all columns, without the rows that are not the best of their group."""
+    rows = Rows(docs)
+    column = lambda f: rows.docs[f"`{f.name}`"]
+    hashable = [F.to_json(F.struct(column(f))) if any(x in f.dataType.simpleString() for x in ("map<", "variant")) else column(f) for f in rows.docs.schema]
+    slim = digests(rows.docs, id_col, text_col, [F.xxhash64(*hashable).alias("row"), *rows.place()])
+    found = grouped(slim, max_bits).where(~((F.col("own.row_file") == F.col("best.row_file")) & (F.col("own.row_at") == F.col("best.row_at"))))
+    return rows.without(found.select("own.row_file", "own.row_at"))
 
 
 def oracle() -> str:

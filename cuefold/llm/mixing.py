@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cuefold.llm.rows import Rows
 from cuefold.llm.storage import written
 
 WEIGHTS = (5, 2, 1)
@@ -35,14 +36,14 @@ def words(text: Column) -> Column:
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """doc_id, source (as a struct, so that null is a value), size, place of every row, written once."""
-    return written(_placed(docs.select(*_slim_columns(docs, id_col, text_col, source_col))), "sizes")
+    return written(_placed(docs.select(*_slim_columns(docs, id_col, text_col, source_col, F.monotonically_increasing_id()))), "sizes")
 
 
-def _slim_columns(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> list[Column]:
+def _slim_columns(docs: DataFrame, id_col: str, text_col: str, source_col: str, rid: Column) -> list[Column]:
     source = docs[source_col].cast("string")
     return [
         docs[id_col].alias("doc_id"), F.struct(source.isNull().alias("missing"), F.coalesce(source, F.lit("")).alias("name")).alias("source"),
-        words(docs[text_col]).alias("size"), F.monotonically_increasing_id().alias("rid"),
+        words(docs[text_col]).alias("size"), rid.alias("rid"),
     ]
 
 
@@ -149,8 +150,11 @@ def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source",
 def mixed_documents(
     docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", weights=WEIGHTS, budget: float = BUDGET, most: int = MAX_EPOCHS
 ) -> DataFrame:
-    """The rows that the mix takes, all columns, as often as it takes them. No row is shuffled."""
-    slim = sizes(docs, id_col, text_col, source_col)
-    rows = docs.select(F.struct("*").alias("doc"), *_slim_columns(docs, id_col, text_col, source_col))
-    rows = _taken(_placed(rows), _edges(slim, weights, budget, most), most)
+    """The rows that the mix takes, all columns, as often as it takes them. No row is shuffled.
+
+    Rows of one id, source and size are told apart by their place in the files, which both readings share."""
+    read = Rows(docs)
+    columns = _slim_columns(read.docs, id_col, text_col, source_col, F.xxhash64(*read.place()))
+    slim = written(_placed(read.docs.select(*columns)), "sizes")
+    rows = _taken(_placed(read.docs.select(F.struct("*").alias("doc"), *columns)), _edges(slim, weights, budget, most), most)
     return rows.where("copies > 0").select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc.*")
