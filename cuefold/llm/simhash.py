@@ -3,14 +3,19 @@
 A document's fingerprint has a bit set where more than half of its shingles' hashes have it. Distinct
 fingerprints are indexed by each of their two 32-bit segments. Two that differ in DISTANCE = 3 bits or
 fewer differ in one bit at most in one segment; so for each fingerprint and segment the ball of radius 1
-(33 keys) is enumerated, the index's matches are fetched, and the complete distance is verified. Links
-between distinct fingerprints are contracted to components: in each round every node joins the neighbour
-of least random priority, edges are renamed, and what has become one node goes, until no edge is left.
-
-Copies share a fingerprint and never meet in a join among themselves. Texts are lower-cased in A-Z; words
-are runs of characters other than \\x20 and \\x09-\\x0D. Fewer words than a shingle has are one shingle;
-no words (null and empty texts too) give fingerprint 0, which is linked like any other. Rows that repeat
-an id have fingerprints of their own; a null doc_id is never a component's id unless all of its are null.
+is enumerated (the key itself and, from the side that lacks the bit, those with one bit more), the index's
+matches are fetched, and the complete distance is verified. A key that more than FULL fingerprints share is
+split: its other segment's two 16-bit halves differ in one bit at most in one of them, so balls of radius 1
+in these are keys of a second index. A second key leaves 16 bits open, so it holds 65,536 fingerprints at
+most, however many there are. Links between distinct fingerprints are contracted to components: in each round
+every node joins the neighbour of least random priority, edges are renamed, and what has become one node goes,
+until no edge is left.
+
+Copies share a fingerprint and never meet in a join among themselves; fingerprints and components of many rows
+are broadcast as one row each. Texts are lower-cased in A-Z; words are runs of characters other than \\x20 and
+\\x09-\\x0D. Fewer words than a shingle has are one shingle; no words (null and empty texts too) give fingerprint
+0, which is linked like any other. Rows that repeat an id have fingerprints of their own; a null doc_id is never
+a component's id unless all of its are null.
 """
 
 from __future__ import annotations
@@ -24,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from cuefold.llm.rows import Rows, of_hot_keys
 from cuefold.llm.storage import written
 
 SHINGLE = 3
@@ -31,7 +37,12 @@ SEED = 42
 DISTANCE = 3
 SEGMENTS = 2
 CHUNK = 1 << 16
-MAX_BROADCAST_IDS = 500_000
+#: Fingerprints of a key above which it is split; it grows so that MAX_FULL such keys, 8 bytes each, are broadcast at most.
+FULL = 64
+MAX_FULL = 1 << 20
+#: Rows of a fingerprint or component above which it is broadcast; it grows so that these are MAX_HOT at most.
+HOT = 64
+MAX_HOT = 20_000
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -67,19 +78,42 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return slim.mapInArrow(hashed, StructType([*kept.fields, StructField("fp", LongType())]))
 
 
-def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def _half(fp: str, k: int) -> Column:
+    return F.shiftrightunsigned(fp, 32 * k).bitwiseAND(F.lit(0xFFFFFFFF))
+
+
+def _ball(bits: int, first: int = 0) -> Column:
+    """0 and the numbers with one of `bits` bits, from bit `first` on."""
+    return F.array(F.lit(0).cast("long"), *[F.lit(1 << (first + i)).cast("long") for i in range(bits)])
+
+
+def candidates(distinct: DataFrame, full: int = FULL, max_full: int = MAX_FULL) -> DataFrame:
+    """Pairs (a, b) of fingerprints (column fp of `distinct`) that meet in an index, each order once at most for a key."""
+    keys = F.array(*[F.struct(_half("fp", k).bitwiseOR(F.lit(k << 32)).alias("key"), _half("fp", 1 - k).alias("rest")) for k in range(SEGMENTS)])
+    index = distinct.select("fp", F.explode(keys).alias("at")).select("fp", "at.key", "at.rest")
+    probes = index.select("fp", "rest", "key", F.explode(_ball(32)).alias("flip")).where(F.col("key").bitwiseAND(F.col("flip")) == 0)
+    probes = probes.select("fp", "rest", F.col("key").bitwiseOR(F.col("flip")).alias("key"), (F.col("flip") == 0).alias("same"))
+    once = ~F.col("same") | (F.col("a") < F.col("b"))  # keys that differ are probed from one side only
+    least = max(full, 2 * distinct.count() // max_full)
+    crowded = written(index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > least).select("key"), "full")
+    if crowded.isEmpty():
+        return probes.withColumnRenamed("fp", "a").join(index.select(F.col("fp").alias("b"), "key"), "key").where(once).select("a", "b")
+    few = F.broadcast(crowded)  # max_full keys at most
+    plain = probes.join(few, "key", "left_anti").withColumnRenamed("fp", "a").join(index.join(few, "key", "left_anti").select(F.col("fp").alias("b"), "key"), "key")
+    part = lambda j, flip: F.shiftright(F.col("rest").bitwiseXOR(flip), 16 * j).bitwiseAND(F.lit(0xFFFF)).bitwiseOR(F.lit(j << 16))
+    nothing = F.lit(0).cast("long")
+    second = index.join(few, "key", "left_semi").select(F.col("fp").alias("b"), "key", F.explode(F.array(*[part(j, nothing) for j in range(2)])).alias("part"))
+    asked = probes.join(few, "key", "left_semi").select(F.col("fp").alias("a"), "rest", "key", "same", F.explode(_ball(16)).alias("turn"))
+    asked = asked.select("a", "key", "same", F.explode(F.array(*[part(j, F.col("turn") * (1 << 16 * j)) for j in range(2)])).alias("part"))
+    return plain.where(once).select("a", "b").unionByName(asked.join(second, ["key", "part"]).where(once).select("a", "b"))
+
+
+def links(distinct: DataFrame, distance: int = DISTANCE, full: int = FULL) -> DataFrame:
     """Pairs a < b of fingerprints (column fp of `distinct`) that differ in `distance` bits or fewer."""
     if not 0 <= distance < 2 * SEGMENTS:
         raise ValueError("balls of radius 1 in two segments find up to 3 differing bits")
-    half = lambda k: F.shiftrightunsigned("fp", 32 * k).bitwiseAND(F.lit(0xFFFFFFFF))
-    key = lambda k, flip: half(k).bitwiseXOR(flip).bitwiseOR(F.lit(k << 32))
-    nothing = F.lit(0).cast("long")
-    index = distinct.select(F.col("fp").alias("b"), F.explode(F.array(*[key(k, nothing) for k in range(SEGMENTS)])).alias("key"))
-    ball = F.expr("transform(sequence(-1, 31), i -> if(i < 0, 0L, shiftleft(1L, i)))")  # no bit, or one of 32
-    probes = distinct.select(F.col("fp").alias("a"), F.explode(ball).alias("flip"), F.col("fp"))
-    probes = probes.select("a", F.explode(F.array(*[key(k, F.col("flip")) for k in range(SEGMENTS)])).alias("key"))
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    return probes.join(index, "key").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+    near = candidates(distinct.select("fp"), full).where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
+    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -100,46 +134,38 @@ def components(edges: DataFrame) -> DataFrame:
     return roots
 
 
-def firsts(found: DataFrame, order: Column, distance: int = DISTANCE) -> DataFrame:
-    """fp and first: of each fingerprint of `found`, the least `order` among the rows of its component."""
-    first = written(found.groupBy("fp").agg(F.min(order).alias("own")), "distinct")
-    edges = written(links(first, distance), "links")
-    linked = first.join(components(edges).withColumnRenamed("node", "fp"), "fp")
-    least = linked.groupBy("root").agg(F.min("own").alias("least"))
-    named = written(linked.join(least, "root").select("fp", "least"), "components")
-    return written(first.join(named, "fp", "left").select("fp", F.coalesce("least", "own").alias("first")), "named")
+def firsts(found: DataFrame, order: Column, distance: int = DISTANCE) -> tuple[DataFrame, int]:
+    """fp, first and n of each fingerprint of `found`: the least `order` among the rows of its component, and its rows;
+    and the number of rows from which a fingerprint is hot."""
+    own = written(found.groupBy("fp").agg(F.min(order).alias("own"), F.count("*").alias("n")), "distinct")
+    n_rows, n_distinct = own.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    edges = written(links(own, distance), "links")
+    linked = written(own.drop("n").join(components(edges).withColumnRenamed("node", "fp"), "fp"), "linked")
+    least = written(linked.groupBy("root").agg(F.min("own").alias("least"), F.count("*").alias("n")), "least")
+    named = of_hot_keys(linked.select("fp", "root"), least, "root", max(HOT, n_distinct // MAX_HOT)).select("fp", "least")
+    return written(own.join(written(named, "components"), "fp", "left").select("fp", F.coalesce("least", "own").alias("first"), "n"), "named"), max(HOT, n_rows // MAX_HOT)
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id."""
     found = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    rows = found.join(firsts(found, F.col("doc_id"), distance), "fp")
+    first, least = firsts(found, F.col("doc_id"), distance)
+    rows = of_hot_keys(found, first, "fp", least)
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first").alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """docs, all columns, without the rows that are not the first of their component: one row of each stays.
 
-    The first has the smallest doc_id (null after all others); of several texts with that id, it is the one of least hash.
-    A row stands for its id and text, by 128 bits of hash, so that docs may be read in another order again."""
-    key = ["_near_a", "_near_b"]
-    own, text = docs[id_col], docs[text_col].cast("string")
-    docs_by = docs.withColumns({"_near_a": F.xxhash64(own, text), "_near_b": F.xxhash64(F.lit(1), text, own)})
-    found = written(fingerprints(docs_by, id_col, text_col, shingle, tuple(key)), "fingerprints")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *key)
-    rows = found.join(firsts(found, order, distance), "fp")
-    stays = (F.col("_near_a") == F.col("first._near_a")) & (F.col("_near_b") == F.col("first._near_b"))
-    counted = rows.select(*key, stays.alias("stays")).groupBy(*key).agg(F.first("stays").alias("stays"), F.count("*").alias("n"))
-    counted = written(counted.where(~F.col("stays") | (F.col("n") > 1)), "counted")
-
-    def small(keys: DataFrame) -> DataFrame:
-        keys = keys.select(*key)
-        return F.broadcast(keys) if keys.count() <= MAX_BROADCAST_IDS else keys
-
-    left = docs_by.join(small(counted.where(~F.col("stays"))), key, "left_anti")
-    twins = counted.where("stays")  # rows of one id and text
-    if not twins.isEmpty():
-        doc = F.struct(*[F.col(c) for c in docs_by.columns]).alias("doc")
-        one = left.join(small(twins), key, "left_semi").select(*key, doc).groupBy(*key).agg(F.first("doc").alias("doc")).select("doc.*")
-        left = left.join(small(twins), key, "left_anti").select(docs_by.columns).unionByName(one)
-    return left.select(docs.columns)
+    The first has the smallest doc_id (null after all others); of several rows with that id, it is the one whose text has
+    the least hash, then the first by place. Fingerprints, ids and places move, texts don't."""
+    rows = Rows(docs)
+    text = rows.docs[text_col].cast("string")
+    place = rows.place()
+    slim = rows.docs.select(rows.docs[id_col].alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("row"), *place)
+    found = written(fingerprints(slim, "doc_id", "text", shingle, ("row", "row_file", "row_at")), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "row_file", "row_at")
+    first, least = firsts(found, order, distance)
+    judged = of_hot_keys(found, first, "fp", least)
+    stays = (F.col("row_file") == F.col("first.row_file")) & (F.col("row_at") == F.col("first.row_at"))
+    return rows.without(judged.where(~stays).select("row_file", "row_at"))

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cuefold.llm import exact_dedup, mixing, queries, simhash, topk, toxicity
+from cuefold.llm import rows as rows_of
+from cuefold.llm.storage import written
 
 SF = "/root/testdata/sf0.001"
 WORDS = re.compile("[^\x20\x09-\x0d]+")
@@ -129,6 +131,66 @@ def test_exact_dedup_of_hot_and_repeated_rows(spark, bits):
     assert exact_dedup.exact_dedup(frame(spark, [])).count() == exact_dedup.drop_copies(frame(spark, [])).count() == 0
 
 
+def test_small_filters_flag_few_rows(spark):
+    """Slices keep 16 bits a row in each filter, so distinct rows mostly pass, however small a filter may be."""
+    slim = exact_dedup.digests(frame(spark, [(i, f"own {i}", "s") for i in range(4000)]), "doc_id", "text", [])
+    flagged = n_slices = 0
+    for part, n in exact_dedup.slices(slim, 1 << 12):
+        words, bits = exact_dedup.repeats(part, n, 1 << 12)
+        assert bits <= 1 << 12 and words.count() <= bits // 64
+        flagged += exact_dedup.probed(part, words, bits).where("maybe").count()
+        n_slices += 1
+    assert n_slices == 16 and flagged < 0.05 * 4000
+
+
+def exchanges(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in line and "BroadcastExchange" not in line]
+
+
+def test_documents_stay_where_they_are(spark):
+    """No text is in a shuffle of what the dropping stages return."""
+    docs = documents(spark)
+    for dropped in (exact_dedup.drop_copies(docs), simhash.drop_near_copies(docs), mixing.mixed_documents(docs)):
+        assert not exchanges(dropped)
+
+
+def test_ties_and_clashing_columns(spark):
+    """Of rows alike in id and normalised text the same one stays whatever the order; extra columns may have any name."""
+    rows = [(1, "A", {"k": 1}, 1, 2), (1, "a", {"k": 2}, 1, 2), (1, "a", None, 1, 2), (1, "a", None, 1, 2), (2, None, {}, None, None), (None, "", {}, 0, 0)]
+    schema = "doc_id long, text string, `_gone` map<string,int>, row_file long, `bits` int"
+    first, *others = (exact_dedup.drop_copies(spark.createDataFrame(r, schema).repartition(n)) for r, n in ((rows, 1), (rows[::-1], 2), (rows, 3)))
+    want = sorted(map(repr, first.collect()))
+    assert first.columns == ["doc_id", "text", "_gone", "row_file", "bits"] and len(want) == 2
+    assert all(sorted(map(repr, o.collect())) == want for o in others)
+    near = simhash.drop_near_copies(spark.createDataFrame(rows, schema))
+    assert near.columns == first.columns and sorted(near.collect(), key=repr)[0].doc_id in (1, 2) and near.count() == 2
+
+
+def test_rows_without_in_groups(spark, monkeypatch):
+    """More dropped rows than one broadcast holds: files go in groups."""
+    docs = documents(spark).repartition(5)
+    placed = rows_of.Rows(docs)
+    assert placed.docs is not docs and rows_of.Rows(placed.docs).docs is placed.docs
+    gone = placed.docs.select("doc_id", *placed.place()).where("doc_id % 3 = 0")
+    want = {r.doc_id for r in documents(spark).where("doc_id % 3 <> 0").collect()}
+    for most in (1 << 20, 2):
+        monkeypatch.setattr(rows_of, "MAX_WORDS", most)
+        left = placed.without(gone.select("row_file", "row_at"))
+        assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == want and left.count() == len(want)
+
+
+def test_mix_of_a_shuffled_table(spark):
+    """Both readings see the same rows, also where the table comes from a shuffle."""
+    docs = frame(spark, [(1, "a b c", "s")] * 60 + [(2, "a b", "t")] * 50).repartition(7)
+    taken = mixing.mixed_documents(docs)
+    assert {r["source"]: r["count"] for r in taken.groupBy("source").count().collect()} == {r["source"]: r["count"] for r in taken.groupBy("source").count().collect()}
+    words = Counter()
+    for r in taken.collect():
+        words[r.source] += len(r.text.split())
+    want = waterfill({"s": 180, "t": 100})
+    assert abs(words["s"] - want["s"]) <= 3 and abs(words["t"] - want["t"]) <= 2
+
+
 def brute_fingerprint(text):
     words = WORDS.findall((text or "").translate(AZ))
     runs = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
@@ -214,6 +276,22 @@ def test_links_and_components_of_chains(spark):
     assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
 
 
+@pytest.mark.parametrize("full", [64, 3])
+def test_fingerprints_that_share_a_segment(spark, full):
+    """A crowded key is split: few candidates meet, and no link is lost."""
+    r = random.Random(9)
+    shared = r.getrandbits(32)
+    fps = {shared << 32 | r.getrandbits(32) for _ in range(2600)}
+    fps |= {f ^ 1 << r.randrange(64) ^ 1 << r.randrange(64) ^ 1 << r.randrange(64) for f in r.sample(sorted(fps), 400)}
+    signed = np.array(sorted(f - (1 << 64) if f >> 63 else f for f in fps))
+    df = spark.createDataFrame([(int(f),) for f in signed], "fp long")
+    met = simhash.candidates(df, full).groupBy("a").count()
+    assert met.agg(F.sum("count")).first()[0] < 100 * len(signed)
+    far = np.bitwise_count((signed[:, None] ^ signed[None, :]).view(np.uint64))
+    want = {(int(signed[i]), int(signed[j])) for i, j in zip(*np.nonzero(far <= 3), strict=True) if i < j}
+    assert {(x.a, x.b) for x in simhash.links(df, full=full).collect()} == want and len(want) >= 300
+
+
 def brute_top(rows, k=20, every=20):
     out = []
     rows = [(i, [int(np.floor(64 * np.float64(np.float32(x)))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
@@ -434,3 +512,18 @@ def test_pipeline_stages(spark):
     packed = stages["best_fit_packing"](spark, mixed, SF)
     assert Counter(r.doc_id for r in packed.where("piece = 0").collect()) == copies
     assert corpus_pipeline.run(spark, SF).count() == packed.count()
+
+
+def test_stages_of_odd_tables(spark):
+    """Five stages in a row over an empty table, and over nulls, repeats and extra columns of clashing names."""
+    text = " ".join(f"w{k}" for k in range(300))
+    odd = [(None, None, None), (None, "", "s"), (5, text, None), (5, text, None), (6, text + " x", "t"), (7, "you idiot, you stupid scum and trash. you worthless moron", "t"), (8, "z " * 20_000, "s")]
+    for rows in ([], odd):
+        docs = frame(spark, rows).withColumnsRenamed({"place": "copies"}).withColumn("length", F.lit(1))
+        columns = docs.columns
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = written(stage(spark, docs, SF), name)
+            assert docs.columns == columns, name
+        packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+        left = docs.select("doc_id").collect()
+        assert packed.count() >= len(left) and (len(left) > 0) == bool(rows)
