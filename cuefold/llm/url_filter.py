@@ -1,7 +1,9 @@
 """URL filter: host/path rules first, then a weighted vocabulary matched by Aho-Corasick.
 
 A term counts where it stands between characters other than a-z and 0-9. A page is rejected on one
-strict term, or when distinct soft terms weigh SOFT_LIMIT or more together.
+strict term, or when two or more distinct soft terms weigh SOFT_LIMIT or more together: two light terms
+(weight 1 each) don't, a light and a heavy one do, and so do three light ones. One soft term alone never
+rejects, however often it occurs. The vocabulary is an argument; `vocabulary` reads it from a table.
 
 Defined results: a null or schemeless url has empty host and path and is allowed; repeated rows are
 judged each; an empty table gives an empty one. Input columns beyond the id and the url are ignored.
@@ -14,14 +16,16 @@ from collections.abc import Iterator
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # This operator's vocabulary and rules.
 STRICT = ("adult", "casino", "escort", "hentai", "porn", "spam", "viagra", "xxx")
 SOFT = {
-    "ads": 1, "bet": 1, "bets": 1, "betting": 1, "bonus": 1, "cheap": 1, "crack": 1, "farm": 1, "free": 1, "gambling": 2, "jackpot": 1,
-    "keygen": 2, "loan": 1, "lottery": 1, "nude": 2, "pharma": 1, "pills": 1, "poker": 1, "popup": 1, "sex": 2, "slots": 1, "track": 1, "warez": 2, "win": 1,
+    "ads": 1, "bet": 2, "bets": 2, "betting": 2, "bonus": 1, "cheap": 1, "crack": 2, "farm": 1, "free": 1, "gambling": 2, "jackpot": 2, "keygen": 2,
+    "loan": 1, "lottery": 2, "nude": 2, "pharma": 2, "pills": 2, "poker": 2, "popup": 1, "sex": 2, "slots": 2, "track": 1, "warez": 2, "win": 1,
 }
-SOFT_LIMIT = 2
+SOFT_LIMIT = 3
+MAX_TERMS = 1_000_000
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 
 _AZ = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -87,6 +91,18 @@ class Vocabulary:
         return strict > 0 or (distinct > 1 and weight >= self.limit)
 
 
+def vocabulary(terms: DataFrame, term_col: str = "term", weight_col: str = "weight", most: int = MAX_TERMS) -> tuple[tuple[str, ...], dict[str, int]]:
+    """Strict terms (null weight) and soft terms with weights of a table; of repeats a null or else the greatest weight counts.
+
+    A vocabulary is configuration that every worker holds: more than `most` terms raise."""
+    low = F.lower(F.trim(terms[term_col].cast("string"))).alias("term")
+    rows = terms.select(low, terms[weight_col].cast("int").alias("weight")).where(F.col("term") != "")
+    found = rows.groupBy("term").agg(F.bool_or(F.col("weight").isNull()).alias("strict"), F.max("weight").alias("weight")).limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} terms")
+    return tuple(sorted(r.term for r in found if r.strict)), {r.term: r.weight for r in sorted(found) if not r.strict}
+
+
 def judge_urls(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, strict=STRICT, soft=SOFT, limit: int = SOFT_LIMIT
 ) -> DataFrame:
