@@ -1,29 +1,37 @@
 """Token identifiers in a compressed binary format: static range asymmetric numeral systems (rANS).
 
-Documents are dealt by ranges of doc_id and sorted, so blocks ascend. A group of blocks (up to GROUP_IDS
-identifiers of one range) shares one table of frequencies, counted over the whole group and scaled to
-2**SCALE_BITS. A block holds whole documents, about BLOCK_IDS identifiers, and decodes on its own: symbol k
-goes to lane k mod LANES, all lanes step together, and a lane's state spills 32 bits when it would overflow.
-Every CHECKPOINT steps a block records its place in the spilled words and the lanes' states, from where
-decoding can begin; a checksum covers the identifiers of each stretch between checkpoints.
-
-The files are a Parquet table of such blocks (part, seq, block_start, n_docs, n_ids, head, body, tables),
-which Spark's committed writers place in any store.
-
-Defined results: null and empty texts are the end identifier alone; repeated rows are stored each, ordered
-by text where doc_id is equal; an empty table gives an empty one; a damaged block raises ValueError.
+Texts are tokenised where they lie; what moves, once, is compressed identifiers of two bytes each where they fit.
+Documents are dealt to ranges of doc_id, cut by a sample of ids, and sorted, so groups ascend; rows of an id that
+fills ranges are dealt by a hash of their place, so no task gathers one id. A group (GROUP_IDS identifiers or a
+little more, of one range) has one table of frequencies, counted over the whole group, scaled to 2**SCALE_BITS and
+stored once. Its blocks hold whole documents, about BLOCK_IDS identifiers, and decode on their own: symbol k goes
+to lane k mod LANES, all lanes step together, and a lane's state spills 32 bits when it would overflow. Every CHECKPOINT steps a block
+records its place in the spilled words and the lanes' states, from where decoding can begin; a checksum covers
+the identifiers of each stretch between checkpoints.
+
+The files are a Parquet table with a row for each group, which Spark's committed writers place in any store:
+part and seq (the range and the group's number in it), start (identifiers before it in the range), n_ids,
+tables (the frequencies), doc_ids, sizes (identifiers of each document, compressed), block_docs (documents of
+each block) and bodies (the blocks).
+
+Defined results: null and empty texts are the end identifier alone; repeated rows are stored each, in the
+order of their place's hash where doc_id is equal (null first); ids may be of any type that Spark can sort; an
+empty table gives an empty one; a damaged block raises ValueError.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
 
 from cuefold.llm.storage import written
 from cuefold.llm.word_ids import END_ID, VOCABULARY
@@ -33,6 +41,9 @@ LANES = 1024
 BLOCK_IDS = 1 << 19
 GROUP_IDS = 1 << 23
 CHECKPOINT = 128
+#: Ids drawn to cut ranges, which balance the work and decide nothing else; rows of a range at least, where there are several.
+SAMPLE = 50_000
+ROWS_A_PART = 2_000
 
 _LOW = np.uint64(1 << 31)
 _U32, _SCALE, _RENORM = np.uint64(32), np.uint64(SCALE_BITS), np.uint64(63 - SCALE_BITS)
@@ -159,88 +170,146 @@ def decode_block(body: bytes, table: Frequencies, slots: np.ndarray, first: int
     return ids
 
 
-def _grouped(ids: list[bytes], doc_ids: list, start: int, seq: int) -> Iterator[tuple]:
-    """Blocks of one group: (seq, block_start, doc_ids, sizes, n_ids, body, table)."""
-    whole = np.frombuffer(b"".join(ids), "<u4")
+def encode_group(ids: list[np.ndarray]) -> tuple[bytes, list[int], list[bytes]]:
+    """The shared table of a group of documents, how many of them each block holds, and the blocks."""
+    whole = np.concatenate(ids)
     table = Frequencies.of(whole)
-    packed = table.to_bytes()
+    n_docs, bodies = [], []
     at = doc = 0
     while doc < len(ids):
         first, size = doc, 0
         while doc < len(ids) and size < BLOCK_IDS:
-            size += len(ids[doc]) // 4
+            size += len(ids[doc])
             doc += 1
-        sizes = np.array([len(x) // 4 for x in ids[first:doc]], "<u4")
-        yield seq, start + at, doc_ids[first:doc], zlib.compress(sizes.tobytes(), 1), size, encode_block(whole[at : at + size], table), packed
-        seq, at = seq + 1, at + size
-
-
-def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
-    """The table of blocks, written to the shared folder."""
-    slim = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").cast("binary").alias("text"))
-    kind = slim.schema["doc_id"].dataType.simpleString()
+        n_docs.append(doc - first)
+        bodies.append(encode_block(whole[at : at + size], table))
+        at += size
+    return table.to_bytes(), n_docs, bodies
+
+
+class Ranges:
+    """Ranges of ids, cut so that each has about as many rows: part k holds the ids from cut k - 1 to cut k."""
+
+    def __init__(self, docs: DataFrame, id_col: str, sample: int = SAMPLE):
+        spark = docs.sparkSession
+        rows = docs.select(docs[id_col].alias("doc_id"), F.monotonically_increasing_id().alias("at"))
+        self.n = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // ROWS_A_PART)))
+        drawn = rows.orderBy(F.xxhash64("at"), "at").limit(sample).select("doc_id").orderBy("doc_id").collect()  # `sample` ids
+        self.cuts = [_order(drawn[k * len(drawn) // self.n].doc_id) for k in range(1, self.n)] if drawn else []
+        # a number for each part that the shuffle deals to a task of its own
+        numbers = spark.range(64 * self.n).groupBy(F.pmod(F.hash("id"), F.lit(self.n)).alias("to")).agg(F.min("id").alias("id")).collect()
+        own = {r.to: r.id for r in numbers}  # one for each part
+        self.number = [own.get(k, 64 * self.n + k) for k in range(self.n)]
+
+    def part(self, doc_id, salt: int) -> int:
+        key = _order(doc_id)
+        low = bisect_left(self.cuts, key)
+        same = bisect_right(self.cuts, key, low) - low
+        return low + ((salt + (1 << 63)) * (same + 1) >> 64)  # rows of an id that fills parts ascend by salt over them
+
+
+def _order(doc_id) -> tuple:
+    """Sorts as Spark does: null first, not-a-number last."""
+    return (0,) if doc_id is None else (2,) if doc_id != doc_id else (1, doc_id)
+
+
+def tokenised(docs: DataFrame, ranges: Ranges, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
+    """doc_id, salt, part, deal (the part's number for the shuffle), ids (little-endian, with the end identifier, compressed) and wide (four bytes each, not two) of every row."""
+    text = docs[text_col].cast("string").cast("binary").alias("text")
+    slim = docs.select(docs[id_col].alias("doc_id"), F.xxhash64(F.monotonically_increasing_id()).alias("salt"), text)
     end = int(END_ID).to_bytes(4, "little")
-    names = ["part", "seq", "block_start", "doc_ids", "sizes", "n_ids", "body", "tables"]
-    doc_kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-
-    def batch_of(part: int, blocks) -> pa.RecordBatch:
-        rows = list(blocks)
-        kinds = (pa.int32(), pa.int64(), pa.list_(doc_kind), pa.binary(), pa.int64(), pa.binary(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array([part] * len(rows), pa.int32()), *[pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)]], names)
+    names = ["doc_id", "salt", "part", "deal", "ids", "wide"]
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         from cuefold.llm.word_ids import encoder
 
-        words, part = encoder(vocabulary), TaskContext.get().partitionId()
-        ids, doc_ids, held, start, seq = [], [], 0, 0, 0
+        words, squeeze = encoder(vocabulary), zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
-                for doc_id, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
-                    ids.append(words.encode(text) + end)
-                    doc_ids.append(doc_id)
-                    held += len(ids[-1]) // 4
-                    if held >= GROUP_IDS:
-                        out = batch_of(part, _grouped(ids, doc_ids, start, seq))
-                        start, seq = start + held, seq + out.num_rows
-                        ids, doc_ids, held = [], [], 0
-                        yield out
+                found = [np.frombuffer(words.encode(text) + end, "<u4") for text in some.column(2).to_pylist()]
+                wide = [bool(x.max() >> 16) for x in found]
+                raw = [squeeze((x if w else x.astype("<u2")).tobytes()) for x, w in zip(found, wide, strict=True)]
+                part = [ranges.part(d, s) for d, s in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True)]
+                columns = [pa.array(part, pa.int32()), pa.array([ranges.number[k] for k in part], pa.int64()), pa.array(raw, pa.binary()), pa.array(wide, pa.bool_())]
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), *columns], names)
+
+    kinds = (LongType(), IntegerType(), LongType(), BinaryType(), BooleanType())
+    return slim.mapInArrow(encoded, StructType([slim.schema["doc_id"], *[StructField(n, k) for n, k in zip(names[1:], kinds, strict=True)]]))
+
+
+def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
+    """The table of groups, written to the shared folder."""
+    ranges = Ranges(docs, id_col)
+    found = tokenised(docs, ranges, id_col, text_col, vocabulary)
+    id_field = found.schema["doc_id"]
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        ids, doc_ids, held, start, seq, own = [], [], 0, 0, 0, None
+
+        def group() -> pa.RecordBatch:
+            table, n_docs, bodies = encode_group(ids)
+            sizes = zlib.compress(np.array([len(x) for x in ids], "<u4").tobytes(), 1)
+            known = pa.concat_arrays(doc_ids)
+            columns = [
+                pa.array([own], pa.int32()), pa.array([seq], pa.int32()), pa.array([start], pa.int64()), pa.array([held], pa.int64()), pa.array([table], pa.binary()),
+                pa.ListArray.from_arrays(pa.array([0, len(known)], pa.int32()), known), pa.array([sizes], pa.binary()),
+                pa.array([n_docs], pa.list_(pa.int32())), pa.array([bodies], pa.list_(pa.binary())),
+            ]
+            return pa.RecordBatch.from_arrays(columns, ["part", "seq", "start", "n_ids", "tables", "doc_ids", "sizes", "block_docs", "bodies"])
+
+        for batch in batches:
+            since = 0
+            for i, (part, raw, wide) in enumerate(zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True)):
+                full = held >= GROUP_IDS
+                if ids and (full or part != own):
+                    doc_ids.append(batch.column(0).slice(since, i - since))
+                    yield group()
+                    start, seq = (start + held, seq + 1) if part == own else (0, 0)
+                    ids, doc_ids, held, since = [], [], 0, i
+                own = part
+                ids.append(np.frombuffer(unpack(raw), "<u4" if wide else "<u2"))
+                held += len(ids[-1])
+            doc_ids.append(batch.column(0).slice(since))
         if ids:
-            yield batch_of(part, _grouped(ids, doc_ids, start, seq))
+            yield group()
 
-    ordered = slim.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    schema = f"part int, seq int, block_start long, doc_ids array<{kind}>, sizes binary, n_ids long, body binary, tables binary"
-    return written(ordered.mapInArrow(encoded, schema), "tokens")
+    ordered = found.repartition(ranges.n, "deal").sortWithinPartitions("part", "doc_id", "salt").select("doc_id", "part", "ids", "wide")
+    binary, integer, long_ = BinaryType(), IntegerType(), LongType()
+    kinds = (integer, integer, long_, long_, binary, ArrayType(id_field.dataType), binary, ArrayType(integer), ArrayType(binary))
+    names = ("part", "seq", "start", "n_ids", "tables", "doc_ids", "sizes", "block_docs", "bodies")
+    return written(ordered.mapInArrow(encoded, StructType([StructField(n, k) for n, k in zip(names, kinds, strict=True)])), "tokens")
 
 
-def decode_documents(blocks: DataFrame) -> DataFrame:
-    """From the files: doc_id, start, n_tokens, ids_crc32 and ids of each document, block by block in parallel."""
-    kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
-    parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))  # a row for each range, of which there are shuffle partitions
+def decode_documents(groups: DataFrame) -> DataFrame:
+    """From the files: doc_id, start, n_tokens and ids (little-endian, four bytes each) of each document, group by group in parallel."""
+    id_kind = groups.schema["doc_ids"].dataType.elementType
+    parts = groups.groupBy("part").agg(F.sum("n_ids").alias("n"))  # a row for each range, of which there are shuffle partitions
     before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    names = ["doc_id", "start", "n_tokens", "ids"]
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: tuple = (b"", None, None)
         for batch in batches:
             for i in range(batch.num_rows):
-                at, docs, sizes, body, packed = (batch.column(k)[i] for k in range(5))
-                if packed.as_py() != kept[0]:
-                    table = Frequencies.from_bytes(packed.as_py())
-                    kept = packed.as_py(), table, table.slots()
-                ids = decode_block(body.as_py(), kept[1], kept[2])
-                sizes = np.frombuffer(zlib.decompress(sizes.as_py()), "<u4").astype(np.int64)
-                cuts = np.concatenate([[0], np.cumsum(sizes)])
-                raw = ids.astype("<u4").tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [docs.values, pa.array(at.as_py() + cuts[:-1]), pa.array(sizes), pa.array([raw[4 * a : 4 * b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())],
-                    names,
-                )
-
-    placed = blocks.join(F.broadcast(before), "part").select((F.col("block_start") + F.col("before")).alias("at"), "doc_ids", "sizes", "body", "tables")
-    return placed.mapInArrow(decoded, f"doc_id {kind}, start long, n_tokens long, ids binary")
+                at, packed, docs, sizes, n_docs, bodies = (batch.column(k)[i] for k in range(6))
+                table = Frequencies.from_bytes(packed.as_py())
+                slots, at, doc_ids = table.slots(), at.as_py(), docs.values
+                lengths = np.frombuffer(zlib.decompress(sizes.as_py()), "<u4").astype(np.int64)
+                doc = 0
+                for n, body in zip(n_docs.as_py(), bodies, strict=True):
+                    ids = decode_block(body.as_py(), table, slots)
+                    own = lengths[doc : doc + n]
+                    cuts = np.concatenate([[0], np.cumsum(own)])
+                    raw = ids.astype("<u4").tobytes()
+                    texts = [raw[4 * a : 4 * b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [doc_ids.slice(doc, n), pa.array(at + cuts[:-1]), pa.array(own), pa.array(texts, pa.binary())], ["doc_id", "start", "n_tokens", "ids"]
+                    )
+                    doc, at = doc + n, at + int(cuts[-1])
+
+    placed = groups.join(F.broadcast(before), "part").select((F.col("start") + F.col("before")).alias("at"), "tables", "doc_ids", "sizes", "block_docs", "bodies")
+    schema = StructType([StructField("doc_id", id_kind), StructField("start", LongType()), StructField("n_tokens", LongType()), StructField("ids", BinaryType())])
+    return placed.mapInArrow(decoded, schema)
 
 
 def token_digests(docs: DataFrame, **options) -> DataFrame:

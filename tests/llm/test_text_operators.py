@@ -4,12 +4,13 @@ import hashlib
 import random
 import struct
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cuefold.llm import chat_format, packing, queries, token_count, token_file, url_filter, word_ids
@@ -67,6 +68,28 @@ def test_urls(url, host, path, rule, verdict):
     assert (found[1] if found else "block" if words.blocks(*words.hits(url or "")) else "allow") == verdict
 
 
+def test_weights_decide():
+    """Equal counts of soft terms, different weights, different verdicts; one soft term never rejects."""
+    words = url_filter.Vocabulary(url_filter.STRICT, url_filter.SOFT, url_filter.SOFT_LIMIT)
+    hit = lambda url: words.hits(url)
+    light, heavy, three = hit("http://a.org/free/cheap"), hit("http://a.org/free/poker"), hit("http://a.org/free/cheap/win")
+    assert light[1] == heavy[1] == 2 and (light[2], heavy[2], three[2]) == (2, 3, 3)
+    assert [words.blocks(*x) for x in (light, heavy, three)] == [False, True, True]
+    alone = url_filter.Vocabulary((), {"a": 9}, 3)
+    assert not alone.blocks(*alone.hits("x/a/a")) and alone.hits("x/a/a") == (0, 1, 9)
+
+
+def test_vocabulary_of_a_table(spark):
+    terms = spark.createDataFrame([("Bad", None), ("mild", 1), ("mild", 2), ("odd", 2), ("", 5), (None, 1)], "term string, weight int")
+    strict, soft = url_filter.vocabulary(terms)
+    assert strict == ("bad",) and soft == {"mild": 2, "odd": 2}
+    pages = spark.createDataFrame([(1, "http://a.org/bad"), (2, "http://a.org/mild/odd"), (3, "http://a.org/mild"), (4, None)], "page_id int, url string")
+    found = url_filter.judge_urls(pages, strict=strict, soft=soft, limit=4).collect()
+    assert [(r.page_id, r.verdict) for r in sorted(found)] == [(1, "block"), (2, "block"), (3, "allow"), (4, "allow")]
+    with pytest.raises(ValueError):
+        url_filter.vocabulary(terms, most=1)
+
+
 def test_url_query_agrees_with_sql(spark):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{SF}/pages.parquet')")
@@ -262,13 +285,36 @@ def test_token_file_edges(spark, monkeypatch):
 def test_groups_and_blocks(monkeypatch):
     """Several blocks share a group's table and hold whole documents."""
     monkeypatch.setattr(token_file, "BLOCK_IDS", 50)
-    ids = [np.array(x, "<u4").tobytes() for x in ids_of(odd_texts(60, 6))]
-    at = 0
-    blocks = list(token_file._grouped(ids, list(range(60)), 7, 3))
-    assert len(blocks) > 3 and [b[0] for b in blocks] == list(range(3, 3 + len(blocks))) and len({b[6] for b in blocks}) == 1
-    table = token_file.Frequencies.from_bytes(blocks[0][6])
-    for _, start, docs, sizes, n, body, _ in blocks:
-        assert start == 7 + at
+    ids = [np.array(x, "<u2") for x in ids_of(odd_texts(60, 6))]
+    packed, n_docs, bodies = token_file.encode_group(ids)
+    assert len(bodies) == len(n_docs) > 3 and sum(n_docs) == 60
+    table = token_file.Frequencies.from_bytes(packed)
+    doc = 0
+    for n, body in zip(n_docs, bodies):
         got = token_file.decode_block(body, table, table.slots())
-        assert got.astype("<u4").tobytes() == b"".join(ids[d] for d in docs) and len(got) == n
-        at += n
+        assert (got == np.concatenate(ids[doc : doc + n])).all()
+        doc += n
+
+
+@pytest.mark.parametrize("kind", ["smallint", "decimal(10,2)", "date", "string", "double"])
+def test_token_files_of_any_id(spark, kind, monkeypatch):
+    """Ids of any type come back as they are, null first; many rows of one id keep all rows."""
+    texts = ["a b", "c", None, "d e f", "a b"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, "x")] + [(9, f"hot {k % 7}") for k in range(300)]
+    docs = spark.createDataFrame(rows, "n int, text string")
+    own = F.date_add(F.lit("2020-01-01").cast("date"), F.col("n")) if kind == "date" else F.col("n").cast(kind)
+    docs = docs.select(own.alias("doc_id"), "text").repartition(5)
+    monkeypatch.setattr(token_file, "ROWS_A_PART", 20)
+    read = token_file.decode_documents(token_file.encode_documents(docs))
+    assert read.schema["doc_id"].dataType == docs.schema["doc_id"].dataType
+    found = sorted(read.collect(), key=lambda r: r.start)
+    assert found[0].doc_id is None and len(found) == len(rows)
+    texts_of = {t: np.array(x, "<u4").tobytes() for t, x in zip([r.text for r in docs.collect()], ids_of([r.text for r in docs.collect()]))}
+    assert Counter((r.doc_id, bytes(r.ids)) for r in found) == Counter((r.doc_id, texts_of[r.text]) for r in docs.collect())
+    at = 0
+    for r in found:
+        assert r.start == at and len(r.ids) == 4 * r.n_tokens
+        at += r.n_tokens
+    assert [r.doc_id for r in found[1:]] == sorted(r.doc_id for r in found[1:])
+    ranges = token_file.Ranges(docs, "doc_id")
+    assert ranges.n == 4 and len({ranges.part(found[-1].doc_id, salt << 56) for salt in range(-128, 128)}) > 2  # the hot id fills ranges
