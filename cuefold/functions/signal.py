@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cuefold.functions.arrays import let
 
+# Samples of a frame and between frames, a dip's share of the median, seconds searched before a boundary.
 FRAME, HOP, RATIO, BEFORE = 400, 160, 0.5, 0.5
 
 

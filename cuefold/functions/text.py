@@ -69,7 +69,10 @@ def normalise(df: DataFrame, text_col: str = "transcript", rules=RULES) -> DataF
     """df with `hits` (a count for each rule), `changed`, and the text rewritten where a rule fired.
 
     Each rule sees the result of the one before. Runs of spaces collapse last. A text that no rule
-    touches stays as it is, spaces too; null stays null."""
+    touches stays as it is, spaces too; null stays null. Columns of those names in df raise."""
+    taken = {c.lower() for c in df.columns} & {"hits", "changed", *(f"_{x}{k}" for x in "nt" for k in range(len(rules)))}
+    if taken:
+        raise ValueError(f"rename these columns before: {sorted(taken)}")
     out, at, counts = df, text_col, []
     for k, (_, pattern, replacement) in enumerate(rules):  # one column for each step, so that none is computed twice
         out = out.withColumn(f"_t{k}", _rewritten(F.col(at), pattern, replacement))
@@ -156,3 +159,22 @@ def codepoints(df: DataFrame, text_col: str) -> DataFrame:
 def chunks_to_text(chunks: Column) -> Column:
     """Each chunk's text stripped, one a line."""
     return F.array_join(F.transform(chunks, lambda c: strip(c["text"])), "\n")
+
+
+def percent(part: Column, whole: Column, digits: int = 1) -> Column:
+    """part of whole as text, 12.3%; of nothing, 0.0%."""
+    return F.format_string(f"%.{digits}f%%", F.when(whole > 0, 100 * part / whole).otherwise(F.lit(0.0)).cast("double"))
+
+
+def hours(seconds: Column, digits: int = 2) -> Column:
+    """Seconds as text in hours, 1.25h; null is none."""
+    return F.format_string(f"%.{digits}fh", (F.coalesce(seconds, F.lit(0.0)) / 3600).cast("double"))
+
+
+def profile(rows: DataFrame, group: str, text_col: str = "transcript", duration_col: str = "duration") -> DataFrame:
+    """group, rows, missing, empty, too_long, seconds: what a manifest holds by group, and which texts are null, blank or not valid for length."""
+    text = F.col(text_col)
+    return rows.groupBy(group).agg(
+        F.count("*").alias("rows"), F.count_if(text.isNull()).alias("missing"), F.count_if(strip(text) == "").alias("empty"),
+        F.count_if(F.length(text) > 500).alias("too_long"), F.sum(duration_col).alias("seconds"),
+    )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cuefold.functions import signal as S
 from cuefold.functions import text as T
 
+# Seconds of a gap that parts windows, of a clip at most, of room for snapping, of a pad; the form of a subtitle's time.
 GAP, MAX_DURATION, SAFETY, PAD = 3.0, 28.0, 3.5, 0.3
 CUE = "struct<idx:int,start:double,end:double,text:string>"
 _TIME = r"^(\d+):(\d+):(\d+),(\d+)"
@@ -122,15 +123,15 @@ def shifts(bounds: DataFrame, least: float = 0.05) -> DataFrame:
 def reassign(cues: DataFrame, chunks: DataFrame, key_col: str = "video") -> DataFrame:
     """key, chunk_idx, n_cues, text by the chunks' final ends: a cue goes to the first chunk that ends after it
     starts, else to the last, and never before the chunk of a cue ahead of it."""
-    ends = chunks.groupBy(key_col).agg(F.array_sort(F.collect_list(F.struct("chunk_idx", F.col("chunk_end").cast("double").alias("chunk_end")))).alias("chunks"))
-    placed = cue_lists(cues, key_col).join(ends, key_col)
-    later = lambda c, x, i: F.when(x["chunk_end"] > c["start"], i)
-    first = lambda c: F.coalesce(F.array_min(F.filter(F.transform("chunks", lambda x, i: later(c, x, i)), lambda i: i.isNotNull())), F.size("chunks") - 1)
-    placed = placed.select(key_col, "chunks", F.explode(F.transform("cues", lambda c: F.struct(first(c).alias("at"), c["idx"].alias("idx"), c["text"].alias("text")))).alias("c"))
-    order = Window.partitionBy(key_col).orderBy("c.idx").rowsBetween(Window.unboundedPreceding, 0)
-    placed = placed.withColumn("at", F.max("c.at").over(order))
-    placed = placed.select(key_col, F.get("chunks", F.col("at"))["chunk_idx"].alias("chunk_idx"), "c")
-    said = F.array_sort(F.collect_list(F.struct("c.idx", "c.text")))
+    cue = cues.select(key_col, F.col("start").cast("double").alias("at"), F.lit(0).alias("kind"), F.col("idx").cast("int").alias("idx"), F.col("text").cast("string").alias("text"), F.lit(None).cast("int").alias("chunk_idx"))
+    end = chunks.select(key_col, F.col("chunk_end").cast("double").alias("at"), F.lit(1).alias("kind"), F.lit(None).cast("int").alias("idx"), F.lit(None).cast("string").alias("text"), F.col("chunk_idx").cast("int").alias("chunk_idx"))
+    # from the latest time on, the least chunk met so far is the first that ends later; at equal times cues come first
+    later = Window.partitionBy(key_col).orderBy(F.desc("at"), "kind").rowsBetween(Window.unboundedPreceding, 0)
+    rows = cue.unionByName(end).withColumns({"first": F.min("chunk_idx").over(later), "last": F.max("chunk_idx").over(Window.partitionBy(key_col))})
+    placed = rows.where((F.col("kind") == 0) & F.col("last").isNotNull()).withColumn("first", F.coalesce("first", "last"))
+    ahead = Window.partitionBy(key_col).orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
+    placed = placed.withColumn("chunk_idx", F.max("first").over(ahead))
+    said = F.array_sort(F.collect_list(F.struct("idx", "text")))
     return placed.groupBy(key_col, "chunk_idx").agg(F.count("*").alias("n_cues"), F.array_join(F.transform(said, lambda x: x["text"]), " ").alias("text"))
 
 

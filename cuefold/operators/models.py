@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cuefold.functions import arrays
+
 
 def batches(rows: DataFrame, key: list[str], order: list[str], size: int = 8) -> DataFrame:
     """rows with batch, from 0, of `size` rows each within a key."""
@@ -18,7 +20,10 @@ def batches(rows: DataFrame, key: list[str], order: list[str], size: int = 8) ->
 def apply_model(rows: DataFrame, column: str, load: Callable[[], Callable], out: str, out_type: str, size: int = 8) -> DataFrame:
     """rows with `out` and `error`: what the function that `load` makes (once a task) gives for lists of `size` values.
 
-    Where a list fails its values are tried one by one; a value that fails has its error."""
+    Where a list fails its values are tried one by one; a value that fails has its error. Columns of those names in rows raise."""
+    taken = {c.lower() for c in rows.columns} & {out.lower(), "error"}
+    if taken:
+        raise ValueError(f"rename these columns before: {sorted(taken)}")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + f", `{out}` {out_type}, error string"
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -41,3 +46,24 @@ def apply_model(rows: DataFrame, column: str, load: Callable[[], Callable], out:
             yield part.assign(**{out: [f[0] for f in found], "error": [f[1] for f in found]})
 
     return rows.mapInPandas(run, schema)
+
+
+def transcribe_paths(paths: DataFrame, load: Callable[[], Callable], path_col: str = "path", size: int = 8) -> DataFrame:
+    """paths with transcript and error: a caller's model over lists of paths."""
+    return apply_model(paths, path_col, load, "transcript", "string", size)
+
+
+def transcribe_bytes(files: DataFrame, load: Callable[[], Callable], content_col: str = "content", size: int = 1) -> DataFrame:
+    """files without their contents, with transcript and error: a caller's model over lists of whole files' bytes."""
+    return apply_model(files, content_col, load, "transcript", "string", size).drop(content_col)
+
+
+def tokenise(rows: DataFrame, text_col: str, load: Callable[[], Callable], out: str = "labels", size: int = 64) -> DataFrame:
+    """rows with the identifiers that a caller's tokenizer gives for lists of texts, and error."""
+    return apply_model(rows, text_col, load, out, "array<int>", size)
+
+
+def detokenise(rows: DataFrame, ids_col: str, load: Callable[[], Callable], out: str = "text", pad: int | None = None, size: int = 64) -> DataFrame:
+    """rows with the texts that a caller's tokenizer gives for lists of identifiers, and error. With `pad`, masked places become padding first."""
+    own = rows if pad is None else rows.withColumn(ids_col, arrays.unmask(F.col(ids_col), pad))
+    return apply_model(own, ids_col, load, out, "string", size)

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructField, StructType
 
 from cuefold.functions import ids
+from cuefold.functions import text as T
 from cuefold.operators.numbering import numbered
-from cuefold.storage import written
+from cuefold.storage import gathered
 
-MAX_BROADCAST = 500_000
+#: Characters of the terms that a worker holds at once.
+MAX_TERM_CHARS = 20_000_000
 
 
 def identified(files: DataFrame, extensions: tuple[str, ...], path_col: str = "path") -> DataFrame:
@@ -68,11 +75,29 @@ def join_back(reviewed: DataFrame, lookup: DataFrame, root: Column, key: list[st
 
 
 def coverage(joined: DataFrame) -> DataFrame:
-    """episode (null: all), matched, total, missing, in order of episode numbers."""
+    """episode (null: all), matched, total, missing; in_order sorts it."""
     sums = joined.rollup("episode").agg(F.count_if("matched").alias("matched"), F.count("*").alias("total"))
     return sums.withColumn("missing", F.col("total") - F.col("matched"))
 
 
+def in_order(report: DataFrame) -> DataFrame:
+    """A report by episode in order of episode numbers, then of names; the row for all last. It has a row for each episode."""
+    return report.orderBy(F.col("episode").isNull(), ids.episode_number(F.col("episode")), "episode")
+
+
+def coverage_summary(joined: DataFrame) -> DataFrame:
+    """episodes, matched, total, missing over all, and share as text."""
+    sums = joined.agg(F.count_distinct("episode").alias("episodes"), F.count_if("matched").alias("matched"), F.count("*").alias("total"))
+    return sums.withColumn("missing", F.col("total") - F.col("matched")).withColumn("share", T.percent(F.col("matched"), F.col("total")))
+
+
+def coverage_folders(reviewed: DataFrame, lookup: DataFrame, key: list[str] = KEY) -> DataFrame:
+    """place, folder, matched: the folders that reviewed rows were found in, sorted and numbered from 1."""
+    met = reviewed.select(*key).join(lookup.select(*key, "folder"), key)
+    sums = met.groupBy("folder").agg(F.count("*").alias("matched"))  # a row for each folder
+    return sums.select(F.row_number().over(Window.orderBy("folder")).alias("place"), "folder", "matched")
+
+
 def gate(joined: DataFrame, allow_reconstruct: bool = False, forced_folder: bool = False) -> DataFrame:
     """joined, or an error where a row matched nothing and reconstruction is not both allowed and given a folder."""
     if not (allow_reconstruct and forced_folder) and not joined.where(~F.col("matched")).isEmpty():
@@ -91,26 +116,50 @@ def exclude(rows: DataFrame, listed: DataFrame, key: list[str]) -> DataFrame:
     return rows.join(listed.select(*key).distinct(), key, "left_anti")
 
 
-def term_matches(docs: DataFrame, terms: DataFrame, doc_id: str, text_col: str, term_id: str, term_col: str) -> DataFrame:
-    """doc_id, term_id where the term is a substring of the text.
-
-    A term of three words or more holds a whole word between spaces, which the text must hold as well: those
-    meet by an equi-join on the longest such word and are then verified. Shorter terms are compared with
-    every text; there the terms are the broadcast side."""
-    t = terms.select(F.col(term_id).alias("_id"), F.col(term_col).alias("_term")).where(F.col("_term").isNotNull())
-    words = F.split("_term", " ")
-    inner = F.filter(F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0))), lambda w: w != "")
-    anchor = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    t = t.withColumn("_anchor", anchor)
-    d = docs.select(F.col(doc_id).alias("_doc"), F.col(text_col).alias("_text")).where(F.col("_text").isNotNull())
-    long_, short = t.where(F.col("_anchor").isNotNull()), t.where(F.col("_anchor").isNull())
-    tokens = d.select("_doc", F.explode(F.array_distinct(F.split("_text", " "))).alias("_anchor"))
-    met = written(tokens.join(_small(long_), "_anchor").select("_doc", "_id", "_term"), "anchors")
-    met = d.join(_small(met), "_doc").where(F.contains("_text", F.col("_term")))
-    plain = d.join(short, F.contains(F.col("_text"), F.col("_term")))
-    return met.select("_doc", "_id").unionByName(plain.select("_doc", "_id")).select(F.col("_doc").alias(doc_id), F.col("_id").alias(term_id))
-
-
-def _small(rows: DataFrame, most: int = MAX_BROADCAST) -> DataFrame:
-    """rows, to be broadcast where there are `most` at most, so that texts aren't shuffled."""
-    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
+def _automaton(terms: list[tuple]) -> tuple[object | None, list]:
+    """An automaton whose matches give lists of ids, and the ids of empty terms."""
+    import ahocorasick
+
+    by_term: dict[str, list] = {}
+    for term_id, term in terms:
+        by_term.setdefault(term, []).append(term_id)
+    empty = by_term.pop("", [])
+    automaton = ahocorasick.Automaton()
+    for term, found in by_term.items():
+        automaton.add_word(term, (term, found))
+    if by_term:
+        automaton.make_automaton()
+    return automaton if by_term else None, empty
+
+
+def term_matches(docs: DataFrame, terms: DataFrame, doc_id: str, text_col: str, term_id: str, term_col: str, most: int = MAX_TERM_CHARS) -> DataFrame:
+    """doc_id, term_id for every row of docs and of terms where the term is a substring of the text.
+
+    The terms become an automaton that every worker holds, and each text is read once, where it lies. Terms of
+    more than `most` characters together are dealt to several automata, one after the other. Null texts and
+    terms match nothing, an empty term every text; rows that repeat match each."""
+    t = terms.select(F.col(term_id).alias("_id"), F.col(term_col).cast("string").alias("_term")).where(F.col("_term").isNotNull())
+    d = docs.select(F.col(doc_id).alias("_doc"), F.col(text_col).cast("string").alias("_text")).where(F.col("_text").isNotNull())
+    kinds = StructType([StructField(doc_id, d.schema["_doc"].dataType), StructField(term_id, t.schema["_id"].dataType)])
+    id_kind = to_arrow_type(kinds[1].dataType)
+    chars = t.agg(F.coalesce(F.sum(F.length("_term") + 16), F.lit(0))).first()[0]
+    parts = max(1, -(-chars // most))
+
+    def part(k: int) -> DataFrame:
+        own = t if parts == 1 else t.where(F.pmod(F.xxhash64("_term"), F.lit(parts)) == k)
+        known = [tuple(r) for r in own.collect()]  # about `most` characters
+
+        def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            automaton, empty = _automaton(known)
+            for batch in batches:
+                rows, matched = [], []
+                for i, text in enumerate(batch.column(1).to_pylist()):
+                    held = {term: own_ids for _, (term, own_ids) in automaton.iter(text)} if automaton else {}
+                    for own_ids in (empty, *held.values()):
+                        rows += [i] * len(own_ids)
+                        matched += own_ids
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(matched, id_kind)], [doc_id, term_id])
+
+        return d.mapInArrow(found, kinds)
+
+    return part(0) if parts == 1 else gathered((part(k) for k in range(parts)), "terms")

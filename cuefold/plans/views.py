@@ -53,53 +53,68 @@ cues AS (SELECT video, idx, CAST(sum(long_ + wait) OVER w - long_ AS DOUBLE) AS
 
 
 def files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Audio and subtitle paths of documents: two of three have audio, every second subtitles."""
+    """Audio and subtitle paths of documents: each document has one of both at least. Which, its language and length say."""
     yt = F.concat(F.lit("x"), F.lpad(F.col("doc_id").cast("string"), 10, "0"))
     d = table(spark, sf_dir, "documents")
-    audio = d.where("doc_id % 3 <> 0").select(F.concat(F.lit("in/EP"), (F.col("doc_id") % 50).cast("string"), F.lit("_"), yt, F.lit(".mp3")).alias("path"))
-    srt = d.where("doc_id % 2 = 0").select(F.concat(F.lit("in/sub_"), yt, F.lit(".srt")).alias("path"))
+    audio = d.where("lang <> 'de'").select(F.concat(F.lit("in/EP"), (F.col("doc_id") % 50).cast("string"), F.lit("_"), yt, F.lit(".mp3")).alias("path"))
+    srt = d.where("lang = 'de' OR lang IS NULL OR n_chars % 2 = 0").select(F.concat(F.lit("in/sub_"), yt, F.lit(".srt")).alias("path"))
     return audio, srt
 
 
-FILES = """audio AS (SELECT 'x' || lpad(CAST(doc_id AS VARCHAR), 10, '0') AS yt_id, 'in/EP' || (doc_id % 50) || '_x' || lpad(CAST(doc_id AS VARCHAR), 10, '0') || '.mp3' AS path FROM documents WHERE doc_id % 3 <> 0),
-srt AS (SELECT 'x' || lpad(CAST(doc_id AS VARCHAR), 10, '0') AS yt_id, 'in/sub_x' || lpad(CAST(doc_id AS VARCHAR), 10, '0') || '.srt' AS path FROM documents WHERE doc_id % 2 = 0)"""
+FILES = """audio AS (SELECT 'x' || lpad(CAST(doc_id AS VARCHAR), 10, '0') AS yt_id, 'in/EP' || (doc_id % 50) || '_x' || lpad(CAST(doc_id AS VARCHAR), 10, '0') || '.mp3' AS path FROM documents WHERE lang <> 'de'),
+srt AS (SELECT 'x' || lpad(CAST(doc_id AS VARCHAR), 10, '0') AS yt_id, 'in/sub_x' || lpad(CAST(doc_id AS VARCHAR), 10, '0') || '.srt' AS path FROM documents WHERE lang = 'de' OR lang IS NULL OR n_chars % 2 = 0)"""
+
+#: Folders of local manifests: root, whose documents are in it, and which of its paths are live.
+_FOLDERS = (
+    ("batch_a", "processed", "lang <> 'de' OR lang IS NULL", "n_chars % 5 <> 0"),
+    ("batch_b", "processed", "n_chars % 2 = 0", "floor(n_chars / 5) % 3 <> 0"),
+    ("batch_a", "redone", "n_chars % 11 = 0 AND (lang <> 'de' OR lang IS NULL)", "true"),
+)
+
+
+def _key(d: DataFrame) -> DataFrame:
+    """Seven chunks make a video, and videos make fifty episodes, so keys grow with the table."""
+    video = F.floor(F.col("doc_id") / 7)
+    return d.select(
+        "*", F.concat(F.lit("EP"), (video % 50).cast("string")).alias("episode"), F.concat(F.lit("x"), F.lpad(video.cast("string"), 10, "0")).alias("yt_id"),
+        (F.col("doc_id") % 7).cast("int").alias("chunk_index"),
+    )
 
 
 def manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two folders of local manifests that overlap; a fifth of the paths are dead, and some keys come twice in a folder."""
-    d = table(spark, sf_dir, "documents")
-    yt = F.concat(F.lit("x"), F.lpad((F.col("doc_id") % 400).cast("string"), 10, "0"))
-    label = F.concat(F.lit("EP"), (F.col("doc_id") % 20).cast("string"), F.lit("_"), yt)
-    path = lambda folder: F.concat(F.lit(f"data\\processed\\{folder}\\audio\\"), label, F.lit("\\"), label, F.lit("_"), F.lpad((F.col("doc_id") % 7).cast("string"), 3, "0"), F.lit(".wav"))
-    one = lambda folder, where: d.where(where).select(F.lit(folder).alias("folder"), F.col("doc_id").alias("pos"), path(folder).alias("audio_path"), (F.col("doc_id") % 5 != 0).alias("live"))
-    return one("batch_a", "doc_id % 3 <> 0").unionByName(one("batch_b", "doc_id % 2 = 0"))
+    """Two folders of local manifests that overlap and differ in which paths are live; some keys come twice in a folder, some in none."""
+    d = _key(table(spark, sf_dir, "documents"))
+    label = F.concat_ws("_", "episode", "yt_id")
+    name = F.concat(label, F.lit("_"), F.lpad(F.col("chunk_index").cast("string"), 3, "0"), F.lit(".wav"))
+    out = None
+    for k, (folder, root, where, live) in enumerate(_FOLDERS):
+        path = F.concat(F.lit(f"data\\{root}\\{folder}\\audio\\"), label, F.lit("\\"), name)
+        one = d.where(where).select(F.lit(folder).alias("folder"), (F.col("doc_id") * 4 + k).alias("pos"), path.alias("audio_path"), F.expr(live).alias("live"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
-_LABEL = "'EP' || (doc_id % 20) || '_x' || lpad(CAST(doc_id % 400 AS VARCHAR), 10, '0')"
+_LABEL = "'EP' || (doc_id // 7) % 50 || '_x' || lpad(CAST(doc_id // 7 AS VARCHAR), 10, '0')"
+_KEY = "'EP' || (doc_id // 7) % 50 AS episode, 'x' || lpad(CAST(doc_id // 7 AS VARCHAR), 10, '0') AS yt_id, CAST(doc_id % 7 AS INTEGER) AS chunk_index"
 
 
-def _one(folder: str, where: str) -> str:
-    path = f"'data\\processed\\{folder}\\audio\\' || {_LABEL} || '\\' || {_LABEL} || '_' || lpad(CAST(doc_id % 7 AS VARCHAR), 3, '0') || '.wav'"
-    return f"SELECT '{folder}' AS folder, doc_id AS pos, {path} AS audio_path, doc_id % 5 <> 0 AS live, 'EP' || (doc_id % 20) AS episode, 'x' || lpad(CAST(doc_id % 400 AS VARCHAR), 10, '0') AS yt_id, CAST(doc_id % 7 AS INTEGER) AS chunk_index FROM documents WHERE {where}"
+def _one(k: int, folder: str, root: str, where: str, live: str) -> str:
+    path = f"'data\\{root}\\{folder}\\audio\\' || {_LABEL} || '\\' || {_LABEL} || '_' || lpad(CAST(doc_id % 7 AS VARCHAR), 3, '0') || '.wav'"
+    return f"SELECT '{folder}' AS folder, doc_id * 4 + {k} AS pos, {path} AS audio_path, {live} AS live, {_KEY} FROM documents WHERE {where}"
 
 
-MANIFESTS = f"""manifests AS ({_one("batch_a", "doc_id % 3 <> 0")} UNION ALL {_one("batch_b", "doc_id % 2 = 0")}),
+MANIFESTS = f"""manifests AS ({" UNION ALL ".join(_one(k, *f) for k, f in enumerate(_FOLDERS))}),
 lookups AS (SELECT * FROM manifests QUALIFY row_number() OVER (PARTITION BY folder, episode, yt_id, chunk_index ORDER BY pos DESC) = 1),
 lookup AS (SELECT * FROM lookups QUALIFY row_number() OVER (PARTITION BY episode, yt_id, chunk_index ORDER BY NOT live, folder) = 1)"""
 
 
 def reviewed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled documents as reviewed chunks; some are of no local manifest."""
-    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
-    return d.select(
-        F.concat(F.lit("EP"), (F.col("doc_id") % 20).cast("string")).alias("episode"), F.concat(F.lit("x"), F.lpad((F.col("doc_id") % 400).cast("string"), 10, "0")).alias("yt_id"),
-        (F.col("doc_id") % 7).cast("int").alias("chunk_index"), F.col("doc_id").alias("pos"), F.col("text").alias("transcript"),
-        (F.col("n_chars") / 16.0).alias("duration"), F.col("lang").alias("language"),
-    )
+    """Documents as reviewed chunks; some are of no local manifest."""
+    d = _key(table(spark, sf_dir, "documents"))
+    return d.select("episode", "yt_id", "chunk_index", F.col("doc_id").alias("pos"), F.col("text").alias("transcript"), (F.col("n_chars") / 16.0).alias("duration"), F.col("lang").alias("language"))
 
 
-REVIEWED = """reviewed AS (SELECT 'EP' || (doc_id % 20) AS episode, 'x' || lpad(CAST(doc_id % 400 AS VARCHAR), 10, '0') AS yt_id, CAST(doc_id % 7 AS INTEGER) AS chunk_index,
-  doc_id AS pos, text AS transcript, n_chars / 16.0 AS duration, lang AS language FROM documents JOIN labels USING (doc_id))"""
+REVIEWED = f"reviewed AS (SELECT {_KEY}, doc_id AS pos, text AS transcript, n_chars / 16.0 AS duration, lang AS language FROM documents)"
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,14 +128,9 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("model", F.lit("base")).withColumn("prediction", base).unionByName(rows.withColumn("model", F.lit("finetuned")).withColumn("prediction", tuned))
 
 
-def spellable(predictions: DataFrame) -> DataFrame:
-    """The pairs that PREDICTIONS holds: of 90 distinct words at most, which SQL can spell in ASCII."""
-    return predictions.where(F.size(F.array_distinct(F.split("reference", " "))) <= 88)
-
-
 _PAIRS = """SELECT conv_id, turn, text AS reference, '{model}' AS model, {prediction} AS prediction,
   [CASE WHEN regexp_matches(text, '[À-ÿ]') THEN 'accented' ELSE 'plain' END, CASE WHEN len(list_distinct(string_split(text, ' '))) > 40 THEN 'long' ELSE 'short' END] AS buckets
-  FROM conversations WHERE len(list_distinct(string_split(text, ' '))) <= 88"""
+  FROM conversations"""
 PREDICTIONS = (
     "predictions AS ("
     + _PAIRS.format(model="base", prediction="replace(replace(text, ' la ', ' '), ' the ', ' a ')")
@@ -129,9 +139,6 @@ PREDICTIONS = (
     + ")"
 )
 
-_WHERE = "WHERE len(list_distinct(string_split(text, ' '))) <= 88"
-ALL_PREDICTIONS = PREDICTIONS.replace(_WHERE, "")
-
 
 def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("samples"))

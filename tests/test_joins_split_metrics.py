@@ -145,10 +145,10 @@ def test_rates_of_all_turns_by_brute_force(spark, tmp_path):
     def rate(model, rows):
         return round(100 * sum(distance(t.split(), models[model](t).split()) for t in rows) / sum(len(t.split()) for t in rows), 6)
 
-    got = {r.model: (r.n, r.wer) for r in QUERIES["wer_overall_all_turns"](spark, str(tmp_path)).collect()}
+    got = {r.model: (r.n, r.wer) for r in QUERIES["wer_overall"](spark, str(tmp_path)).collect()}
     assert got == {m: (4, pytest.approx(rate(m, texts))) for m in models}
     long = [t for t in texts if len(set(t.split())) > 40]
-    got = {(r.model, r.bucket): (r.n, r.wer) for r in QUERIES["wer_by_bucket_all_turns"](spark, str(tmp_path)).collect()}
+    got = {(r.model, r.bucket): (r.n, r.wer) for r in QUERIES["wer_by_bucket"](spark, str(tmp_path)).collect()}
     assert all(got[(m, "long")] == (len(long), pytest.approx(rate(m, long))) for m in models)
-    delta = {r.bucket: r.delta for r in QUERIES["wer_delta_all_turns"](spark, str(tmp_path)).collect()}
+    delta = {r.bucket: r.delta for r in QUERIES["wer_delta"](spark, str(tmp_path)).collect()}
     assert delta["long"] == pytest.approx(rate("base", long) - rate("finetuned", long), abs=1e-5)
