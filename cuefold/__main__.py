@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
 
 from pyspark.sql import SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from cuefold.functions import text as T
 from cuefold.plans import pipelines
 from cuefold.sources import files, sinks
+from cuefold.storage import scope
 
 
 def parser() -> argparse.ArgumentParser:
@@ -20,6 +22,29 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--input_dir", required=True)
     p.add_argument("--output_dir", default="./data/processed")
     p.add_argument("--max_duration", type=float, default=28.0)
+    p.add_argument("--manifest-name", default="manifest.json", help="a name that doesn't end in .json is a folder of JSON lines")
+    p.add_argument("--decoder", help="module:function, bytes to rate and samples, for audio other than WAV")
+    p = commands.add_parser("prepare-pair", help="one recording and its subtitles to clips and a manifest")
+    p.add_argument("--audio", required=True)
+    p.add_argument("--srt", required=True)
+    p.add_argument("--output_dir", default="./data/processed/sample_test")
+    p.add_argument("--max_duration", type=float, default=28.0)
+    p.add_argument("--video_index", type=int, default=1)
+    p.add_argument("--decoder")
+    p = commands.add_parser("prepare-flat", help="media and transcripts of the same name to a manifest")
+    p.add_argument("--input_dir", required=True)
+    p.add_argument("--transcript_dir", required=True)
+    p.add_argument("--output_dir", default="./data/processed")
+    p.add_argument("--decoder")
+    p = commands.add_parser("transcribe", help="files through a caller's model; a table of path, transcript and error")
+    p.add_argument("paths", nargs="+")
+    p.add_argument("--model", required=True, help="module:function that loads a function of a list of bytes")
+    p.add_argument("--out")
+    p = commands.add_parser("compare", help="files through two models, a text file each")
+    p.add_argument("paths", nargs="+")
+    p.add_argument("--base", required=True)
+    p.add_argument("--finetuned", required=True)
+    p.add_argument("--out_dir", required=True)
     p = commands.add_parser("normalise", help="rewrite a manifest's transcripts")
     p.add_argument("--manifest", required=True)
     p.add_argument("--inplace", action="store_true")
@@ -52,20 +77,55 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def named(spec: str | None, default=None):
+    """The object that module:name names."""
+    if not spec:
+        return default
+    module, _, name = spec.partition(":")
+    return getattr(importlib.import_module(module), name)
+
+
 def main(argv: list[str] | None = None) -> None:
     a = parser().parse_args(argv)
     spark = SparkSession.builder.appName("cuefold").getOrCreate()
+    with scope():  # shared tables go when the command has ended
+        run(spark, a)
+
+
+def run(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.command == "prepare-batch":
-        merged, clips = pipelines.prepare_batch(spark, a.input_dir, a.output_dir, a.max_duration)
+        report = lambda failed: failed.show(1000, truncate=False)
+        merged, clips = pipelines.prepare_batch(spark, a.input_dir, a.output_dir, a.max_duration, named(a.decoder, files.decode_wav), report, a.manifest_name)
         sinks.wav_files(clips, a.output_dir)
-        sinks.json_array(merged, f"{a.output_dir}/manifest.json")
+        sinks.manifest(merged, f"{a.output_dir}/{a.manifest_name}")
         pipelines.totals(merged).show()
+    elif a.command == "prepare-pair":
+        rows, clips = pipelines.prepare_pair(spark, a.audio, a.srt, a.output_dir, a.max_duration, a.video_index, named(a.decoder, files.decode_wav))
+        sinks.wav_files(clips, a.output_dir)
+        sinks.manifest(rows, f"{a.output_dir}/manifest.json")
+        pipelines.totals(rows).show()
+    elif a.command == "prepare-flat":
+        rows, waves, rest = pipelines.flat_batch(spark, a.input_dir, a.transcript_dir, a.output_dir, named(a.decoder, files.decode_wav))
+        sinks.wav_files(waves, a.output_dir)
+        sinks.manifest(rows, f"{a.output_dir}/manifest.json")
+        rest.show(1000, truncate=False)
+        pipelines.totals(rows).show()
+    elif a.command == "transcribe":
+        rows = pipelines.transcribe(spark, a.paths, named(a.model), "model").drop("out")
+        sinks.json_lines(rows, a.out) if a.out else rows.show(1000, truncate=False)
+    elif a.command == "compare":
+        for label in ("base", "finetuned"):
+            for r in pipelines.transcribe(spark, a.paths, named(getattr(a, label)), label).toLocalIterator():
+                print(r.out, r.error or "")
+                if r.error is None:
+                    sinks.text(spark, r.transcript, f"{a.out_dir}/{r.out}")
     elif a.command == "normalise":
         _, report, log = pipelines.normalise_manifest(spark, a.manifest, a.inplace, a.dry_run)
         report.show(truncate=False)
         log.select("pos", "rules", F.substring("before", 1, 120).alias("before"), F.substring("after", 1, 120).alias("after")).show(truncate=False)
     elif a.command == "convert":
-        _, coverage = pipelines.convert_reviewed(spark, a.reviewed_manifest, a.processed_dir, a.batch_folder, a.output, a.output_name, a.allow_reconstruct)
+        report = lambda summary, folders: (summary.show(truncate=False), folders.show(1000, truncate=False))
+        _, coverage = pipelines.convert_reviewed(spark, a.reviewed_manifest, a.processed_dir, a.batch_folder, a.output, a.output_name, a.allow_reconstruct, report)
         coverage.show(1000, truncate=False)
     elif a.command == "fix-lexicon":
         pairs = [tuple(p) for p in json.loads(files.whole_texts(spark, a.pairs).first().value)]

@@ -152,7 +152,9 @@ def sliding(df: DataFrame, duration_col: str = "duration", window: float = MAX_D
     return rows.where((F.col("window") == 0) | (F.col("window_end") - F.col("window_start") > strides[0]))
 
 
-def audio_boundaries(windows: DataFrame, signals: DataFrame, key_col: str = "video", gap: float = GAP, pad: float = PAD, search: float = 1.0) -> DataFrame:
+def audio_boundaries(
+    windows: DataFrame, signals: DataFrame, key_col: str = "video", gap: float = GAP, pad: float = PAD, search: float = 1.0, frame: int = S.FRAME, hop: int = S.HOP
+) -> DataFrame:
     """key, samples, rate, chunks (chunk_idx, chunk_start, chunk_end): boundaries snapped to silence, one row for each signal."""
     listed = windows.groupBy(key_col).agg(F.array_sort(F.collect_list(F.struct("chunk_idx", "start", "end"))).alias("ws"))
     rows = listed.join(signals.select(key_col, "samples", F.col("rate").cast("double").alias("rate")), key_col)
@@ -162,7 +164,7 @@ def audio_boundaries(windows: DataFrame, signals: DataFrame, key_col: str = "vid
         following = F.get(ws, i + 1)["start"]
         until = F.when(following - w["end"] > gap, w["end"] + F.least(F.lit(search), following - w["end"])).otherwise(following)
         closed = F.least(F.size("samples") / F.col("rate"), w["end"] + pad)
-        return F.when(i == F.size(ws) - 1, closed).otherwise(S.snap(F.col("samples"), F.col("rate"), w["end"], until))
+        return F.when(i == F.size(ws) - 1, closed).otherwise(S.snap(F.col("samples"), F.col("rate"), w["end"], until, frame, hop))
 
     def start(w: Column, i: Column) -> Column:
         shared, own = F.get(ends, i - 1), w["start"] - pad

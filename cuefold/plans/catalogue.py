@@ -296,6 +296,17 @@ def review_coverage_rollup(spark, sf_dir):
     return P.coverage(_joined(spark, sf_dir))
 
 
+@query(f"""WITH {_JOINED}, s AS (SELECT count(DISTINCT episode) AS episodes, count(*) FILTER (matched) AS matched, count(*) AS total FROM joined)
+SELECT episodes, matched, total, total - matched AS missing, printf('%.1f%%', CASE WHEN total > 0 THEN 100.0::DOUBLE * matched / total ELSE 0 END) AS share FROM s""")
+def coverage_summary(spark, sf_dir):
+    return P.coverage_summary(_joined(spark, sf_dir))
+
+
+@query(f"WITH {V.MANIFESTS}, {V.REVIEWED}, m AS (SELECT folder, count(*) AS matched FROM reviewed JOIN lookup USING (episode, yt_id, chunk_index) GROUP BY folder) SELECT CAST(row_number() OVER (ORDER BY folder) AS INTEGER) AS place, folder, matched FROM m")
+def coverage_folders(spark, sf_dir):
+    return P.coverage_folders(V.reviewed(spark, sf_dir), _lookup(spark, sf_dir))
+
+
 @query(f"WITH {_JOINED} SELECT episode, yt_id, chunk_index, pos FROM joined WHERE NOT matched")
 def review_unmatched(spark, sf_dir):
     return _joined(spark, sf_dir).where(~F.col("matched")).select(*P.KEY, "pos")
@@ -427,18 +438,50 @@ def silence_snap(spark, sf_dir):
     return rows.select("vec_id", S.first_least(F.col("rms")).alias("first_least"), F.round(F.array_min("rms"), 6).alias("least"), F.round(S.median(F.col("rms")), 6).alias("middle"), snapped.alias("boundary"))
 
 
-# Labels and metrics
+@query("""WITH x AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE))[1:35] AS s FROM embeddings WHERE len(embedding) = 64),
+p AS (SELECT vec_id, list_concat([0.0, 0.0, 0.0, 0.0], s, [0.0, 0.0, 0.0, 0.0]) AS p FROM x),
+e AS (SELECT vec_id, list_transform(generate_series(0, 8), lambda k: sqrt(list_sum(list_transform(list_slice(p, k * 4 + 1, k * 4 + 8), lambda v: v * v)) / 8)) AS rms FROM p),
+m AS (SELECT vec_id, list_position(rms, list_min(rms)) - 1 AS k, list_min(rms) AS least, list_aggregate(rms, 'median') AS middle FROM e),
+b AS (SELECT vec_id, CASE WHEN middle > 0 AND least <= 0.5 * middle THEN k * 4 / 64.0 ELSE 0.45 END AS cut FROM m)
+SELECT vec_id, 0 AS chunk_idx, 0.05::DOUBLE AS chunk_start, round(cut, 6) AS chunk_end FROM b UNION ALL SELECT vec_id, 1, round(cut, 6), 0.95 FROM b""")
+def silence_chunks(spark, sf_dir):
+    """Two windows of each signal with pads, and between them the boundary that silence draws."""
+    signals = V.signals(spark, sf_dir).where(F.size("samples") == 64).withColumn("rate", F.lit(64.0))
+    windows = signals.select("vec_id", F.inline(F.expr("array(struct(0 AS chunk_idx, 0.1D AS start, 0.45D AS end), struct(1 AS chunk_idx, 0.55D AS start, 0.9D AS end))")))
+    rows = C.audio_boundaries(windows, signals, "vec_id", pad=0.05, frame=8, hop=4).select("vec_id", F.inline("chunks"))
+    return rows.select("vec_id", "chunk_idx", F.round("chunk_start", 6).alias("chunk_start"), F.round("chunk_end", 6).alias("chunk_end"))
 
 
-@query("""WITH l AS (SELECT conv_id, turn, list_concat(CASE WHEN conv_id % 2 = 0 OR turn % 2 = 0 THEN [7] ELSE [] END, list_transform(string_split(text, ' '), lambda w: CAST(length(w) AS INTEGER))) AS x FROM conversations),
+# Labels and metrics
+
+_LABELS = """l AS (SELECT conv_id, turn, list_concat(CASE WHEN conv_id % 2 = 0 OR turn % 2 = 0 THEN [7] ELSE [] END, list_transform(string_split(text, ' '), lambda w: CAST(length(w) AS INTEGER))) AS x FROM conversations),
 m AS (SELECT *, max(len(x)) OVER w AS width, bool_and(coalesce(x[1], 0) = 7) OVER w AS bos FROM l WINDOW w AS (PARTITION BY conv_id)),
-p AS (SELECT conv_id, turn, list_concat(x, list_transform(range(width - len(x)), lambda i: -100)) AS x, bos FROM m)
-SELECT conv_id, turn, md5(array_to_string(CASE WHEN bos THEN x[2:] ELSE x END, ',')) AS labels_md5, CAST(len(CASE WHEN bos THEN x[2:] ELSE x END) AS INTEGER) AS width FROM p""")
-def label_pad_mask(spark, sf_dir):
+p AS (SELECT conv_id, turn, list_concat(x, list_transform(range(width - len(x)), lambda i: -100)) AS x, bos FROM m)"""
+
+
+def _padded(spark, sf_dir) -> DataFrame:
     words = F.transform(F.split("text", " "), lambda w: F.length(w))
     first = F.when((F.col("conv_id") % 2 == 0) | (F.col("turn") % 2 == 0), F.array(F.lit(7))).otherwise(F.array().cast("array<int>"))
     rows = V.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat(first, words).alias("labels"))
-    rows = arrays.pad_and_mask(rows, "conv_id", "labels", 7)
+    return arrays.pad_and_mask(rows, "conv_id", "labels", 7)
+
+
+@query(f"WITH {_LABELS} SELECT conv_id, turn, md5(array_to_string(list_transform(CASE WHEN bos THEN x[2:] ELSE x END, lambda v: CASE WHEN v = -100 THEN 0 ELSE v END), ',')) AS labels_md5 FROM p")
+def unmask_labels(spark, sf_dir):
+    rows = _padded(spark, sf_dir).withColumn("labels", arrays.unmask(F.col("labels"), 0))
+    return rows.select("conv_id", "turn", F.md5(F.array_join(F.transform("labels", lambda x: x.cast("string")), ",")).alias("labels_md5"))
+
+
+@query(f"""WITH {V.CLIPS} SELECT episode, count(*) AS rows, count(*) FILTER (transcript IS NULL) AS missing, count(*) FILTER (regexp_replace(transcript, '^\\s+|\\s+$', '', 'g') = '') AS empty,
+  count(*) FILTER (length(transcript) > 500) AS too_long, CAST(sum(duration) AS DOUBLE) AS seconds FROM clips GROUP BY episode""")
+def manifest_profile(spark, sf_dir):
+    return T.profile(V.clips(spark, sf_dir), "episode")
+
+
+@query(f"""WITH {_LABELS}
+SELECT conv_id, turn, md5(array_to_string(CASE WHEN bos THEN x[2:] ELSE x END, ',')) AS labels_md5, CAST(len(CASE WHEN bos THEN x[2:] ELSE x END) AS INTEGER) AS width FROM p""")
+def label_pad_mask(spark, sf_dir):
+    rows = _padded(spark, sf_dir)
     return rows.select("conv_id", "turn", F.md5(F.array_join(F.transform("labels", lambda x: x.cast("string")), ",")).alias("labels_md5"), F.size("labels").alias("width"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,51 +12,109 @@ from cuefold.functions import text as T
 from cuefold.operators import cues as C
 from cuefold.operators import metrics as M
 from cuefold.operators import pairing as P
+from cuefold.operators import models
 from cuefold.operators import split as H
+from cuefold.operators.numbering import numbered
 from cuefold.sources import files, sinks
 from cuefold.storage import written
 
 MAX_PATHS = 100_000
 
 
-def prepare_batch(spark: SparkSession, input_dir: str, output_dir: str, most: float = C.MAX_DURATION) -> tuple[DataFrame, DataFrame]:
-    """Pairs of audio and subtitles that the manifest lacks become clips; the merged manifest and the clips are returned.
+_CHUNKS = "video_id string, chunk_idx int, chunk_start double, chunk_end double, duration double, transcript string, samples array<double>, rate double"
 
-    Numbers of videos without a label follow the natural order of the listing. A file that can't be read or
-    parsed is left out and tried again by the next call."""
-    found = files.listing(spark, input_dir)
-    audio, srt = P.identified(found, ids.AUDIO_EXTENSIONS), P.identified(found, (".srt",))
-    paired = P.pairs(audio, srt).withColumn("video_id", ids.video_id(F.col("audio"), F.col("pair_index")))
-    done = files.optional_manifest(spark, f"{output_dir}/manifest.json")
-    new = P.unseen(paired, done.select(ids.parent(F.col("audio_path")).alias("video_id")))
-    new = written(new, "new_pairs")
+
+def clips_of_pairs(spark: SparkSession, new: DataFrame, most: float, decode: Callable = files.decode_wav) -> tuple[DataFrame, DataFrame]:
+    """The clips of pairs (pair_index, video_id, audio, subtitle), and path and error of files that can't be read or parsed."""
     part = F.floor((F.col("pair_index") - 1) / MAX_PATHS)  # pairs are read in parts of MAX_PATHS, until none is left
-    chunks = spark.createDataFrame([], "video_id string, chunk_idx int, chunk_start double, chunk_end double, duration double, transcript string, samples array<double>, rate double")
+    chunks, failed = spark.createDataFrame([], _CHUNKS), spark.createDataFrame([], "path string, error string")
     for k in sorted(r.part for r in new.select(part.alias("part")).distinct().collect()):
         own = new.where(part == k)
         todo = own.select("audio", "subtitle").collect()  # MAX_PATHS rows at most
-        named = F.broadcast(own.select(ids.stem(F.col("audio")).alias("video"), ids.stem(F.col("subtitle")).alias("sub"), "video_id"))
-        signals = files.audio(spark, [r.audio for r in todo]).where("error IS NULL").join(named.drop("sub"), "video").drop("video", "error")
-        texts = files.subtitles(spark, [r.subtitle for r in todo]).withColumnRenamed("video", "sub").join(named.drop("video"), "sub").drop("sub")
-        chunks = chunks.unionByName(written(C.chunks_of_audio(C.parse_subtitles(texts, "video_id", strict=False), signals, "video_id", most), "chunks"))
+        named = F.broadcast(own.select(ids.stem(F.col("audio")).alias("video"), ids.stem(F.col("subtitle")).alias("sub"), "video_id", "audio", "subtitle"))
+        signals = written(files.audio(spark, [r.audio for r in todo], decode=decode).join(named.drop("sub"), "video"), "signals")
+        texts = files.subtitles(spark, [r.subtitle for r in todo]).withColumnRenamed("video", "sub").join(named, "sub")
+        cues = written(C.parse_subtitles(texts, "video_id", strict=False), "cues")
+        unread = signals.where("error IS NOT NULL").select(F.col("audio").alias("path"), "error")
+        unparsed = texts.join(cues.select("video_id").distinct(), "video_id", "left_anti").select(F.col("subtitle").alias("path"), F.lit("no cue, or a time that can't be read").alias("error"))
+        failed = failed.unionByName(unread).unionByName(unparsed)
+        chunks = chunks.unionByName(written(C.chunks_of_audio(cues, signals.where("error IS NULL").select("video_id", "rate", "samples"), "video_id", most), "chunks"))
+    return chunks, written(failed, "failed")
+
+
+def _samples(chunks: DataFrame, new: DataFrame, output_dir: str) -> DataFrame:
     path = F.format_string(f"{output_dir}/audio/%s/%s_%03d.wav", "video_id", "video_id", "chunk_idx")
-    order = new.select("video_id", "pair_index")
-    rows = chunks.join(order, "video_id").select(
-        (F.col("pair_index") * 1_000_000 + F.col("chunk_idx")).alias("at"), path.alias("audio_path"), "transcript", "duration", F.lit("ur").alias("language")
-    )
-    merged = done.select(F.lit(0).alias("old"), F.col("pos").alias("at"), "audio_path", "transcript", "duration", "language").unionByName(rows.select(F.lit(1).alias("old"), "*"))
+    rows = chunks.join(new.select("video_id", "pair_index"), "video_id")
+    return rows.select((F.col("pair_index") * 1_000_000 + F.col("chunk_idx")).alias("at"), path.alias("audio_path"), "transcript", "duration", F.lit("ur").alias("language"))
+
+
+def prepare_batch(
+    spark: SparkSession, input_dir: str, output_dir: str, most: float = C.MAX_DURATION, decode: Callable = files.decode_wav,
+    report: Callable[[DataFrame], None] | None = None, manifest: str = "manifest.json",
+) -> tuple[DataFrame, DataFrame]:
+    """Pairs of audio and subtitles that the manifest lacks become clips; the merged manifest and the clips are returned.
+
+    Numbers of videos without a label follow the natural order of the listing. A file that can't be read or parsed is left
+    out and tried again by the next call; `report` gets path and error of all such files. `manifest` names a folder of JSON
+    lines, or an array if it ends in .json."""
+    found = files.listing(spark, input_dir)
+    audio, srt = P.identified(found, ids.AUDIO_EXTENSIONS), P.identified(found, (".srt",))
+    paired = P.pairs(audio, srt).withColumn("video_id", ids.video_id(F.col("audio"), F.col("pair_index")))
+    done = files.optional_manifest(spark, f"{output_dir}/{manifest}")
+    new = written(P.unseen(paired, done.select(ids.parent(F.col("audio_path")).alias("video_id"))), "new_pairs")
+    chunks, failed = clips_of_pairs(spark, new, most, decode)
+    if report:
+        report(failed)
+    merged = done.select(F.lit(0).alias("old"), F.col("pos").alias("at"), "audio_path", "transcript", "duration", "language")
+    merged = merged.unionByName(_samples(chunks, new, output_dir).select(F.lit(1).alias("old"), "*"))
     merged = merged.select(F.struct("old", "at").alias("pos"), "audio_path", "transcript", "duration", "language")
-    return merged, sinks.clips(chunks.withColumnRenamed("video_id", "video"))
+    return written(_renumbered(merged), "merged"), sinks.clips(chunks.withColumnRenamed("video_id", "video"))
+
+
+def _renumbered(rows: DataFrame) -> DataFrame:
+    return numbered(rows.withColumnRenamed("pos", "_pos"), [F.col("_pos")], "pos").withColumn("pos", F.col("pos") - 1).drop("_pos")
+
+
+def prepare_pair(
+    spark: SparkSession, audio: str, subtitle: str, output_dir: str, most: float = C.MAX_DURATION, index: int = 1, decode: Callable = files.decode_wav
+) -> tuple[DataFrame, DataFrame]:
+    """The manifest and the clips of one recording; a file that can't be read or parsed raises."""
+    one = spark.createDataFrame([(index, audio, subtitle)], "pair_index long, audio string, subtitle string")
+    new = written(one.withColumn("video_id", ids.video_id(F.col("audio"), F.col("pair_index"))), "new_pairs")
+    chunks, failed = clips_of_pairs(spark, new.withColumn("pair_index", F.lit(1).cast("long")), most, decode)
+    if bad := failed.take(1):
+        raise ValueError(f"{bad[0].path}: {bad[0].error}")
+    rows = _samples(chunks, new, output_dir).withColumnRenamed("at", "pos")
+    return written(_renumbered(rows), "samples"), sinks.clips(chunks.withColumnRenamed("video_id", "video"))
 
 
 def flat_prep(spark: SparkSession, media: DataFrame, transcript_dir: str) -> DataFrame:
     """media (path, duration) joined to transcripts by stem; valid texts of files short enough become samples."""
-    texts = files.whole_texts(spark, f"{transcript_dir}/*.txt").select(ids.stem(F.col("path")).alias("stem"), F.col("value").alias("transcript"))
-    rows = media.withColumn("stem", ids.stem(F.col("path"))).join(texts, "stem")
-    rows = rows.where(T.valid_transcript(F.col("transcript")) & (F.col("duration") <= C.MAX_DURATION))
+    rows = judged_media(spark, media, transcript_dir).where("reason IS NULL")
     return rows.select(F.col("path").alias("audio_path"), "transcript", "duration", F.lit("ur").alias("language"))
 
 
+def judged_media(spark: SparkSession, media: DataFrame, transcript_dir: str) -> DataFrame:
+    """media with transcript and reason: why a file becomes no sample (null: it does)."""
+    texts = files.whole_texts(spark, f"{transcript_dir}/*.txt").select(ids.stem(F.col("path")).alias("stem"), F.col("value").alias("transcript"))
+    rows = media.withColumn("stem", ids.stem(F.col("path"))).join(texts, "stem", "left").drop("stem")
+    reason = F.when(F.col("transcript").isNull(), "no transcript").when(~T.valid_transcript(F.col("transcript")), "invalid transcript")
+    return rows.withColumn("reason", reason.when(F.col("duration").isNull(), "unreadable").when(F.col("duration") > C.MAX_DURATION, "too long"))
+
+
+def flat_batch(spark: SparkSession, input_dir: str, transcript_dir: str, output_dir: str, decode: Callable = files.decode_wav) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Media of a folder with transcripts of the same stem: the samples, the decoded audio (path, content), and path and reason of the rest."""
+    media = files.listing(spark, input_dir, ids.VIDEO_EXTENSIONS + ids.AUDIO_EXTENSIONS).select("path", ids.stem(F.col("path")).alias("video"))
+    signals = written(files.audio(spark, f"{input_dir}/*", decode=decode).join(media, "video"), "signals")
+    judged = judged_media(spark, files.duration(signals.drop("error")).select("path", "video", "duration"), transcript_dir)
+    judged = written(judged, "judged")
+    out = F.concat(F.lit("audio/"), "video", F.lit(".wav"))
+    kept = judged.where("reason IS NULL").withColumn("audio_path", F.concat(F.lit(f"{output_dir}/"), out))
+    samples = numbered(kept.select("audio_path", "transcript", "duration", F.lit("ur").alias("language")), [ids.natural_key(F.col("audio_path")), F.col("audio_path")], "pos")
+    waves = sinks.waves(signals.join(kept.select("video"), "video").select(out.alias("path"), "samples", "rate"))
+    return written(samples.withColumn("pos", F.col("pos") - 1), "samples"), waves, judged.where("reason IS NOT NULL").select("path", "reason")
+
+
 def totals(samples: DataFrame) -> DataFrame:
     """clips, videos and hours of a manifest."""
     return samples.agg(F.count("*").alias("clips"), F.count_distinct(ids.parent(F.col("audio_path"))).alias("videos"), (F.sum("duration") / 3600).alias("hours"))
@@ -62,20 +122,21 @@ def totals(samples: DataFrame) -> DataFrame:
 
 def normalise_manifest(spark: SparkSession, path: str, in_place: bool = False, dry_run: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The rewritten manifest, rule totals and the log of changes; written unless dry_run."""
-    rows = files.manifest(spark, path)
+    rows = written(files.manifest(spark, path), "manifest")  # what is read later must not see what is written
     after = T.normalise(rows)
     report, log = T.rule_totals(after), T.changed_log(rows)
     out = after.drop("hits", "changed")
     if not dry_run:
-        sinks.json_array(out, sinks.normalised_path(path, in_place))
+        sinks.manifest(out, sinks.normalised_path(path, in_place))
     return out, report, log
 
 
 def convert_reviewed(
     spark: SparkSession, reviewed_path: str, processed_dir: str, batch_folder: str | None = None, output: str | None = None,
-    output_name: str = "manifest_reviewed.json", allow_reconstruct: bool = False,
+    output_name: str = "manifest_reviewed.json", allow_reconstruct: bool = False, report: Callable[[DataFrame, DataFrame], None] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """The reviewed manifest with local paths, and coverage by episode. Rows that match nothing raise unless reconstruction is allowed."""
+    """The reviewed manifest with local paths, and coverage by episode, in order. Rows that match nothing raise unless
+    reconstruction is allowed; before, `report` gets the summary over all and the folders that rows were found in."""
     rows = files.reviewed(spark, reviewed_path).withColumnsRenamed({"episode_label": "episode", "youtube_video_id": "yt_id"})
     local = files.manifests(spark, processed_dir)
     if batch_folder:
@@ -84,20 +145,22 @@ def convert_reviewed(
         there = files.listing(spark, f"{processed_dir}/*/audio/*/*.wav") if files._exists(spark, f"{processed_dir}/*/audio/*/*.wav") else spark.createDataFrame([], "path string")
         lookup = P.merge_lookups(P.local_lookup(files.mark_live(local, there)))
     joined = written(P.join_back(rows, lookup, F.lit(f"data\\processed\\{batch_folder or ''}")), "joined")
-    coverage = P.coverage(joined)
+    coverage = P.in_order(P.coverage(joined))
+    if report:
+        report(P.coverage_summary(joined), P.coverage_folders(rows, lookup))
     P.gate(joined, allow_reconstruct, batch_folder is not None)
     out = joined.select("pos", "audio_path", "transcript", "duration", "language")
-    sinks.json_array(out, sinks.converted_path(processed_dir, output, batch_folder, output_name))
+    sinks.manifest(out, sinks.converted_path(processed_dir, output, batch_folder, output_name))
     return out, coverage
 
 
 def fix_lexicon(spark: SparkSession, path: str, output: str, pairs: list[tuple[str, str]]) -> tuple[DataFrame, int]:
     """The manifest with literal replacements, written to output, and the number of changed rows."""
-    rows = files.manifest(spark, path)
+    rows = written(files.manifest(spark, path), "manifest")  # the output may be the input
     fixed = rows.withColumn("_fixed", T.replace_chain(F.col("transcript"), pairs))
     changed = fixed.where(F.col("_fixed") != F.col("transcript")).count()
     out = fixed.withColumn("transcript", F.col("_fixed")).drop("_fixed")
-    sinks.json_array(out, output)
+    sinks.manifest(out, output)
     return out, changed
 
 
@@ -127,3 +190,9 @@ def evaluate(predictions: DataFrame, which: str = "both") -> DataFrame:
     norm = M.wer(M.edits(rows, True), ["model"]).select("model", F.col("wer").alias("norm_wer"))
     by = M.wer_by_bucket(rows, ["model"]).select("model", "bucket", "n", F.lit(None).cast("double").alias("raw_wer"), F.col("wer").alias("norm_wer"))
     return raw.join(norm, "model").unionByName(by)
+
+
+def transcribe(spark: SparkSession, paths: list[str], load: Callable, label: str) -> DataFrame:
+    """path, transcript, error, out: a caller's model over whole files, those that don't exist skipped; out is stem_label.txt."""
+    rows = models.transcribe_bytes(files.listed(spark, paths), load)
+    return rows.withColumn("out", F.concat(ids.stem(F.col("path")), F.lit(f"_{label}.txt")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import json
 import wave
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -35,6 +35,9 @@ def json_array(spark: SparkSession, path: str, schema: str, with_pos: bool = Tru
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """pos and the manifest's columns: of an array where the path ends in .json, else of a folder of JSON lines."""
+    if not path.endswith(".json"):
+        return spark.read.schema("pos long, " + schemas.MANIFEST).json(path)
     return json_array(spark, path, schemas.MANIFEST).drop("file")
 
 
@@ -118,22 +121,34 @@ def decode_wav(content: bytes) -> tuple[int, np.ndarray]:
     return rate, samples.reshape(-1, channels).mean(1)
 
 
-def resample(samples: np.ndarray, rate: int, to: int) -> np.ndarray:
-    """Linear interpolation to another rate."""
+def resample(samples: np.ndarray, rate: int, to: int, half: int = 16) -> np.ndarray:
+    """Another rate by a windowed sinc of `half` zero crossings to each side, which keeps what lies above the lower rate's band out."""
     if rate == to or not len(samples):
         return samples
-    n = int(len(samples) * to / rate)
-    return np.interp(np.arange(n) * rate / to, np.arange(len(samples)), samples)
+    share = min(1.0, to / rate)
+    width = int(np.ceil(half / share))
+    offsets = np.arange(1 - width, width + 1)
+    padded = np.pad(np.asarray(samples, float), width)
+    out = np.empty(int(len(samples) * to / rate))
+    for a in range(0, len(out), 1 << 14):
+        at = np.arange(a, min(len(out), a + (1 << 14))) * (rate / to)
+        base = np.floor(at).astype(np.int64)
+        x = offsets[None, :] - (at - base)[:, None]
+        taps = np.sinc(share * x) * (0.5 + 0.5 * np.cos(np.pi * np.clip(x / width, -1, 1)))
+        out[a : a + len(at)] = (padded[base[:, None] + offsets[None, :] + width] * taps).sum(1) / taps.sum(1)
+    return out
 
 
-def audio(spark: SparkSession, path: str | list[str], rate: int = 16_000) -> DataFrame:
-    """video, rate, samples, error of WAV files as mono signals; a file that can't be read has its error and no samples."""
+def audio(spark: SparkSession, path: str | list[str], rate: int = 16_000, decode: Callable[[bytes], tuple[int, np.ndarray]] = decode_wav) -> DataFrame:
+    """video, rate, samples, error of audio files as mono signals; a file that can't be read has its error and no samples.
+
+    WAV is decoded here; `decode` (bytes to rate and mono samples) reads other formats with what the workers have."""
 
     def decoded(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for r in part.itertuples(index=False):
                 try:
-                    own, samples = decode_wav(r.content)
+                    own, samples = decode(r.content)
                     row = (r.video, rate, resample(samples, own, rate), None)
                 except Exception as e:  # one bad file doesn't end the job
                     row = (r.video, rate, None, f"{type(e).__name__}: {e}")

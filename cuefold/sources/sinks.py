@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 import io
+import os
 import wave
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
+
+
+#: Rows of an array in one file.
+MAX_ARRAY_ROWS = 2_000_000
 
 
 def json_lines(rows: DataFrame, path: str) -> None:
@@ -17,31 +23,67 @@ def json_lines(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").json(path)
 
 
-def _put(spark: SparkSession, path: str, text: str) -> None:
-    """Write beside the target, then rename over it, so that a reader sees the old file or the new one."""
+def _put(spark: SparkSession, path: str, parts: Iterable[str]) -> None:
+    """Write beside the target, then rename over it in one step, so that a reader sees the old file or the new one.
+
+    Local files are replaced by the operating system's rename; other stores by FileContext's, which is one step where
+    the store has one (HDFS) and else as good as the store's own."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     to, beside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(path + ".tmp")
     fs = to.getFileSystem(conf)
+    if fs.getScheme() == "file":
+        own = to.toUri().getPath()
+        folder, name = os.path.split(own)
+        os.makedirs(folder or ".", exist_ok=True)
+        with open(own + ".tmp", "w", encoding="utf-8") as f:
+            f.writelines(parts)
+            f.flush()
+            os.fsync(f.fileno())
+        checksum = os.path.join(folder, f".{name}.crc")  # of the old file
+        if os.path.exists(checksum):
+            os.remove(checksum)
+        os.replace(own + ".tmp", own)
+        return
     out = fs.create(beside, True)
     try:
-        out.write(bytearray(text.encode("utf-8")))
+        for part in parts:
+            out.write(bytearray(part.encode("utf-8")))
     finally:
         out.close()
-    fs.delete(to, False)
-    fs.rename(beside, to)
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark._sc._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(to.toUri(), conf).rename(beside, to, options)
 
 
-def json_array(rows: DataFrame, path: str, pos_col: str = "pos") -> None:
-    """One file with one array in order of pos, for tools that ask for it: as many rows as a driver holds."""
+def json_array(rows: DataFrame, path: str, pos_col: str = "pos", most: int = MAX_ARRAY_ROWS) -> None:
+    """One file with one array in order of pos, for tools that ask for it. Rows stream through the driver, a partition at a
+    time; more than `most` raise, since one file is written and read by one task: write JSON lines then."""
     columns = [c for c in rows.columns if c != pos_col]
-    one = rows.groupBy().agg(F.array_sort(F.collect_list(F.struct(F.col(pos_col).alias("_pos"), F.struct(*columns).alias("_row")))).alias("all"))
-    text = one.select(F.to_json(F.transform("all", lambda x: x["_row"]), {"pretty": "true", "ignoreNullFields": "false"})).first()[0]
-    _put(rows.sparkSession, path, text)
+    held = rows.select(pos_col, F.to_json(F.struct(*columns), {"pretty": "true", "ignoreNullFields": "false"}).alias("json"))
+    if held.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows: an array is for tools, write a folder of JSON lines (a path that does not end in .json)")
+
+    def parts() -> Iterator[str]:
+        yield "["
+        for n, r in enumerate(held.orderBy(pos_col).select("json").toLocalIterator()):
+            yield (",\n  " if n else "\n  ") + r.json.replace("\n", "\n  ")
+        yield "\n]"
+
+    _put(rows.sparkSession, path, parts())
+
+
+def manifest(rows: DataFrame, path: str) -> None:
+    """rows (with pos) as a manifest: an array where the path ends in .json, else a folder of JSON lines, written in parallel."""
+    if path.endswith(".json"):
+        json_array(rows, path)
+    else:
+        json_lines(rows, path)
 
 
 def normalised_path(path: str, in_place: bool) -> str:
-    """The input itself, or manifest_normalized.json beside it."""
-    return path if in_place else path.rpartition("/")[0] + "/manifest_normalized.json"
+    """The input itself, or manifest_normalized beside it, of the same kind."""
+    return path if in_place else path.rpartition("/")[0] + "/manifest_normalized" + (".json" if path.endswith(".json") else ".jsonl")
 
 
 def converted_path(root: str, output: str | None = None, folder: str | None = None, name: str = "manifest_reviewed.json") -> str:
@@ -64,7 +106,7 @@ def metrics(rows: DataFrame, path: str) -> None:
 
 
 def text(spark: SparkSession, content: str, path: str) -> None:
-    _put(spark, path, content)
+    _put(spark, path, [content])
 
 
 def encode_wav(samples, rate: int) -> bytes:
@@ -78,17 +120,22 @@ def encode_wav(samples, rate: int) -> bytes:
     return out.getvalue()
 
 
-def clips(chunks: DataFrame) -> DataFrame:
-    """video, chunk_idx, path and content (a WAV file) of each clip: a table, which any store takes."""
+def waves(signals: DataFrame) -> DataFrame:
+    """signals (other columns, samples, rate) with content, a WAV file, in their place: a table, which any store takes."""
+    others = [f for f in signals.schema if f.name not in ("samples", "rate")]
 
     def encoded(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             content = [encode_wav(s, r) for s, r in zip(part["samples"], part["rate"], strict=True)]
-            yield part[["video", "chunk_idx", "path"]].assign(content=content)
+            yield part[[f.name for f in others]].assign(content=content)
 
+    return signals.mapInPandas(encoded, StructType([*others, StructField("content", BinaryType())]))
+
+
+def clips(chunks: DataFrame) -> DataFrame:
+    """video, chunk_idx, path and content (a WAV file) of each clip."""
     path = F.format_string("audio/%s/%s_%03d.wav", "video", "video", "chunk_idx")
-    rows = chunks.select("video", "chunk_idx", path.alias("path"), "samples", F.col("rate").cast("int").alias("rate"))
-    return rows.mapInPandas(encoded, "video string, chunk_idx int, path string, content binary")
+    return waves(chunks.select("video", "chunk_idx", path.alias("path"), "samples", F.col("rate").cast("int").alias("rate")))
 
 
 def wav_files(clips: DataFrame, root: str) -> None:

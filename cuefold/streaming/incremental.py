@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cuefold.operators import pairing
 
@@ -20,10 +21,11 @@ def append_stream(
     """Process files that are new since the last call and append them, then stop.
 
     The checkpoint remembers the files and the target's rows remember the keys, so neither a file that comes
-    again nor a batch that is retried adds a key twice. Returns the finished query."""
+    again nor a batch that is retried adds a key twice. Of a batch's rows of one key the least as JSON stays. Returns the finished query."""
 
     def put(batch: DataFrame, _: int) -> None:
-        new = batch.dropDuplicates([key])
+        row = F.struct(*batch.columns)
+        new = batch.groupBy(F.col(key).alias("_key")).agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*")
         at = spark._jvm.org.apache.hadoop.fs.Path(target + "/_SUCCESS")
         if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
             new = pairing.unseen(new, spark.read.parquet(target), key)

@@ -152,3 +152,43 @@ def test_rates_of_all_turns_by_brute_force(spark, tmp_path):
     assert all(got[(m, "long")] == (len(long), pytest.approx(rate(m, long))) for m in models)
     delta = {r.bucket: r.delta for r in QUERIES["wer_delta"](spark, str(tmp_path)).collect()}
     assert delta["long"] == pytest.approx(rate("base", long) - rate("finetuned", long), abs=1e-5)
+
+
+def test_term_matches_of_repeated_rows(spark, tmp_path):
+    """Each row of both sides matches; nulls match nothing, an empty term everything; many automata give the same."""
+    docs = [(1, "one two three four"), (1, "one two three four"), (2, "two"), (3, None), (4, "")]
+    terms = [(7, "one two three"), (7, "one two three"), (8, "two"), (9, ""), (10, None), (11, "two three four")]
+    d, t = spark.createDataFrame(docs, "d long, x string"), spark.createDataFrame(terms, "t int, y string")
+    want = sorted((a, i) for a, x in docs for i, y in terms if x is not None and y is not None and y in x)
+    for most in (1 << 20, 40):
+        got = P.term_matches(d, t, "d", "x", "t", "y", most)
+        assert sorted(tuple(r) for r in got.collect()) == want and got.columns == ["d", "t"]
+    assert P.term_matches(d, t.limit(0), "d", "x", "t", "y").count() == P.term_matches(d.limit(0), t, "d", "x", "t", "y").count() == 0
+
+
+def test_coverage_in_order_and_by_folder(spark):
+    rows = spark.createDataFrame([("EP10", "a", 0, True), ("EP2", "b", 0, False), ("EP2", "b", 1, True), ("x", "c", 0, True)], "episode string, yt_id string, chunk_index int, matched boolean")
+    assert [(r.episode, r.matched, r.missing) for r in P.in_order(P.coverage(rows)).collect()] == [("x", 1, 0), ("EP2", 1, 1), ("EP10", 1, 0), (None, 3, 1)]
+    assert tuple(P.coverage_summary(rows).first()) == (3, 3, 4, 1, "75.0%")
+    assert tuple(P.coverage_summary(rows.limit(0)).first()) == (0, 0, 0, 0, "0.0%")
+    lookup = spark.createDataFrame([("EP10", "a", 0, "z"), ("EP2", "b", 1, "b"), ("x", "c", 0, "b"), ("no", "c", 0, "a")], "episode string, yt_id string, chunk_index int, folder string")
+    assert [tuple(r) for r in P.coverage_folders(rows, lookup).collect()] == [(1, "b", 2), (2, "z", 1)]
+
+
+def test_edit_distance_by_brute_force():
+    import random
+
+    r = random.Random(11)
+
+    def brute(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            old, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                old, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, old + (x != y))
+        return row[-1]
+
+    for n in [0, 1, 5, 30, 130] * 30:
+        a = r.choices("abcde", k=r.randint(0, n))
+        b = r.choices("abcdefg", k=r.randint(0, n)) if r.random() < 0.5 else [r.choice("xyz") if r.random() < 0.1 else x for x in a if r.random() < 0.9]
+        assert arrays.edit_distance(a, b) == arrays.edit_distance(b, a) == brute(a, b)

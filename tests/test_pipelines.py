@@ -123,3 +123,106 @@ def test_files_that_cannot_be_parsed_are_left_out(spark):
 
     texts = spark.createDataFrame([("a", "1\n00:00:01,0 --> 00:00:02,0\nx"), ("b", "1\n00:00:01,0 --> 00:00:02,0\nx\n\n2\nbad --> time\ny")], "video string, value string")
     assert [r.video for r in C.parse_subtitles(texts, strict=False).collect()] == ["a"]
+
+
+def test_reports_of_a_rewrite_in_place(spark, tmp_path):
+    """Report, log and rows are of what was there before, also once the file has been replaced."""
+    path = str(tmp_path / "manifest.json")
+    rows = spark.createDataFrame([(0, "a/a_0.wav", "پہلا ۔", 1.0, "ur"), (1, "a/a_1.wav", "x ۔ y ۔", 1.0, "ur"), (2, "a/a_2.wav", "ok", 1.0, "ur")], "pos long, audio_path string, transcript string, duration double, language string")
+    sinks.json_array(rows, path)
+    dry = [sorted(map(repr, x.collect())) for x in pipelines.normalise_manifest(spark, path, dry_run=True)]
+    done = [sorted(map(repr, x.collect())) for x in pipelines.normalise_manifest(spark, path, in_place=True)]
+    assert done == dry and len(dry[2]) == 2 and files.manifest(spark, path).where("transcript LIKE '% ۔%'").count() == 0
+    _, changed = pipelines.fix_lexicon(spark, path, path, [("ok", "ok ok")])
+    again, _ = pipelines.fix_lexicon(spark, path, path, [("ok ok", "!")])
+    assert changed == 1 and [r.transcript for r in again.orderBy("pos").collect()][2] == "!" == files.manifest(spark, path).where("pos = 2").first().transcript
+
+
+def test_manifests_as_json_lines(spark, tmp_path):
+    path = str(tmp_path / "manifest.jsonl")
+    rows = spark.range(50).selectExpr("id AS pos", "concat('a/a_', id, '.wav') AS audio_path", "'x ۔' AS transcript", "1.0D AS duration", "'ur' AS language")
+    sinks.manifest(rows, path)
+    assert [r.pos for r in files.manifest(spark, path).orderBy("pos").collect()] == list(range(50))
+    out, report, _ = pipelines.normalise_manifest(spark, path)
+    assert report.first().n == 50 and files.manifest(spark, str(tmp_path / "manifest_normalized.jsonl")).where("transcript = 'x۔'").count() == 50
+    with pytest.raises(ValueError, match="more than 10 rows"):
+        sinks.json_array(rows, str(tmp_path / "all.json"), most=10)
+    put_video(tmp_path, "EP1_aaaaaaaaaaa", [(1, 5, "متن۔")], 8)
+    cli.main(["prepare-batch", "--input_dir", str(tmp_path / "*.*"), "--output_dir", str(tmp_path / "out"), "--manifest-name", "m.jsonl"])
+    assert files.manifest(spark, str(tmp_path / "out" / "m.jsonl")).first().transcript == "متن۔"
+
+
+def test_one_recording_and_flat_media(spark, tmp_path, capsys):
+    put_video(tmp_path, "EP1_aaaaaaaaaaa", [(1, 5, "متن۔"), (9, 12, "اور۔")], 14)
+    pair = ["--audio", str(tmp_path / "EP1_aaaaaaaaaaa.wav"), "--srt", str(tmp_path / "EP1_aaaaaaaaaaa.srt")]
+    cli.main(["prepare-pair", *pair, "--output_dir", str(tmp_path / "one"), "--video_index", "4"])
+    manifest = json.loads((tmp_path / "one" / "manifest.json").read_text(encoding="utf-8"))
+    assert [m["transcript"] for m in manifest] == ["متن۔", "اور۔"] and all(files.decode_wav(open(m["audio_path"], "rb").read())[0] == RATE for m in manifest)
+    with pytest.raises(ValueError, match="EP1_aaaaaaaaaaa.srt"):
+        pipelines.prepare_pair(spark, pair[3], pair[3], str(tmp_path))
+    media, texts = tmp_path / "media", tmp_path / "texts"
+    media.mkdir(), texts.mkdir()
+    for name, seconds in (("a", 3), ("b", 30), ("c", 3), ("d", 3)):
+        (media / f"{name}.wav").write_bytes(sinks.encode_wav(np.zeros(seconds * RATE), RATE))
+    (media / "e.mp4").write_bytes(b"no decoder")
+    for name, text in (("a", "اچھا متن"), ("b", "لمبا متن"), ("c", "x"), ("e", "اچھا متن")):
+        (texts / f"{name}.txt").write_text(text, encoding="utf-8")
+    cli.main(["prepare-flat", "--input_dir", str(media), "--transcript_dir", str(texts), "--output_dir", str(tmp_path / "flat")])
+    shown = capsys.readouterr().out
+    assert all(x in shown for x in ("too long", "invalid transcript", "no transcript", "unreadable"))
+    rows = json.loads((tmp_path / "flat" / "manifest.json").read_text(encoding="utf-8"))
+    assert [(m["audio_path"], m["duration"]) for m in rows] == [(f"{tmp_path}/flat/audio/a.wav", 3.0)] and (tmp_path / "flat" / "audio" / "a.wav").exists()
+
+
+def spoken():
+    """A model for tests: it tells the size of a file."""
+    return lambda contents: [str(len(c)) if len(c) < 9 else 1 // 0 for c in contents]
+
+
+def test_transcribe_and_compare(spark, tmp_path, monkeypatch, capsys):
+    (tmp_path / "a.mp3").write_bytes(b"1234")
+    (tmp_path / "long.mp3").write_bytes(b"1" * 20)
+    paths = [str(tmp_path / x) for x in ("a.mp3", "long.mp3", "missing.mp3")]
+    rows = {r.out: (r.transcript, bool(r.error)) for r in pipelines.transcribe(spark, paths, lambda: lambda cs: [str(len(c)) if len(c) < 9 else 1 // 0 for c in cs], "base").collect()}
+    assert rows == {"a_base.txt": ("4", False), "long_base.txt": (None, True)}
+    monkeypatch.setattr(cli, "named", lambda spec, default=None: lambda: lambda cs: [spec + str(len(c)) for c in cs])
+    cli.main(["compare", paths[0], "--base", "x:b", "--finetuned", "x:f", "--out_dir", str(tmp_path / "out")])
+    assert (tmp_path / "out" / "a_base.txt").read_text() == "x:b4" and (tmp_path / "out" / "a_finetuned.txt").read_text() == "x:f4"
+
+
+def test_tokenise_and_detokenise(spark):
+    rows = spark.createDataFrame([(1, "a b"), (2, "c")], "k int, text string")
+    ids = models.tokenise(rows, "text", lambda: lambda ts: [[ord(w) for w in t.split()] for t in ts]).drop("error", "text")
+    assert [r.labels for r in ids.orderBy("k").collect()] == [[97, 98], [99]]
+    masked = ids.selectExpr("k", "concat(labels, array(-100)) AS labels")
+    back = models.detokenise(masked, "labels", lambda: lambda xs: [" ".join(chr(i) for i in x if i) for x in xs], pad=0)
+    assert [r.text for r in back.orderBy("k").collect()] == ["a b", "c"]
+
+
+def test_columns_that_clash_are_named(spark):
+    with pytest.raises(ValueError, match="error"):
+        models.apply_model(spark.createDataFrame([(1, 2)], "x int, error int"), "x", lambda: list, "y", "int")
+    from cuefold.functions import text as T
+
+    with pytest.raises(ValueError, match="hits"):
+        T.normalise(spark.createDataFrame([("a", 1)], "transcript string, hits int"))
+
+
+def test_scope_of_shared_tables(spark):
+    from cuefold import storage
+
+    outer = storage.written(spark.range(3), "outer")
+    with storage.scope():
+        inner = storage.gathered([spark.range(2), spark.range(3)], "inner")
+        assert inner.count() == 5
+    assert outer.count() == 3
+    with pytest.raises(Exception):
+        inner.count()
+
+
+def test_resampling_keeps_the_band():
+    t = np.arange(32_000) / 32_000
+    low, high = np.sin(2 * np.pi * 440 * t), np.sin(2 * np.pi * 11_000 * t)
+    out = files.resample(low + high, 32_000, 16_000)
+    assert len(out) == 16_000 and np.abs(out - np.sin(2 * np.pi * 440 * np.arange(16_000) / 16_000))[200:-200].max() < 0.02
+    assert np.allclose(files.resample(np.ones(100), 8_000, 44_100)[100:-100], 1)
