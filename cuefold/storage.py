@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 import warnings
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +51,19 @@ def gathered(parts: Iterable[DataFrame], label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def settled(make: Callable[[], DataFrame], label: str, *done: DataFrame) -> DataFrame:
+    """What `make` returns as a table; the tables that were written on the way go, and so do those that `done` reads."""
+    before = len(_written)
+    out = written(make(), label)
+    between, _written[before:] = _written[before:-1], _written[-1:]
+    files = {f for d in done for f in d.inputFiles()}
+    spent = [x for x in _written if any(x[1].rpartition("/")[2] + "/" in f for f in files)]
+    for x in spent:
+        _written.remove(x)
+    _delete(between + spent)
+    return out
+
+
 @contextmanager
 def scope() -> Iterator[None]:
     """Tables written within go at its end, whatever happens; results must be consumed or written elsewhere before."""
@@ -66,8 +79,12 @@ def release(keep: int = 0) -> None:
 
     A folder that can't be deleted (its session has ended, its store fails) does not keep the others; it is
     named in a warning. After a driver's loss, delete cuefold-* in the shared folder by hand."""
-    while len(_written) > keep:
-        spark, path = _written.pop()
+    gone, _written[keep:] = _written[keep:], []
+    _delete(gone)
+
+
+def _delete(tables: list[tuple[SparkSession, str]]) -> None:
+    for spark, path in reversed(tables):
         try:
             at = spark._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
