@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cuefold.llm import exact_dedup, mixing, packing, simhash, toxicity
-from cuefold.llm.storage import table, written
+from cuefold.llm.storage import settled, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +52,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
+    """All stages over documents. Each stage's tables go when the next has read them."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        docs = settled(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), name, docs)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -226,3 +226,14 @@ def test_resampling_keeps_the_band():
     out = files.resample(low + high, 32_000, 16_000)
     assert len(out) == 16_000 and np.abs(out - np.sin(2 * np.pi * 440 * np.arange(16_000) / 16_000))[200:-200].max() < 0.02
     assert np.allclose(files.resample(np.ones(100), 8_000, 44_100)[100:-100], 1)
+
+
+def test_settled_tables(spark):
+    """The tables on the way and those that were read go; others stay."""
+    from cuefold import storage
+
+    other, first = storage.written(spark.range(3), "other"), storage.settled(lambda: storage.written(spark.range(5), "way"), "first")
+    second = storage.settled(lambda: storage.written(first, "way").where("id > 1"), "second", first)
+    assert (other.count(), second.count()) == (3, 3)
+    left = [p for _, p in storage._written]
+    assert not any("-first-" in p for p in left) and sum("-second-" in p for p in left) == 1
