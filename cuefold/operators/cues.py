@@ -10,7 +10,6 @@ from cuefold.functions import text as T
 
 # Seconds of a gap that parts windows, of a clip at most, of room for snapping, of a pad; the form of a subtitle's time.
 GAP, MAX_DURATION, SAFETY, PAD = 3.0, 28.0, 3.5, 0.3
-CUE = "struct<idx:int,start:double,end:double,text:string>"
 _TIME = r"^(\d+):(\d+):(\d+),(\d+)"
 
 
@@ -65,26 +64,27 @@ def group_cues(cues: DataFrame, key_col: str = "video", most: float = MAX_DURATI
 
     A gap above `gap` ends a window. One that would grow beyond `most` is cut after its last sentence end,
     else its last clause end, else whole; what is left opens the next and is not checked again."""
-    def last_where(window: Column, holds) -> Column:
-        places = F.transform(window, lambda c, i: F.when(holds(c["text"]), i + 1))
-        return F.array_max(F.filter(places, lambda p: p.isNotNull()))
+    # the fold carries places in the list, not cues: where the open window starts, its last sentence and clause ends, and the starts of all windows
+    none = F.lit(-1)
+    marked = F.transform("cues", lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), T.ends_sentence(c["text"]).alias("sentence"), T.ends_clause(c["text"]).alias("clause")))
 
     def step(state: Column, c: Column) -> Column:
-        done, cur = state["done"], state["cur"]
-        some = F.size(cur) > 0
-        last, first = F.get(cur, F.size(cur) - 1), F.get(cur, F.lit(0))
-        torn = some & (c["start"] - last["end"] > gap)
-        full = some & ~torn & (c["end"] - first["start"] > most)
-        cut = F.coalesce(last_where(cur, T.ends_sentence), last_where(cur, T.ends_clause), F.size(cur))
-        keep = F.when(torn, F.size(cur)).when(full, cut).otherwise(0)
+        i, first, starts = state["i"], state["first"], state["starts"]
+        torn = (i > 0) & (c["start"] - state["last"] > gap)
+        full = (i > 0) & ~torn & (c["end"] - F.get(F.col("cues"), first)["start"] > most)
+        cut = F.when(state["sentence"] >= 0, state["sentence"]).when(state["clause"] >= 0, state["clause"]).otherwise(i - 1) + 1
+        opens = F.when(torn, i).when(full, cut).otherwise(first)
+        end_at = lambda kind: F.when(c[kind], i).when(state[kind] >= opens, state[kind]).otherwise(none)
         return F.struct(
-            F.when(keep > 0, F.concat(done, F.array(F.slice(cur, F.lit(1), keep)))).otherwise(done).alias("done"),
-            F.concat(F.when(keep > 0, F.slice(cur, keep + 1, F.size(cur))).otherwise(cur), F.array(c)).alias("cur"),
-        )
-
-    empty = F.struct(F.array().cast(f"array<array<{CUE}>>").alias("done"), F.array().cast(f"array<{CUE}>").alias("cur"))
-    folded = F.aggregate("cues", empty, step, lambda s: F.when(F.size(s["cur"]) > 0, F.concat(s["done"], F.array(s["cur"]))).otherwise(s["done"]))
-    windows = cue_lists(cues, key_col).select(key_col, F.posexplode(folded).alias("chunk_idx", "w"))
+            (i + 1).alias("i"), opens.alias("first"), c["end"].alias("last"), end_at("sentence").alias("sentence"), end_at("clause").alias("clause"),
+            F.when(opens != first, F.concat(starts, F.array(opens))).otherwise(starts).alias("starts"),
+        )
+
+    zero = F.lit(0)
+    begin = F.struct(zero.alias("i"), zero.alias("first"), F.lit(0.0).alias("last"), none.alias("sentence"), none.alias("clause"), F.array(zero).alias("starts"))
+    listed = cue_lists(cues, key_col).withColumn("marked", marked).withColumn("starts", F.aggregate("marked", begin, step, lambda s: s["starts"]))
+    until = lambda i: F.coalesce(F.get(F.col("starts"), i + 1), F.size("cues"))
+    windows = listed.select(key_col, F.posexplode(F.transform("starts", lambda a, i: F.slice("cues", a + 1, until(i) - a))).alias("chunk_idx", "w"))
     return windows.select(
         key_col, "chunk_idx", F.get("w", F.lit(0))["start"].alias("start"), F.element_at("w", -1)["end"].alias("end"), F.size("w").alias("n_cues"),
         F.array_join(F.transform("w", lambda c: c["text"]), " ").alias("text"),
