@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cuefold.functions import text as T
 from cuefold.plans import pipelines
+from cuefold.shipping import ship
 from cuefold.sources import files, sinks
 from cuefold.storage import scope
 
@@ -88,6 +89,7 @@ def named(spec: str | None, default=None):
 def main(argv: list[str] | None = None) -> None:
     a = parser().parse_args(argv)
     spark = SparkSession.builder.appName("cuefold").getOrCreate()
+    ship(spark)
     with scope():  # shared tables go when the command has ended
         run(spark, a)
 

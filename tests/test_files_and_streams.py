@@ -75,3 +75,25 @@ def test_incremental_batch_and_stream(spark, tmp_path):
     run()
     run()
     assert {(r.video_id, r.n) for r in spark.read.parquet(target).collect()} == {("a", 10), ("b", 20)}
+
+
+def test_shipping_to_workers_without_the_package(tmp_path):
+    """A driver that finds the package where its workers don't: shipped, its functions run."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = """
+import sys
+sys.path.append(sys.argv[1])
+from pyspark.sql import SparkSession
+from cuefold.operators import models
+from cuefold.shipping import ship
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+ship(spark)
+print(models.apply_model(spark.range(3), "id", lambda: (lambda xs: [x + 1 for x in xs]), "y", "long").selectExpr("sum(y)").first()[0])
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", code, str(Path(__file__).resolve().parent.parent)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert run.stdout.strip().endswith("6"), run.stderr[-2000:]
