@@ -27,6 +27,7 @@ BUDGET = 1.5
 MAX_EPOCHS = 2
 LEVEL_BITS = 10
 LEVELS = 6
+#: Sources that are broadcast; of more, the ones of most rows are.
 MAX_BROADCAST_SOURCES = 200_000
 
 
@@ -83,7 +84,17 @@ def _bits(level: int, down: bool = False) -> Column:
     return bits if down else bits.bitwiseAND(F.lit((1 << LEVEL_BITS) - 1))
 
 
-def thresholds(slim: DataFrame, plan: DataFrame) -> DataFrame:
+def _of_sources(rows: DataFrame, table: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """rows joined to the row of `table` for their source: a broadcast where `hot` is None (there are MAX_BROADCAST_SOURCES
+    at most). Else the sources of `hot`, the ones of most rows, are broadcast, and the others shuffle, none of which is large."""
+    if hot is None:
+        return rows.join(F.broadcast(table), "source")
+    known = F.broadcast(hot)
+    small = rows.join(known, "source", "left_anti").join(table, "source")
+    return rows.join(F.broadcast(table.join(known, "source", "left_semi")), "source").unionByName(small)
+
+
+def thresholds(slim: DataFrame, plan: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """source, copies, edge, edge_level, last: `copies` of everything, one more where the place is below `edge`
     (upper and lower part, compared down to edge_level), and with `last` of the one document at the edge."""
     left = F.greatest(F.col("target") - F.col("copies") * F.col("source_size"), F.lit(0.0))
@@ -93,8 +104,7 @@ def thresholds(slim: DataFrame, plan: DataFrame) -> DataFrame:
     open_ = written(open_, "mix")
     done = None
     for level in range(2 * LEVELS):
-        small = F.broadcast(open_) if open_.count() <= MAX_BROADCAST_SOURCES else open_
-        rows = slim.select("source", "size", "place").join(small.select("source", "left", "upper", "lower"), "source")
+        rows = _of_sources(slim.select("source", "size", "place"), open_.select("source", "left", "upper", "lower"), hot)
         if level:
             rows = rows.where(_bits(level - 1, True) == F.col("upper" if level <= LEVELS else "lower"))
         if level > LEVELS:
@@ -122,10 +132,9 @@ def thresholds(slim: DataFrame, plan: DataFrame) -> DataFrame:
     return done
 
 
-def _taken(slim: DataFrame, edges: DataFrame, most: int) -> DataFrame:
+def _taken(slim: DataFrame, mixed: tuple[DataFrame, DataFrame | None], most: int) -> DataFrame:
     """slim with its source's edge and copies: how often the mix takes the row."""
-    edges = F.broadcast(edges) if edges.count() <= MAX_BROADCAST_SOURCES else edges
-    rows = slim.join(edges, "source")
+    rows = _of_sources(slim, *mixed)
     here = lambda level: F.coalesce(*[F.when(F.col("edge_level") == k, _bits(k, True)) for k in level])
     upper = F.coalesce(here(range(LEVELS)), F.col("place.upper"))
     lower = F.coalesce(here(range(LEVELS, 2 * LEVELS)), F.lit(0))
@@ -135,9 +144,13 @@ def _taken(slim: DataFrame, edges: DataFrame, most: int) -> DataFrame:
     return rows.withColumn("copies", copies)
 
 
-def _edges(slim: DataFrame, weights, budget: float, most: int) -> DataFrame:
-    plan = targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, budget, most)
-    return written(thresholds(slim, written(plan, "targets")), "edges")
+def _edges(slim: DataFrame, weights, budget: float, most: int) -> tuple[DataFrame, DataFrame | None]:
+    """The edges of all sources, and the sources of most rows where there are too many to be broadcast."""
+    sums = written(slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")), "sources")
+    many = sums.count() > MAX_BROADCAST_SOURCES
+    hot = written(sums.orderBy(F.desc("n"), "source").limit(MAX_BROADCAST_SOURCES).select("source"), "hot") if many else None
+    plan = targets(sums.drop("n"), weights, budget, most)
+    return written(thresholds(slim, written(plan, "targets"), hot), "edges"), hot
 
 
 def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", weights=WEIGHTS, budget: float = BUDGET, most: int = MAX_EPOCHS) -> DataFrame:

@@ -96,6 +96,17 @@ def test_mixed_documents_take_what_the_mix_says(spark):
     assert Counter(r.doc_id for r in mixing.mixed_documents(docs).collect()) == copies
 
 
+def test_mix_of_many_sources(spark, monkeypatch):
+    """More sources than are broadcast: the largest are, the rest shuffle, with the same result."""
+    r = random.Random(12)
+    docs = [(i, "w " * r.randint(0, 30), "hot" if i % 3 else r.choice(["a", "b", "c", "d", "e", None])) for i in range(400)]
+    want = sorted(map(repr, mixing.mix(frame(spark, docs)).collect()))
+    monkeypatch.setattr(mixing, "MAX_BROADCAST_SOURCES", 2)
+    rows = mixing.mix(frame(spark, docs)).collect()
+    assert sorted(map(repr, rows)) == want
+    check_mix(rows, docs)
+
+
 def test_exact_dedup_query(spark):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
