@@ -119,19 +119,25 @@ def links(distinct: DataFrame, distance: int = DISTANCE, full: int = FULL) -> Da
 def components(edges: DataFrame) -> DataFrame:
     """node and root for every node of the edges (a, b), which must be a table that can be read again."""
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-    roots = written(nodes.select("node", F.col("node").alias("root")), "roots")
-    rounds = 0
+    steps: list[DataFrame] = []
     while not edges.isEmpty():
-        rounds += 1
         both = edges.union(edges.select("b", "a"))
-        priority = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(rounds)).alias("p"), F.col(c).alias("v"))  # noqa: E731, B023
+        priority = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(len(steps))).alias("p"), F.col(c).alias("v"))
         least = both.groupBy(F.col("a").alias("v")).agg(F.min(priority("b")).alias("least"))
         joined = written(least.select("v", F.least(priority("v"), F.col("least"))["v"].alias("to")), "joined")
         to = lambda c: joined.select(F.col("v").alias(c), F.col("to").alias(f"to_{c}"))  # noqa: E731, B023
         renamed = edges.join(to("a"), "a").join(to("b"), "b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b")).where("a <> b")
         edges = written(renamed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-        roots = written(roots.join(to("root"), "root", "left").select("node", F.coalesce("to_root", "root").alias("root")), "roots")
-    return roots
+        steps.append(joined)
+    # from the last round back: whom a node joined in a round, and where that one ended in the rounds after it
+    ends = None
+    for joined in reversed(steps):
+        if ends is None:
+            ends = joined.select(F.col("v").alias("node"), F.col("to").alias("root"))
+            continue
+        later = ends.withColumnsRenamed({"node": "to", "root": "_root"})
+        ends = joined.join(later, "to", "left").select(F.col("v").alias("node"), F.coalesce("_root", "to").alias("root"))
+    return nodes.withColumn("root", F.col("node")) if ends is None else written(ends, "roots")
 
 
 def firsts(found: DataFrame, order: Column, distance: int = DISTANCE) -> tuple[DataFrame, int]:
@@ -143,7 +149,7 @@ def firsts(found: DataFrame, order: Column, distance: int = DISTANCE) -> tuple[D
     linked = written(own.drop("n").join(components(edges).withColumnRenamed("node", "fp"), "fp"), "linked")
     least = written(linked.groupBy("root").agg(F.min("own").alias("least"), F.count("*").alias("n")), "least")
     named = of_hot_keys(linked.select("fp", "root"), least, "root", max(HOT, n_distinct // MAX_HOT)).select("fp", "least")
-    return written(own.join(written(named, "components"), "fp", "left").select("fp", F.coalesce("least", "own").alias("first"), "n"), "named"), max(HOT, n_rows // MAX_HOT)
+    return written(own.join(named, "fp", "left").select("fp", F.coalesce("least", "own").alias("first"), "n"), "named"), max(HOT, n_rows // MAX_HOT)
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
