@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cuefold.llm.batches import map_batches
+
 VOCABULARY = "byte_bpe_50k.json"
 MARK = "<|endoftext|>"
 LEARNED_ROLES = ("assistant",)
@@ -124,7 +126,7 @@ def format_chats(conversations: DataFrame, vocabulary: str = VOCABULARY, learned
                     ["conv_id", "formatted", "ids", "mask"],
                 )
 
-    return whole.mapInArrow(formatted, f"conv_id {kind}, formatted string, ids array<int>, mask array<struct<first:int,last:int,start:int,end:int>>")
+    return map_batches(whole, formatted, f"conv_id {kind}, formatted string, ids array<int>, mask array<struct<first:int,last:int,start:int,end:int>>")
 
 
 def read_back(chats: DataFrame) -> DataFrame:
@@ -146,7 +148,7 @@ def read_back(chats: DataFrame) -> DataFrame:
             )
 
     schema = f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    return chats.select("conv_id", "formatted", "mask").mapInArrow(digests, schema)
+    return map_batches(chats.select("conv_id", "formatted", "mask"), digests, schema)
 
 
 def oracle() -> str:

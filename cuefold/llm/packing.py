@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cuefold.llm.batches import map_batches
 from cuefold.llm.storage import written
 from cuefold.llm.word_ids import END_ID, VOCABULARY
 
@@ -174,7 +175,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
                 columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row_of, pa.int64())), *columns], names)
 
-    return slim.mapInArrow(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return map_batches(slim, cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def _packer(capacity: int, keep_open: bool):

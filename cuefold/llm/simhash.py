@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from cuefold.llm.batches import map_batches
 from cuefold.llm.rows import Rows, of_hot_keys
 from cuefold.llm.storage import written
 
@@ -75,7 +76,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 found = np.array([fingerprint(text, shingle) for text in part.column(0).to_pylist()], np.uint64)
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(found.view(np.int64))], names)
 
-    return slim.mapInArrow(hashed, StructType([*kept.fields, StructField("fp", LongType())]))
+    return map_batches(slim, hashed, StructType([*kept.fields, StructField("fp", LongType())]))
 
 
 def _half(fp: str, k: int) -> Column:

@@ -20,6 +20,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from cuefold.llm.batches import map_batches
+
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
 CACHED = 700_000
@@ -169,4 +171,4 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     ["doc_id", "n_bytes", "n_tokens", "over_limit"],
                 )
 
-    return slim.mapInArrow(counted, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return map_batches(slim, counted, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
 
+from cuefold.llm.batches import map_batches
 from cuefold.llm.storage import written
 from cuefold.llm.word_ids import END_ID, VOCABULARY
 
@@ -235,7 +236,7 @@ def tokenised(docs: DataFrame, ranges: Ranges, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), *columns], names)
 
     kinds = (LongType(), IntegerType(), LongType(), BinaryType(), BooleanType())
-    return slim.mapInArrow(encoded, StructType([slim.schema["doc_id"], *[StructField(n, k) for n, k in zip(names[1:], kinds, strict=True)]]))
+    return map_batches(slim, encoded, StructType([slim.schema["doc_id"], *[StructField(n, k) for n, k in zip(names[1:], kinds, strict=True)]]))
 
 
 def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
@@ -279,7 +280,7 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     binary, integer, long_ = BinaryType(), IntegerType(), LongType()
     kinds = (integer, integer, long_, long_, binary, ArrayType(id_field.dataType), binary, ArrayType(integer), ArrayType(binary))
     names = ("part", "seq", "start", "n_ids", "tables", "doc_ids", "sizes", "block_docs", "bodies")
-    return written(ordered.mapInArrow(encoded, StructType([StructField(n, k) for n, k in zip(names, kinds, strict=True)])), "tokens")
+    return written(map_batches(ordered, encoded, StructType([StructField(n, k) for n, k in zip(names, kinds, strict=True)])), "tokens")
 
 
 def decode_documents(groups: DataFrame) -> DataFrame:
@@ -309,7 +310,7 @@ def decode_documents(groups: DataFrame) -> DataFrame:
 
     placed = groups.join(F.broadcast(before), "part").select((F.col("start") + F.col("before")).alias("at"), "tables", "doc_ids", "sizes", "block_docs", "bodies")
     schema = StructType([StructField("doc_id", id_kind), StructField("start", LongType()), StructField("n_tokens", LongType()), StructField("ids", BinaryType())])
-    return placed.mapInArrow(decoded, schema)
+    return map_batches(placed, decoded, schema)
 
 
 def token_digests(docs: DataFrame, **options) -> DataFrame:

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cuefold.llm.batches import map_batches
 from cuefold.llm.storage import written
 
 K = 20
@@ -117,7 +118,7 @@ def stored(vectors: DataFrame, points: np.ndarray) -> DataFrame:
             rows = pa.array([r.tobytes() for r in raw], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_nearest(m, points)), pa.array([kind] * len(m), pa.string()), rows], ["vec_id", "cell", "kind", "v"])
 
-    return written(vectors.select("vec_id", "v").mapInArrow(packed, VECTOR), "vectors")
+    return written(map_batches(vectors.select("vec_id", "v"), packed, VECTOR), "vectors")
 
 
 def blocks(vectors: DataFrame, size: int) -> tuple[DataFrame, int]:
@@ -341,7 +342,7 @@ def top_k(
                 yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(vec), pa.array(score)], ["query_id", "vec_id", "score"])
 
     dealt = held.unionByName(asked).repartition(n_stripes * n_slices, "unit").sortWithinPartitions("unit", "asks", "block")
-    pairs = dealt.mapInArrow(met, "query_id long, vec_id long, score long")
+    pairs = map_batches(dealt, met, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # k rows of each stripe at most
     return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

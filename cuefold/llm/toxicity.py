@@ -44,6 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cuefold.llm.batches import map_batches
 from cuefold.llm.storage import written
 
 FIT_ROWS = 20_000
@@ -251,7 +252,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.int64())], ["toxic", "text", "near"])
 
     rows = training_rows(docs, labels, id_col, text_col, most)
-    rows = written(rows.mapInArrow(keyed, "toxic int, text string, near long"), "training")
+    rows = written(map_batches(rows, keyed, "toxic int, text string, near long"), "training")
     groups = rows.groupBy("near").agg(F.count("*").alias("n"))
     rows = rows.join(F.broadcast(groups), "near").select("toxic", "text", (1 / F.col("n")).alias("weight"))  # `most` rows at most
     sums = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.sum("weight").alias("n")).collect()}
@@ -271,7 +272,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 [pa.array(list(held), pa.string()), *[pa.array([v[k] for v in values], pa.float64()) for k in (0, 1)]], ["term", "clean", "toxic"]
             )
 
-    counts = rows.mapInArrow(counted, "term string, clean double, toxic double").groupBy("term").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
+    counts = map_batches(rows, counted, "term string, clean double, toxic double").groupBy("term").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
     odds = F.log((F.col("t") + 0.5) / (sums[1] + 1)) - F.log((F.col("c") + 0.5) / (sums[0] + 1))
     usual = (F.col("t") + F.col("c")) * (sums[1] / (sums[0] + sums[1]))
     told = counts.withColumn("odds", odds).where((F.col("t") >= max(4.0, 0.01 * sums[1])) & (F.col("odds") >= 2.5) & (F.col("t") - usual >= 4 * F.sqrt(usual)))
@@ -285,7 +286,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             columns = [pa.array([f[k] for f in found], pa.float64()) for k in range(3)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], ["toxic", "weight", "a", "b", "c"])
 
-    seen = rows.mapInArrow(measured, "toxic int, weight double, a double, b double, c double").toPandas()  # `most` rows of numbers
+    seen = map_batches(rows, measured, "toxic int, weight double, a double, b double, c double").toPandas()  # `most` rows of numbers
     model.curve = _logistic(np.log1p(seen[["a", "b", "c"]].to_numpy()), seen["toxic"].to_numpy(), seen["weight"].to_numpy())
     return model
 
@@ -326,7 +327,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 found = model.score([model.features(t) for t in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found)], ["doc_id", "score"])
 
-    rows = slim.mapInArrow(scored, f"doc_id {kind}, score double")
+    rows = map_batches(slim, scored, f"doc_id {kind}, score double")
     return rows.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
@@ -341,4 +342,4 @@ def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold:
                 found = model.score([model.features(t) for t in part.column(at).to_pylist()])
                 yield part.filter(pa.array(found < threshold))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return map_batches(docs, kept, docs.schema)

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cuefold.llm.batches import map_batches
+
 # This operator's vocabulary and rules.
 STRICT = ("adult", "casino", "escort", "hentai", "porn", "spam", "viagra", "xxx")
 SOFT = {
@@ -129,8 +131,8 @@ def judge_urls(
                 [batch.column(0), *strings, *numbers], ["page_id", "host", "path", "rule", "verdict", "strict_hits", "soft_hits", "soft_weight"]
             )
 
-    return slim.mapInArrow(
-        judged, f"page_id {kind}, host string, path string, rule string, verdict string, strict_hits int, soft_hits int, soft_weight int"
+    return map_batches(
+        slim, judged, f"page_id {kind}, host string, path string, rule string, verdict string, strict_hits int, soft_hits int, soft_weight int"
     )
 
 

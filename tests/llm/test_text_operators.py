@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -318,3 +319,28 @@ def test_token_files_of_any_id(spark, kind, monkeypatch):
     assert [r.doc_id for r in found[1:]] == sorted(r.doc_id for r in found[1:])
     ranges = token_file.Ranges(docs, "doc_id")
     assert ranges.n == 4 and len({ranges.part(found[-1].doc_id, salt << 56) for salt in range(-128, 128)}) > 2  # the hot id fills ranges
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    from cuefold.llm import batches
+
+    rows = spark.range(400).select("id", F.repeat(F.lit("x"), F.when(F.col("id") == 0, 3 * batches.MAX_BYTES).otherwise(100_000).cast("int")).alias("text"))
+
+    def sizes(found):
+        for batch in found:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "bytes"])
+
+    def of(df):
+        return batches.map_batches(df, sizes, "n long, bytes long").collect()
+
+    before = spark.conf.get(batches.LIMIT, None)
+    try:
+        spark.conf.unset(batches.LIMIT)
+        found = of(rows)
+        assert sum(r.n for r in found) == 400
+        assert all(r.bytes < 2 * batches.MAX_BYTES for r in found if r.bytes < 3 * batches.MAX_BYTES) and len(found) > 4
+        spark.conf.set(batches.LIMIT, 1 << 20)
+        assert max(r.n for r in of(rows.where("id > 0"))) <= 12
+        assert int(spark.conf.get(batches.LIMIT).rstrip("b")) == 1 << 20  # a limit of the session's own stays
+    finally:
+        spark.conf.unset(batches.LIMIT) if before is None else spark.conf.set(batches.LIMIT, before)
