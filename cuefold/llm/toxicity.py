@@ -71,6 +71,7 @@ _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[\"“”«»]")
 _EDGES = ".,;:!?|\"'()[]{}<>*&%$#@+-=/\\“”«»’‘…—–"
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, OTHER = "ihtnrqo"
+_PLAIN = (OTHER, 0.0)  # one object for all cached words
 
 
 @dataclass(frozen=True)
@@ -185,7 +186,7 @@ class Model:
             found = self.roles.get(word)
             if found is None:
                 weight = max([self.words.get(word, 0.0), self.seeds.get(word, 0.0), *(self.prefixes.get(word[:n], 0.0) for n in PREFIXES if len(word) >= n)])
-                found = (INSULT, weight) if weight > 0 else (OTHER, 0.0)
+                found = (INSULT, weight) if weight > 0 else _PLAIN
             if len(word) <= MAX_WORD:
                 if len(self.known) >= CACHED:
                     self.known.clear()
