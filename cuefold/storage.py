@@ -9,11 +9,15 @@ import uuid
 import warnings
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _own: dict[str, str] = {}
 _written: list[tuple[SparkSession, str]] = []
+#: The folder of each table that is still in use.
+_folder: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,7 +42,13 @@ def written(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFrame:
     """df as a Parquet table in the shared folder, in folders by the columns of `by`: computed once, safe from lost executors."""
     path = _path(df.sparkSession, label)
     df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _read(df.sparkSession, df.schema, path)
+
+
+def _read(spark: SparkSession, schema: StructType, path: str) -> DataFrame:
+    out = spark.read.schema(schema).parquet(path)
+    _folder[out] = path
+    return out
 
 
 def gathered(parts: Iterable[DataFrame], label: str) -> DataFrame:
@@ -48,16 +58,16 @@ def gathered(parts: Iterable[DataFrame], label: str) -> DataFrame:
         if path is None:
             spark, schema, path = part.sparkSession, part.schema, _path(part.sparkSession, label)
         part.write.mode("append").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    return _read(spark, schema, path)
 
 
 def settled(make: Callable[[], DataFrame], label: str, *done: DataFrame) -> DataFrame:
-    """What `make` returns as a table; the tables that were written on the way go, and so do those that `done` reads."""
+    """What `make` returns as a table; the tables that were written on the way go, and so do those of `done` that are such tables themselves."""
     before = len(_written)
     out = written(make(), label)
     between, _written[before:] = _written[before:-1], _written[-1:]
-    files = {f for d in done for f in d.inputFiles()}
-    spent = [x for x in _written if any(x[1].rpartition("/")[2] + "/" in f for f in files)]
+    folders = {_folder.get(d) for d in done}
+    spent = [x for x in _written if x[1] in folders]
     for x in spent:
         _written.remove(x)
     _delete(between + spent)
