@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cuefold.llm import chat_format, exact_dedup, mixing, packing, simhash, token_count, token_file, topk, toxicity, url_filter
+from cuefold.llm import chat_format, conversation_repair, cover_tree, exact_dedup, mixing, packing, periodic_runs, simhash, token_count, token_file, topk, toxicity, url_filter
 from cuefold.llm.storage import table
 
 
@@ -56,6 +56,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_dedup(table(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations damaged by a checksum of their rows, repaired."""
+    rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair_digests(conversation_repair.repair(rows, copy_col="copy", present_col="present"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, a tenth of them with a repeated tail, and their runs."""
+    return periodic_runs.run_digests(periodic_runs.collapse_runs(periodic_runs.planted(table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_token_counts": op2_token_counts,
@@ -67,6 +82,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_toxicity": op10_toxicity,
+    "op11_embedding_near_dedup": op11_embedding_near_dedup,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
@@ -74,4 +92,6 @@ ORACLES: dict[str, str] = {
     "op3_chat_formatting": chat_format.oracle(),
     "op7_exact_dedup": exact_dedup.oracle(),
     "op9_exact_top_k": topk.oracle(),
+    "op11_embedding_near_dedup": cover_tree.oracle(),
+    "op12_conversation_repair": conversation_repair.oracle(),
 }
