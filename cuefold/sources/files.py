@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 
 from cuefold import schemas
 from cuefold.functions import ids
+from cuefold.operators.numbering import numbered
+from cuefold.sources import json_arrays, ledger
+from cuefold.storage import written
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -24,31 +27,49 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(found)
 
 
-def json_array(spark: SparkSession, path: str, schema: str, with_pos: bool = True) -> DataFrame:
-    """A file that holds one JSON array, as rows; pos is the place in the array, by file."""
-    if not with_pos:
-        return spark.read.schema(schema).option("multiLine", True).json(path)
-    row = T._parse_datatype_string(schema)
-    text = spark.read.text(path, wholetext=True).select(F.col("value"), F.col("_metadata.file_path").alias("file"))
-    parsed = text.select("file", F.posexplode(F.from_json("value", T.ArrayType(row))).alias("pos", "row"))
-    return parsed.select("file", F.col("pos").cast("long").alias("pos"), "row.*")
+def json_array(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
+    """file, pos and the columns of files that hold one JSON array each, read by ranges; pos is the place in the array."""
+    return json_arrays.read(spark, path, schema)
+
+
+def _is_array(path: str) -> bool:
+    return path.endswith(".json")
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """pos and the manifest's columns: of an array where the path ends in .json, else of a folder of JSON lines."""
-    if not path.endswith(".json"):
+    """pos and the manifest's columns: of an array where the path ends in .json, of an append-only log where it ends in .log, else of a folder of JSON lines."""
+    if path.endswith(".log"):
+        return ledger.read(spark, path, "pos long, " + schemas.MANIFEST)
+    if not _is_array(path):
         return spark.read.schema("pos long, " + schemas.MANIFEST).json(path)
     return json_array(spark, path, schemas.MANIFEST).drop("file")
 
 
 def reviewed(spark: SparkSession, path: str) -> DataFrame:
-    return json_array(spark, path, schemas.REVIEWED).drop("file")
-
-
-def manifests(spark: SparkSession, root: str) -> DataFrame:
-    """All <root>/<folder>/manifest.json with their folder."""
-    rows = json_array(spark, f"{root}/*/manifest.json", schemas.MANIFEST)
-    return rows.withColumn("folder", F.regexp_extract("file", "([^/]+)/manifest[.]json$", 1)).drop("file")
+    """pos and the columns of a reviewed export: an array where the path ends in .json, else JSON lines, whose pos is their order by file and place if they have none."""
+    if _is_array(path):
+        return json_array(spark, path, schemas.REVIEWED).drop("file")
+    rows = spark.read.schema("pos long, " + schemas.REVIEWED).json(path).withColumn("_file", F.col("_metadata.file_path"))
+    rows = written(rows.withColumn("_place", F.monotonically_increasing_id()), "reviewed")
+    if rows.where("pos IS NULL").isEmpty():
+        return rows.drop("_file", "_place")
+    return numbered(rows.drop("pos"), [F.col("_file"), F.col("_place")], "pos").withColumn("pos", F.col("pos") - 1).drop("_file", "_place")
+
+
+def manifests(spark: SparkSession, root: str, names: tuple[str, ...] = ("manifest.json", "manifest.jsonl")) -> DataFrame:
+    """All <root>/<folder>/<name> with their folder: arrays, and folders of JSON lines where the name does not end in .json."""
+    out = spark.createDataFrame([], f"pos long, {schemas.MANIFEST}, folder string")
+    for name in names:
+        path = f"{root}/*/{name}"
+        if not _exists(spark, path):
+            continue
+        if _is_array(name):
+            rows = json_array(spark, path, schemas.MANIFEST)
+        else:
+            rows = spark.read.schema("pos long, " + schemas.MANIFEST).json(path).withColumn("file", F.col("_metadata.file_path"))
+        folder = F.element_at(F.split(F.split_part("file", F.lit(f"/{name}"), F.lit(1)), "/"), -1)
+        out = out.unionByName(rows.withColumn("folder", folder).select(out.columns))
+    return out
 
 
 def optional_manifest(spark: SparkSession, path: str) -> DataFrame:

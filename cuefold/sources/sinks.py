@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import io
-import os
+import uuid
 import wave
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -13,64 +13,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-
-#: Rows of an array in one file.
-MAX_ARRAY_ROWS = 2_000_000
-
+from cuefold.sources import json_arrays
 
 def json_lines(rows: DataFrame, path: str) -> None:
     """The scalable manifest: a folder of JSON lines, written in parallel."""
     rows.write.mode("overwrite").json(path)
 
 
-def _put(spark: SparkSession, path: str, parts: Iterable[str]) -> None:
-    """Write beside the target, then rename over it in one step, so that a reader sees the old file or the new one.
-
-    Local files are replaced by the operating system's rename; other stores by FileContext's, which is one step where
-    the store has one (HDFS) and else as good as the store's own."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    to, beside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    fs = to.getFileSystem(conf)
-    if fs.getScheme() == "file":
-        own = to.toUri().getPath()
-        folder, name = os.path.split(own)
-        os.makedirs(folder or ".", exist_ok=True)
-        with open(own + ".tmp", "w", encoding="utf-8") as f:
-            f.writelines(parts)
-            f.flush()
-            os.fsync(f.fileno())
-        checksum = os.path.join(folder, f".{name}.crc")  # of the old file
-        if os.path.exists(checksum):
-            os.remove(checksum)
-        os.replace(own + ".tmp", own)
-        return
-    out = fs.create(beside, True)
+def _put(spark: SparkSession, path: str, text: str) -> None:
+    """A small text, written beside the target and renamed over it, so that a reader sees the old file or the new one."""
+    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    out = beside.getFileSystem(spark._jsc.hadoopConfiguration()).create(beside, True)
     try:
-        for part in parts:
-            out.write(bytearray(part.encode("utf-8")))
+        out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    options = spark._sc._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(to.toUri(), conf).rename(beside, to, options)
-
-
-def json_array(rows: DataFrame, path: str, pos_col: str = "pos", most: int = MAX_ARRAY_ROWS) -> None:
-    """One file with one array in order of pos, for tools that ask for it. Rows stream through the driver, a partition at a
-    time; more than `most` raise, since one file is written and read by one task: write JSON lines then."""
-    columns = [c for c in rows.columns if c != pos_col]
-    held = rows.select(pos_col, F.to_json(F.struct(*columns), {"pretty": "true", "ignoreNullFields": "false"}).alias("json"))
-    if held.limit(most + 1).count() > most:
-        raise ValueError(f"more than {most} rows: an array is for tools, write a folder of JSON lines (a path that does not end in .json)")
+    json_arrays.replace(spark, beside, path)
 
-    def parts() -> Iterator[str]:
-        yield "["
-        for n, r in enumerate(held.orderBy(pos_col).select("json").toLocalIterator()):
-            yield (",\n  " if n else "\n  ") + r.json.replace("\n", "\n  ")
-        yield "\n]"
 
-    _put(rows.sparkSession, path, parts())
+def json_array(rows: DataFrame, path: str, pos_col: str = "pos") -> None:
+    """One file with one array in order of pos, for tools that ask for it; its fragments are written in parallel."""
+    json_arrays.write(rows, path, pos_col)
 
 
 def manifest(rows: DataFrame, path: str) -> None:
@@ -106,7 +69,7 @@ def metrics(rows: DataFrame, path: str) -> None:
 
 
 def text(spark: SparkSession, content: str, path: str) -> None:
-    _put(spark, path, [content])
+    _put(spark, path, content)
 
 
 def encode_wav(samples, rate: int) -> bytes:
