@@ -97,17 +97,17 @@ def main(argv: list[str] | None = None) -> None:
 def run(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.command == "prepare-batch":
         report = lambda failed: failed.show(1000, truncate=False)
-        merged, clips = pipelines.prepare_batch(spark, a.input_dir, a.output_dir, a.max_duration, named(a.decoder, files.decode_wav), report, a.manifest_name)
+        merged, clips = pipelines.prepare_batch(spark, a.input_dir, a.output_dir, a.max_duration, named(a.decoder), report, a.manifest_name)
         sinks.wav_files(clips, a.output_dir)
         sinks.manifest(merged, f"{a.output_dir}/{a.manifest_name}")
         pipelines.totals(merged).show()
     elif a.command == "prepare-pair":
-        rows, clips = pipelines.prepare_pair(spark, a.audio, a.srt, a.output_dir, a.max_duration, a.video_index, named(a.decoder, files.decode_wav))
+        rows, clips = pipelines.prepare_pair(spark, a.audio, a.srt, a.output_dir, a.max_duration, a.video_index, named(a.decoder))
         sinks.wav_files(clips, a.output_dir)
         sinks.manifest(rows, f"{a.output_dir}/manifest.json")
         pipelines.totals(rows).show()
     elif a.command == "prepare-flat":
-        rows, waves, rest = pipelines.flat_batch(spark, a.input_dir, a.transcript_dir, a.output_dir, named(a.decoder, files.decode_wav))
+        rows, waves, rest = pipelines.flat_batch(spark, a.input_dir, a.transcript_dir, a.output_dir, named(a.decoder))
         sinks.wav_files(waves, a.output_dir)
         sinks.manifest(rows, f"{a.output_dir}/manifest.json")
         rest.show(1000, truncate=False)

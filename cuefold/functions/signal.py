@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,16 +14,22 @@ FRAME, HOP, RATIO, BEFORE = 400, 160, 0.5, 0.5
 
 
 def rms(signal: Column, frame: int = FRAME, hop: int = HOP) -> Column:
-    """Root mean square of each frame; frames are centred and the ends padded with zeros."""
-    half = frame // 2
+    """Root mean square of each frame; frames are centred and the ends padded with zeros.
+
+    Squares are summed once, by pieces as long as frames and hops have in common; a frame adds its pieces."""
+    half, step = frame // 2, math.gcd(frame, hop)
     zeros = F.array_repeat(F.lit(0.0), half)
     n = F.floor((F.size(signal) + F.lit(2 * half - frame)) / F.lit(hop)).cast("int")
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
     squares = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x * x)
 
-    def frames(padded: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), n), lambda i: F.sqrt(squares(F.slice(padded, i * hop + 1, F.lit(frame))) / F.lit(float(frame))))
+    def pieces(padded: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor(F.size(padded) / step).cast("int") - 1), lambda i: squares(F.slice(padded, i * step + 1, F.lit(step))))
+
+    def frames(parts: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), n), lambda i: F.sqrt(total(F.slice(parts, i * (hop // step) + 1, F.lit(frame // step))) / F.lit(float(frame))))
 
-    return let(F.concat(zeros, signal.cast("array<double>"), zeros), frames)
+    return let(let(F.concat(zeros, signal.cast("array<double>"), zeros), pieces), frames)
 
 
 def median(values: Column) -> Column:

@@ -14,6 +14,7 @@ from cuefold.operators import cues as C
 from cuefold.operators import metrics as M
 from cuefold.operators import models
 from cuefold.operators import pairing as P
+from cuefold.operators import signals as G
 from cuefold.operators import split as H
 from cuefold.operators.numbering import numbered
 from cuefold.plans import views as V
@@ -452,6 +453,38 @@ def silence_chunks(spark, sf_dir):
     return rows.select("vec_id", "chunk_idx", F.round("chunk_start", 6).alias("chunk_start"), F.round("chunk_end", 6).alias("chunk_end"))
 
 
+_BLOCK = 1000  # no multiple of a vector's length, so that vectors cross blocks
+
+
+@query(f"""WITH {V.LONG_SIGNALS}, x AS (SELECT video, list_concat([0.0, 0.0, 0.0, 0.0], s, [0.0, 0.0, 0.0, 0.0]) AS p, len(s) AS n FROM long_signals),
+e AS (SELECT video, list_transform(generate_series(0, n // 4), lambda k: sqrt(list_sum(list_transform(list_slice(p, k * 4 + 1, k * 4 + 8), lambda v: v * v)) / 8)) AS rms FROM x)
+SELECT video, CAST(generate_subscripts(rms, 1) - 1 AS BIGINT) AS frame_idx, round(unnest(rms), 6) AS rms FROM e""")
+def long_signal_rms(spark, sf_dir):
+    """The energy of signals that are longer than a block, frame by frame."""
+    rows = G.block_rms(V.long_signals(spark, sf_dir, _BLOCK), frame=8, hop=4, size=_BLOCK)
+    rows = rows.select("video", "first", F.posexplode("rms").alias("k", "rms"))
+    return rows.select("video", (F.col("first") + F.col("k")).alias("frame_idx"), F.round("rms", 6).alias("rms"))
+
+
+@query(f"""WITH {V.LONG_SIGNALS}, w AS (SELECT video, s, len(s) AS n, unnest(range(len(s) // 128)) AS k FROM long_signals),
+c AS (SELECT *, 2 * k + 1.55::DOUBLE AS nominal, CASE WHEN k + 1 < n // 128 THEN 2 * k + 2.1::DOUBLE END AS following FROM w),
+p AS (SELECT *, CAST(floor((nominal - 0.5) * 64) AS BIGINT) AS a, least(n, CAST(floor(following * 64) AS BIGINT)) AS b FROM c),
+e AS (SELECT *, list_concat([0.0, 0.0, 0.0, 0.0], s[a + 1:b], [0.0, 0.0, 0.0, 0.0]) AS padded FROM p WHERE following IS NOT NULL),
+r AS (SELECT *, list_transform(generate_series(0, (b - a) // 4), lambda i: sqrt(list_sum(list_transform(list_slice(padded, i * 4 + 1, i * 4 + 8), lambda v: v * v)) / 8)) AS rms FROM e),
+m AS (SELECT video, k, a, nominal, list_position(rms, list_min(rms)) - 1 AS i, list_min(rms) AS least, list_aggregate(rms, 'median') AS middle FROM r),
+t AS (SELECT video, k, CASE WHEN middle > 0 AND least <= 0.5 * middle THEN (a + 4 * i) / 64.0::DOUBLE ELSE nominal END AS cut FROM m
+  UNION ALL SELECT video, k, least(n / 64.0::DOUBLE, nominal + 0.05::DOUBLE) FROM p WHERE following IS NULL)
+SELECT video, CAST(k AS INTEGER) AS chunk_idx, round(coalesce(lag(cut) OVER (PARTITION BY video ORDER BY k), greatest(0, 0.1::DOUBLE - 0.05::DOUBLE)), 6) AS chunk_start, round(cut, 6) AS chunk_end FROM t""")
+def long_signal_snap(spark, sf_dir):
+    """Windows of two seconds over long signals, with the boundaries that silence draws, found in the blocks that hold their samples."""
+    blocks = V.long_signals(spark, sf_dir, _BLOCK)
+    n = blocks.groupBy("video").agg(F.expr("max(total) div 128").alias("n"))
+    windows = n.select("video", F.explode(F.when(F.col("n") > 0, F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).alias("chunk_idx"))
+    windows = windows.select("video", F.col("chunk_idx").cast("int").alias("chunk_idx"), (F.col("chunk_idx") * 2 + F.lit(0.1)).alias("start"), (F.col("chunk_idx") * 2 + F.lit(1.55)).alias("end"))
+    rows = G.block_boundaries(windows, blocks, pad=0.05, frame=8, hop=4, size=_BLOCK)
+    return rows.select("video", "chunk_idx", F.round("chunk_start", 6).alias("chunk_start"), F.round("chunk_end", 6).alias("chunk_end"))
+
+
 # Labels and metrics
 
 _LABELS = """l AS (SELECT conv_id, turn, list_concat(CASE WHEN conv_id % 2 = 0 OR turn % 2 = 0 THEN [7] ELSE [] END, list_transform(string_split(text, ' '), lambda w: CAST(length(w) AS INTEGER))) AS x FROM conversations),

@@ -12,7 +12,7 @@ from cuefold.functions import text as T
 from cuefold.operators import cues as C
 from cuefold.operators import metrics as M
 from cuefold.operators import pairing as P
-from cuefold.operators import models
+from cuefold.operators import models, signals
 from cuefold.operators import split as H
 from cuefold.operators.numbering import numbered
 from cuefold.sources import files, sinks
@@ -21,10 +21,10 @@ from cuefold.storage import written
 MAX_PATHS = 100_000
 
 
-_CHUNKS = "video_id string, chunk_idx int, chunk_start double, chunk_end double, duration double, transcript string, samples array<double>, rate double"
+_CHUNKS = "video_id string, chunk_idx int, chunk_start double, chunk_end double, duration double, transcript string, samples binary, rate double"
 
 
-def clips_of_pairs(spark: SparkSession, new: DataFrame, most: float, decode: Callable = files.decode_wav) -> tuple[DataFrame, DataFrame]:
+def clips_of_pairs(spark: SparkSession, new: DataFrame, most: float, decode: Callable | None = None) -> tuple[DataFrame, DataFrame]:
     """The clips of pairs (pair_index, video_id, audio, subtitle), and path and error of files that can't be read or parsed."""
     part = F.floor((F.col("pair_index") - 1) / MAX_PATHS)  # pairs are read in parts of MAX_PATHS, until none is left
     chunks, failed = spark.createDataFrame([], _CHUNKS), spark.createDataFrame([], "path string, error string")
@@ -32,13 +32,14 @@ def clips_of_pairs(spark: SparkSession, new: DataFrame, most: float, decode: Cal
         own = new.where(part == k)
         todo = own.select("audio", "subtitle").collect()  # MAX_PATHS rows at most
         named = F.broadcast(own.select(ids.stem(F.col("audio")).alias("video"), ids.stem(F.col("subtitle")).alias("sub"), "video_id", "audio", "subtitle"))
-        signals = written(files.audio(spark, [r.audio for r in todo], decode=decode).join(named.drop("sub"), "video"), "signals")
+        blocks = written(files.audio_blocks(spark, [r.audio for r in todo], decode=decode).join(named.drop("sub"), "video"), "signals")
         texts = files.subtitles(spark, [r.subtitle for r in todo]).withColumnRenamed("video", "sub").join(named, "sub")
         cues = written(C.parse_subtitles(texts, "video_id", strict=False), "cues")
-        unread = signals.where("error IS NOT NULL").select(F.col("audio").alias("path"), "error")
+        unread = blocks.where("error IS NOT NULL").groupBy(F.col("audio").alias("path")).agg(F.min("error").alias("error"))
         unparsed = texts.join(cues.select("video_id").distinct(), "video_id", "left_anti").select(F.col("subtitle").alias("path"), F.lit("no cue, or a time that can't be read").alias("error"))
         failed = failed.unionByName(unread).unionByName(unparsed)
-        chunks = chunks.unionByName(written(C.chunks_of_audio(cues, signals.where("error IS NULL").select("video_id", "rate", "samples"), "video_id", most), "chunks"))
+        sound = blocks.join(F.broadcast(unread.select(F.col("path").alias("audio"))), "audio", "left_anti").select("video_id", "block", "rate", "total", "samples")
+        chunks = chunks.unionByName(written(signals.chunks_of_blocks(cues, sound, "video_id", most), "chunks"))
     return chunks, written(failed, "failed")
 
 
@@ -49,7 +50,7 @@ def _samples(chunks: DataFrame, new: DataFrame, output_dir: str) -> DataFrame:
 
 
 def prepare_batch(
-    spark: SparkSession, input_dir: str, output_dir: str, most: float = C.MAX_DURATION, decode: Callable = files.decode_wav,
+    spark: SparkSession, input_dir: str, output_dir: str, most: float = C.MAX_DURATION, decode: Callable | None = None,
     report: Callable[[DataFrame], None] | None = None, manifest: str = "manifest.json",
 ) -> tuple[DataFrame, DataFrame]:
     """Pairs of audio and subtitles that the manifest lacks become clips; the merged manifest and the clips are returned.
@@ -76,7 +77,7 @@ def _renumbered(rows: DataFrame) -> DataFrame:
 
 
 def prepare_pair(
-    spark: SparkSession, audio: str, subtitle: str, output_dir: str, most: float = C.MAX_DURATION, index: int = 1, decode: Callable = files.decode_wav
+    spark: SparkSession, audio: str, subtitle: str, output_dir: str, most: float = C.MAX_DURATION, index: int = 1, decode: Callable | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """The manifest and the clips of one recording; a file that can't be read or parsed raises."""
     one = spark.createDataFrame([(index, audio, subtitle)], "pair_index long, audio string, subtitle string")
@@ -102,16 +103,18 @@ def judged_media(spark: SparkSession, media: DataFrame, transcript_dir: str) ->
     return rows.withColumn("reason", reason.when(F.col("duration").isNull(), "unreadable").when(F.col("duration") > C.MAX_DURATION, "too long"))
 
 
-def flat_batch(spark: SparkSession, input_dir: str, transcript_dir: str, output_dir: str, decode: Callable = files.decode_wav) -> tuple[DataFrame, DataFrame, DataFrame]:
+def flat_batch(spark: SparkSession, input_dir: str, transcript_dir: str, output_dir: str, decode: Callable | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Media of a folder with transcripts of the same stem: the samples, the decoded audio (path, content), and path and reason of the rest."""
-    media = files.listing(spark, input_dir, ids.VIDEO_EXTENSIONS + ids.AUDIO_EXTENSIONS).select("path", ids.stem(F.col("path")).alias("video"))
-    signals = written(files.audio(spark, f"{input_dir}/*", decode=decode).join(media, "video"), "signals")
-    judged = judged_media(spark, files.duration(signals.drop("error")).select("path", "video", "duration"), transcript_dir)
+    media = files.videos(spark, input_dir).unionByName(files.listing(spark, input_dir, ids.AUDIO_EXTENSIONS)).select("path", ids.stem(F.col("path")).alias("video"))
+    blocks = written(files.audio_blocks(spark, f"{input_dir}/*", decode=decode).join(media, "video"), "signals")
+    lengths = blocks.groupBy("path", "video").agg(F.when(F.max("error").isNull(), F.max("total") / F.max("rate")).alias("duration"))
+    judged = judged_media(spark, lengths, transcript_dir)
     judged = written(judged, "judged")
     out = F.concat(F.lit("audio/"), "video", F.lit(".wav"))
     kept = judged.where("reason IS NULL").withColumn("audio_path", F.concat(F.lit(f"{output_dir}/"), out))
     samples = numbered(kept.select("audio_path", "transcript", "duration", F.lit("ur").alias("language")), [ids.natural_key(F.col("audio_path")), F.col("audio_path")], "pos")
-    waves = sinks.waves(signals.join(kept.select("video"), "video").select(out.alias("path"), "samples", "rate"))
+    # what is kept lasts MAX_DURATION at most, which is less than a block
+    waves = sinks.waves(blocks.where("block = 0").join(kept.select("video"), "video").select(out.alias("path"), "samples", "rate"))
     return written(samples.withColumn("pos", F.col("pos") - 1), "samples"), waves, judged.where("reason IS NOT NULL").select("path", "reason")
 
 

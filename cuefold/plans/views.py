@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cuefold.operators import signals as G
+
 SALLA, AS, ZWNJ = "ﷺ", "ؑ", "‌"
 
 
@@ -144,5 +146,16 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("samples"))
 
 
+def long_signals(spark: SparkSession, sf_dir: str, size: int = G.SIZE) -> DataFrame:
+    """The vectors of each label end to end, in order of vec_id, as one signal of 64 samples a second, in blocks of `size` samples."""
+    rows = table(spark, sf_dir, "embeddings").select(F.col("label").cast("string").alias("video"), "vec_id", "embedding")
+    end = F.sum(F.size("embedding")).over(Window.partitionBy("video").orderBy("vec_id").rowsBetween(Window.unboundedPreceding, 0))
+    pieces = rows.select("video", F.lit(64).alias("rate"), (end - F.size("embedding")).alias("at"), G.pack(F.col("embedding")).alias("samples"))
+    return G.reblocked(pieces, size=size)
+
+
+LONG_SIGNALS = """long_signals AS (SELECT CAST(label AS VARCHAR) AS video, flatten(list(list_transform(embedding, lambda x: CAST(x AS DOUBLE)) ORDER BY vec_id)) AS s FROM embeddings GROUP BY label)"""
+
+
 TERMS = ["solo", "eaux", "licht", "thing of"]
 LATIN = "[À-ÿ]"

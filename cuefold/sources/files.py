@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import io
 import json
-import wave
 from collections.abc import Callable, Iterator
+from typing import BinaryIO
 
 import numpy as np
 import pandas as pd
@@ -15,8 +15,9 @@ from pyspark.sql import types as T
 
 from cuefold import schemas
 from cuefold.functions import ids
+from cuefold.operators import signals
 from cuefold.operators.numbering import numbered
-from cuefold.sources import json_arrays, ledger
+from cuefold.sources import json_arrays, ledger, wav
 from cuefold.storage import written
 
 
@@ -132,36 +133,21 @@ def corrections(spark: SparkSession, path: str) -> dict[str, str]:
 
 
 def decode_wav(content: bytes) -> tuple[int, np.ndarray]:
-    """Rate and mono samples in -1..1 of a PCM WAV file of 8, 16 or 32 bits."""
-    with wave.open(io.BytesIO(content)) as w:
-        rate, channels, width = w.getframerate(), w.getnchannels(), w.getsampwidth()
-        raw = w.readframes(w.getnframes())
-    kinds = {1: (np.uint8, 128.0, 128.0), 2: ("<i2", 0.0, 32768.0), 4: ("<i4", 0.0, 2147483648.0)}
-    kind, zero, scale = kinds[width]
-    samples = (np.frombuffer(raw, kind).astype(np.float64) - zero) / scale
-    return rate, samples.reshape(-1, channels).mean(1)
+    """Rate and mono samples in -1..1 of a WAV file of 8, 16, 24 or 32 bits, or of floats."""
+    f = io.BytesIO(content)
+    of = wav.header(f)
+    return of.rate, wav.read(f, of, 0, of.frames)
 
 
 def resample(samples: np.ndarray, rate: int, to: int, half: int = 16) -> np.ndarray:
-    """Another rate by a windowed sinc of `half` zero crossings to each side, which keeps what lies above the lower rate's band out."""
-    if rate == to or not len(samples):
-        return samples
-    share = min(1.0, to / rate)
-    width = int(np.ceil(half / share))
-    offsets = np.arange(1 - width, width + 1)
-    padded = np.pad(np.asarray(samples, float), width)
-    out = np.empty(int(len(samples) * to / rate))
-    for a in range(0, len(out), 1 << 14):
-        at = np.arange(a, min(len(out), a + (1 << 14))) * (rate / to)
-        base = np.floor(at).astype(np.int64)
-        x = offsets[None, :] - (at - base)[:, None]
-        taps = np.sinc(share * x) * (0.5 + 0.5 * np.cos(np.pi * np.clip(x / width, -1, 1)))
-        out[a : a + len(at)] = (padded[base[:, None] + offsets[None, :] + width] * taps).sum(1) / taps.sum(1)
-    return out
+    """Samples at another rate, as wav.resampled."""
+    x = np.asarray(samples, float)
+    return wav.resampled(lambda a, b: x[a:b], len(x), rate, to, 0, wav.resampled_length(len(x), rate, to), half)
 
 
 def audio(spark: SparkSession, path: str | list[str], rate: int = 16_000, decode: Callable[[bytes], tuple[int, np.ndarray]] = decode_wav) -> DataFrame:
-    """video, rate, samples, error of audio files as mono signals; a file that can't be read has its error and no samples.
+    """video, rate, samples, error of short audio files as mono signals, one row each; a file that can't be read has its error and
+    no samples. Recordings belong in audio_blocks.
 
     WAV is decoded here; `decode` (bytes to rate and mono samples) reads other formats with what the workers have."""
 
@@ -179,6 +165,82 @@ def audio(spark: SparkSession, path: str | list[str], rate: int = 16_000, decode
     return files.mapInPandas(decoded, "video string, rate int, samples array<double>, error string")
 
 
+_PROBED = "path string, video string, rate int, channels int, frames long, duration double, error string"
+
+
+def probe(spark: SparkSession, path: str | list[str], open_: Callable[[str], BinaryIO] = wav.open_file) -> DataFrame:
+    """path, video, rate, channels, frames, duration, error of WAV files, from their headers; samples aren't read."""
+
+    def read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            rows = []
+            for r in part.itertuples(index=False):
+                try:
+                    with open_(r.path) as f:
+                        h = wav.header(f)
+                    rows.append((r.path, r.video, h.rate, h.channels, h.frames, h.frames / h.rate, None))
+                except Exception as e:
+                    rows.append((r.path, r.video, None, None, None, None, f"{type(e).__name__}: {e}"))
+            out = pd.DataFrame(rows, columns=["path", "video", "rate", "channels", "frames", "duration", "error"])
+            yield out.astype({"rate": "Int32", "channels": "Int32", "frames": "Int64"})
+
+    found = spark.read.format("binaryFile").load(path).select("path", ids.stem(F.col("path")).alias("video"))
+    return found.mapInPandas(read, _PROBED)
+
+
+_BLOCKS = signals.BLOCKS + ", error string"
+
+
+def audio_blocks(
+    spark: SparkSession, path: str | list[str], rate: int = 16_000, decode: Callable[[bytes], tuple[int, np.ndarray]] | None = None,
+    open_: Callable[[str], BinaryIO] = wav.open_file, size: int = signals.SIZE,
+) -> DataFrame:
+    """video, block, rate, total, samples (floats as bytes), error of audio files as mono signals in blocks of `size` samples.
+
+    WAV files are read by ranges: a task opens the file, seeks, and decodes and resamples one block, so no row holds more than a
+    block. `decode` (bytes to rate and mono samples) reads other formats, each file whole, and so do stores that only Spark can
+    open (decode=decode_wav). A file that can't be read has one row, with its error and no block."""
+
+    def row(video, block, total, samples, error=None) -> pd.DataFrame:
+        out = pd.DataFrame([(video, block, rate, total, samples, error)], columns=["video", "block", "rate", "total", "samples", "error"])
+        return out.astype({"block": "Int64", "total": "Int64"})
+
+    def whole(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for r in part.itertuples(index=False):
+                try:
+                    own, x = decode(r.content)
+                except Exception as e:
+                    yield row(r.video, None, None, None, f"{type(e).__name__}: {e}")
+                    continue
+                x = np.asarray(x, float)
+                total = wav.resampled_length(len(x), own, rate)
+                for k in range(max(1, -(-total // size))):
+                    yield row(r.video, k, total, signals.packed(wav.resampled(lambda a, b: x[a:b], len(x), own, rate, k * size, min(total, (k + 1) * size))))  # noqa: B023
+
+    def ranges(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for r in part.itertuples(index=False):
+                if r.error is not None:
+                    yield row(r.video, None, None, None, r.error)
+                    continue
+                try:
+                    with open_(r.path) as f:
+                        h = wav.header(f)
+                        x = wav.resampled(lambda a, b: wav.read(f, h, a, b), h.frames, h.rate, rate, int(r.block) * size, min(int(r.total), (int(r.block) + 1) * size))  # noqa: B023
+                    yield row(r.video, int(r.block), int(r.total), signals.packed(x))
+                except Exception as e:
+                    yield row(r.video, None, None, None, f"{type(e).__name__}: {e}")
+
+    if decode is not None:
+        files = spark.read.format("binaryFile").load(path).select(ids.stem(F.col("path")).alias("video"), "content")
+        return files.mapInPandas(whole, _BLOCKS)
+    total = F.when(F.col("rate") == rate, F.col("frames")).otherwise(F.floor(F.col("frames") * F.lit(rate) / F.col("rate"))).cast("long")
+    found = probe(spark, path, open_).withColumn("total", total)
+    blocks = found.select("path", "video", "total", "error", F.explode(F.when(F.col("error").isNull(), F.sequence(F.lit(0).cast("long"), F.expr(f"greatest(total - 1, 0) div {size}"))).otherwise(F.array(F.lit(0).cast("long")))).alias("block"))
+    return blocks.repartition("path", "block").mapInPandas(ranges, _BLOCKS)
+
+
 def duration(signals: DataFrame) -> DataFrame:
     """signals with duration in seconds."""
     return signals.withColumn("duration", F.size("samples") / F.col("rate"))

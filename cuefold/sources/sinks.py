@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
+from cuefold.operators import signals
 from cuefold.sources import json_arrays
 
 def json_lines(rows: DataFrame, path: str) -> None:
@@ -73,26 +74,27 @@ def text(spark: SparkSession, content: str, path: str) -> None:
 
 
 def encode_wav(samples, rate: int) -> bytes:
-    """A mono PCM WAV file of 16 bits."""
+    """A mono PCM WAV file of 16 bits, of numbers or of floats as bytes."""
     out = io.BytesIO()
     with wave.open(out, "wb") as w:
         w.setnchannels(1)
         w.setsampwidth(2)
         w.setframerate(int(rate))
-        w.writeframes(np.clip(np.round(np.asarray(samples, float) * 32767), -32768, 32767).astype("<i2").tobytes())
+        own = signals.unpacked(samples) if isinstance(samples, bytes) else np.asarray(samples, float)
+        w.writeframes(np.clip(np.round(own * 32767), -32768, 32767).astype("<i2").tobytes())
     return out.getvalue()
 
 
-def waves(signals: DataFrame) -> DataFrame:
-    """signals (other columns, samples, rate) with content, a WAV file, in their place: a table, which any store takes."""
-    others = [f for f in signals.schema if f.name not in ("samples", "rate")]
+def waves(rows: DataFrame) -> DataFrame:
+    """rows (other columns, samples, rate) with content, a WAV file, in their place: a table, which any store takes."""
+    others = [f for f in rows.schema if f.name not in ("samples", "rate")]
 
     def encoded(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             content = [encode_wav(s, r) for s, r in zip(part["samples"], part["rate"], strict=True)]
             yield part[[f.name for f in others]].assign(content=content)
 
-    return signals.mapInPandas(encoded, StructType([*others, StructField("content", BinaryType())]))
+    return rows.mapInPandas(encoded, StructType([*others, StructField("content", BinaryType())]))
 
 
 def clips(chunks: DataFrame) -> DataFrame:
