@@ -23,7 +23,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--input_dir", required=True)
     p.add_argument("--output_dir", default="./data/processed")
     p.add_argument("--max_duration", type=float, default=28.0)
-    p.add_argument("--manifest-name", default="manifest.json", help="a name that doesn't end in .json is a folder of JSON lines")
+    p.add_argument("--manifest-name", default="manifest.json", help="an array if it ends in .json, an append-only log if it ends in .log, else a folder of JSON lines")
     p.add_argument("--decoder", help="module:function, bytes to rate and samples, for audio other than WAV")
     p = commands.add_parser("prepare-pair", help="one recording and its subtitles to clips and a manifest")
     p.add_argument("--audio", required=True)
@@ -54,6 +54,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("reviewed_manifest")
     p.add_argument("--processed-dir", default="data/processed")
     p.add_argument("--batch-folder")
+    p.add_argument("--manifest-name", action="append", help="of the local manifests; manifest.json and manifest.jsonl if none is given")
     p.add_argument("--output")
     p.add_argument("--output-name", default="manifest_reviewed.json")
     p.add_argument("--allow-reconstruct", action="store_true")
@@ -127,7 +128,7 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
         log.select("pos", "rules", F.substring("before", 1, 120).alias("before"), F.substring("after", 1, 120).alias("after")).show(truncate=False)
     elif a.command == "convert":
         report = lambda summary, folders: (summary.show(truncate=False), folders.show(1000, truncate=False))
-        _, coverage = pipelines.convert_reviewed(spark, a.reviewed_manifest, a.processed_dir, a.batch_folder, a.output, a.output_name, a.allow_reconstruct, report)
+        _, coverage = pipelines.convert_reviewed(spark, a.reviewed_manifest, a.processed_dir, a.batch_folder, a.output, a.output_name, a.allow_reconstruct, report, tuple(a.manifest_name or files.MANIFESTS))
         coverage.show(1000, truncate=False)
     elif a.command == "fix-lexicon":
         pairs = [tuple(p) for p in json.loads(files.whole_texts(spark, a.pairs).first().value)]

@@ -18,7 +18,9 @@ from cuefold.operators import signals as G
 from cuefold.operators import split as H
 from cuefold.operators.numbering import numbered
 from cuefold.plans import views as V
-from cuefold.storage import written
+from cuefold.sources import ledger
+from cuefold.storage import folder, written
+from cuefold.streaming.sessions import session_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -269,6 +271,18 @@ def incremental_antijoin_union(spark, sf_dir):
     return P.append_new(done, d.select("video_id", F.lit("new").alias("origin"), "n_chars"))
 
 
+@query("""WITH k AS (SELECT 'd' || doc_id AS video_id, n_chars % 3 AS run FROM documents)
+SELECT row_number() OVER (ORDER BY run, video_id) - 1 AS pos, video_id, run FROM k""")
+def incremental_log_append(spark, sf_dir):
+    """Three runs, each of which finds its own videos and those of the run before; the second is tried again."""
+    d = V.table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("video_id"), (F.col("n_chars") % 3).alias("own"))
+    path = folder(spark, "log")
+    for k in (0, 1, 1, 2):
+        found = d.where(F.col("own").isin(k, k - 1)).select("video_id", F.lit(k).cast("long").alias("run"))
+        ledger.append(spark, path, found, f"run-{k}", "video_id", ["video_id"])
+    return ledger.read(spark, path)
+
+
 def _lookup(spark, sf_dir) -> DataFrame:
     return P.merge_lookups(P.local_lookup(V.manifests(spark, sf_dir)))
 
@@ -335,6 +349,9 @@ def flat_prep_gates(spark, sf_dir):
 
 # Cues
 
+#: Micro-batches of a replayed stream, and files of each.
+_REPLAYS, _FILES = 4, 4
+
 
 @query(f"""WITH {V.CUES}, s AS (SELECT *, coalesce(start - lag("end") OVER w > 3.0, false) AS torn FROM cues WINDOW w AS (PARTITION BY video ORDER BY idx))
 SELECT video, idx, CAST(sum(torn::INT) OVER (PARTITION BY video ORDER BY idx) AS BIGINT) AS session FROM s""")
@@ -351,6 +368,28 @@ def event_gap_sessions(spark, sf_dir):
     return rows.groupBy("user_id", "session").agg(F.count("*").alias("n"), (F.max("at") - F.min("at")).alias("seconds"))
 
 
+@query(ORACLES["event_gap_sessions"])
+def event_gap_sessions_streamed(spark, sf_dir):
+    """Events replayed out of order, in micro-batches by time with a jitter, through keyed state and a watermark."""
+    events = V.table(spark, sf_dir, "events").select("user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+    first, last, least = events.agg(F.min("at"), F.max("at"), F.min("user_id")).first()
+    span = last - first + 1
+    jitter = F.pmod(F.xxhash64("at", "user_id"), F.lit(1000)) / 1000 * (span / 10)
+    dealt = written(events.withColumn("batch", F.floor((F.col("at") - first + jitter) / (span * 1.1) * _REPLAYS).cast("int")), "replay", ("batch",))
+    source = folder(spark, "stream")
+    for k in range(_REPLAYS):  # a micro-batch each, in order
+        dealt.where(F.col("batch") == k).select("user_id", "at").coalesce(_FILES).write.parquet(f"{source}/b{k}")
+    end = spark.createDataFrame([(least - 1, last + 2 * span)], events.schema)  # of no user: it moves the watermark past all sessions
+    end.coalesce(1).write.parquet(f"{source}/c")
+    rows = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", _FILES).parquet(f"{source}/*")
+    at, own = F.timestamp_micros("at"), folder(spark, "sessions")
+    out = session_stream(rows, "user_id", at, at, 43200, f"{span // 1_000_000 // 3 + 1} seconds")
+    query = out.writeStream.format("parquet").option("path", f"{own}/out").option("checkpointLocation", f"{own}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    done = spark.read.parquet(f"{own}/out").where(~F.col("user_id").eqNullSafe(least - 1))
+    return done.select("user_id", "session", "n", ((F.col("end_us") - F.col("start_us")) / 1e6).alias("seconds"))
+
+
 _WINDOWS = f"""{V.CUES},
 c AS (SELECT *, {_ENDING.format("text")} AS ending, row_number() OVER (PARTITION BY video ORDER BY idx) AS i, count(*) OVER (PARTITION BY video) AS n FROM cues),
 k AS (SELECT *, max(CASE WHEN ending = 'sentence' THEN i END) OVER w AS last_sentence, max(CASE WHEN ending = 'clause' THEN i END) OVER w AS last_clause FROM c WINDOW w AS (PARTITION BY video ORDER BY i)),

@@ -57,7 +57,8 @@ def prepare_batch(
 
     Numbers of videos without a label follow the natural order of the listing. A file that can't be read or parsed is left
     out and tried again by the next call; `report` gets path and error of all such files. `manifest` names a folder of JSON
-    lines, or an array if it ends in .json."""
+    lines, an array if it ends in .json, or an append-only log if it ends in .log: then only the new samples are returned,
+    for the log to take on; nothing that is there is read but its paths, and nothing is written again."""
     found = files.listing(spark, input_dir)
     audio, srt = P.identified(found, ids.AUDIO_EXTENSIONS), P.identified(found, (".srt",))
     paired = P.pairs(audio, srt).withColumn("video_id", ids.video_id(F.col("audio"), F.col("pair_index")))
@@ -66,6 +67,9 @@ def prepare_batch(
     chunks, failed = clips_of_pairs(spark, new, most, decode)
     if report:
         report(failed)
+    if manifest.endswith(".log"):
+        rows = _samples(chunks, new, output_dir).withColumnRenamed("at", "pos")
+        return written(_renumbered(rows), "merged"), sinks.clips(chunks.withColumnRenamed("video_id", "video"))
     merged = done.select(F.lit(0).alias("old"), F.col("pos").alias("at"), "audio_path", "transcript", "duration", "language")
     merged = merged.unionByName(_samples(chunks, new, output_dir).select(F.lit(1).alias("old"), "*"))
     merged = merged.select(F.struct("old", "at").alias("pos"), "audio_path", "transcript", "duration", "language")
@@ -137,11 +141,12 @@ def normalise_manifest(spark: SparkSession, path: str, in_place: bool = False, d
 def convert_reviewed(
     spark: SparkSession, reviewed_path: str, processed_dir: str, batch_folder: str | None = None, output: str | None = None,
     output_name: str = "manifest_reviewed.json", allow_reconstruct: bool = False, report: Callable[[DataFrame, DataFrame], None] | None = None,
+    manifests: tuple[str, ...] = files.MANIFESTS,
 ) -> tuple[DataFrame, DataFrame]:
     """The reviewed manifest with local paths, and coverage by episode, in order. Rows that match nothing raise unless
     reconstruction is allowed; before, `report` gets the summary over all and the folders that rows were found in."""
     rows = files.reviewed(spark, reviewed_path).withColumnsRenamed({"episode_label": "episode", "youtube_video_id": "yt_id"})
-    local = files.manifests(spark, processed_dir)
+    local = files.manifests(spark, processed_dir, manifests)
     if batch_folder:
         lookup = P.local_lookup(local.where(F.col("folder") == batch_folder).withColumn("live", F.lit(True)))
     else:

@@ -21,6 +21,10 @@ from cuefold.sources import json_arrays, ledger, wav
 from cuefold.storage import written
 
 
+#: Names of a folder's manifest.
+MANIFESTS = ("manifest.json", "manifest.jsonl")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     """Whether a path or glob matches anything, in whatever store it names."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -57,7 +61,7 @@ def reviewed(spark: SparkSession, path: str) -> DataFrame:
     return numbered(rows.drop("pos"), [F.col("_file"), F.col("_place")], "pos").withColumn("pos", F.col("pos") - 1).drop("_file", "_place")
 
 
-def manifests(spark: SparkSession, root: str, names: tuple[str, ...] = ("manifest.json", "manifest.jsonl")) -> DataFrame:
+def manifests(spark: SparkSession, root: str, names: tuple[str, ...] = MANIFESTS) -> DataFrame:
     """All <root>/<folder>/<name> with their folder: arrays, and folders of JSON lines where the name does not end in .json."""
     out = spark.createDataFrame([], f"pos long, {schemas.MANIFEST}, folder string")
     for name in names:
@@ -75,7 +79,8 @@ def manifests(spark: SparkSession, root: str, names: tuple[str, ...] = ("manifes
 
 def optional_manifest(spark: SparkSession, path: str) -> DataFrame:
     """The manifest, or no rows where there is none."""
-    return manifest(spark, path) if _exists(spark, path) else spark.createDataFrame([], "pos long, " + schemas.MANIFEST)
+    there = ledger.exists(spark, path) if path.endswith(".log") else _exists(spark, path)
+    return manifest(spark, path) if there else spark.createDataFrame([], "pos long, " + schemas.MANIFEST)
 
 
 def listing(spark: SparkSession, folder: str, extensions: tuple[str, ...] = ()) -> DataFrame:

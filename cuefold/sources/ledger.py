@@ -82,7 +82,7 @@ def append(spark: SparkSession, path: str, rows: DataFrame, batch: str, key: str
     if runs.done:
         return 0
     fresh = rows if key is None else unseen(spark, path, written(rows, "found"), key)
-    placed = numbered(fresh, [F.col(c) for c in order] if order else [F.monotonically_increasing_id()], "place").withColumn("place", F.col("place") - 1)
+    placed = numbered(fresh, [F.col(c) for c in order] if order else [F.monotonically_increasing_id()], "place").withColumn("place", F.col("place") - 1).drop("pos")
     folder = f"{batch}-{uuid.uuid4().hex}"
     placed.write.parquet(f"{path}/rows/{folder}")
     n = spark.read.parquet(f"{path}/rows/{folder}").count()

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from cuefold.operators import signals
-from cuefold.sources import json_arrays
+from cuefold.sources import json_arrays, ledger
 
 def json_lines(rows: DataFrame, path: str) -> None:
     """The scalable manifest: a folder of JSON lines, written in parallel."""
@@ -38,15 +38,20 @@ def json_array(rows: DataFrame, path: str, pos_col: str = "pos") -> None:
 
 
 def manifest(rows: DataFrame, path: str) -> None:
-    """rows (with pos) as a manifest: an array where the path ends in .json, else a folder of JSON lines, written in parallel."""
-    if path.endswith(".json"):
+    """rows (with pos) as a manifest: an array where the path ends in .json, one more batch of an append-only log where it ends in .log
+    (rows whose audio_path is there already add nothing), else a folder of JSON lines; all written in parallel."""
+    if path.endswith(".log"):
+        ledger.append(rows.sparkSession, path, rows, uuid.uuid4().hex, "audio_path", ["pos"])
+    elif path.endswith(".json"):
         json_array(rows, path)
     else:
         json_lines(rows, path)
 
 
 def normalised_path(path: str, in_place: bool) -> str:
-    """The input itself, or manifest_normalized beside it, of the same kind."""
+    """The input itself, or manifest_normalized beside it, of the same kind. A log only grows: its rewritten manifest is a folder of JSON lines."""
+    if in_place and path.endswith(".log"):
+        raise ValueError("a log can't be rewritten in place")
     return path if in_place else path.rpartition("/")[0] + "/manifest_normalized" + (".json" if path.endswith(".json") else ".jsonl")
 
 

@@ -38,6 +38,11 @@ def _path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def folder(spark: SparkSession, label: str) -> str:
+    """A new name in the shared folder, for what is no single table; it goes as tables do."""
+    return _path(spark, label)
+
+
 def written(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFrame:
     """df as a Parquet table in the shared folder, in folders by the columns of `by`: computed once, safe from lost executors."""
     path = _path(df.sparkSession, label)
