@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cuefold.functions import signal as S
 from cuefold.functions import text as T
+from cuefold.operators.numbering import scanned
+from cuefold.storage import written
 
 # Seconds of a gap that parts windows, of a clip at most, of room for snapping, of a pad; the form of a subtitle's time.
 GAP, MAX_DURATION, SAFETY, PAD = 3.0, 28.0, 3.5, 0.3
+#: Cues of a video, or of a stretch of it, that are one row at most.
+MAX_CUES = 50_000
 _TIME = r"^(\d+):(\d+):(\d+),(\d+)"
 
 
@@ -53,17 +60,14 @@ def subtitle_text(cues: DataFrame, key_col: str = "video") -> DataFrame:
     return cues.groupBy(key_col).agg(F.array_join(F.transform(listed, lambda x: x["block"]), "\n\n").alias("value"))
 
 
-def cue_lists(cues: DataFrame, key_col: str = "video") -> DataFrame:
-    """key, cues: an array in file order. A video's cues are the unit of the fold, a few thousand at most."""
+def cue_lists(cues: DataFrame, by: list[str]) -> DataFrame:
+    """by, cues: an array in file order. What is listed is bounded by MAX_CUES."""
     cue = F.struct(F.col("idx").cast("int").alias("idx"), F.col("start").cast("double").alias("start"), F.col("end").cast("double").alias("end"), F.col("text").cast("string").alias("text"))
-    return cues.groupBy(key_col).agg(F.array_sort(F.collect_list(cue)).alias("cues"))
-
+    return cues.groupBy(*by).agg(F.array_sort(F.collect_list(cue)).alias("cues"))
 
-def group_cues(cues: DataFrame, key_col: str = "video", most: float = MAX_DURATION, gap: float = GAP) -> DataFrame:
-    """key, chunk_idx, start, end, n_cues, text: greedy windows.
 
-    A gap above `gap` ends a window. One that would grow beyond `most` is cut after its last sentence end,
-    else its last clause end, else whole; what is left opens the next and is not checked again."""
+def _folded(cues: DataFrame, by: list[str], most: float, gap: float) -> DataFrame:
+    """by, chunk_idx, start, end, n_cues, text: the windows of each list of cues."""
     # the fold carries places in the list, not cues: where the open window starts, its last sentence and clause ends, and the starts of all windows
     none = F.lit(-1)
     marked = F.transform("cues", lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), T.ends_sentence(c["text"]).alias("sentence"), T.ends_clause(c["text"]).alias("clause")))
@@ -82,15 +86,92 @@ def group_cues(cues: DataFrame, key_col: str = "video", most: float = MAX_DURATI
 
     zero = F.lit(0)
     begin = F.struct(zero.alias("i"), zero.alias("first"), F.lit(0.0).alias("last"), none.alias("sentence"), none.alias("clause"), F.array(zero).alias("starts"))
-    listed = cue_lists(cues, key_col).withColumn("marked", marked).withColumn("starts", F.aggregate("marked", begin, step, lambda s: s["starts"]))
+    listed = cue_lists(cues, by).withColumn("marked", marked).withColumn("starts", F.aggregate("marked", begin, step, lambda s: s["starts"]))
     until = lambda i: F.coalesce(F.get(F.col("starts"), i + 1), F.size("cues"))
-    windows = listed.select(key_col, F.posexplode(F.transform("starts", lambda a, i: F.slice("cues", a + 1, until(i) - a))).alias("chunk_idx", "w"))
+    windows = listed.select(*by, F.posexplode(F.transform("starts", lambda a, i: F.slice("cues", a + 1, until(i) - a))).alias("chunk_idx", "w"))
     return windows.select(
-        key_col, "chunk_idx", F.get("w", F.lit(0))["start"].alias("start"), F.element_at("w", -1)["end"].alias("end"), F.size("w").alias("n_cues"),
+        *by, "chunk_idx", F.get("w", F.lit(0))["start"].alias("start"), F.element_at("w", -1)["end"].alias("end"), F.size("w").alias("n_cues"),
         F.array_join(F.transform("w", lambda c: c["text"]), " ").alias("text"),
     )
 
 
+def _streamed(cues: DataFrame, by: list[str], most: float) -> DataFrame:
+    """As _folded, for segments (no gap within) too long to be listed: a task streams one in order and holds its open window only."""
+    slim = cues.select(*by, F.col("idx").cast("int").alias("idx"), F.col("start").cast("double").alias("start"), F.col("end").cast("double").alias("end"), F.col("text").cast("string").alias("text"))
+    slim = slim.withColumns({"sentence": T.ends_sentence(F.col("text")), "clause": T.ends_clause(F.col("text"))})
+    kinds = ", ".join(f"`{c}` {slim.schema[c].dataType.simpleString()}" for c in by)
+
+    def fold(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, held, n, done = None, [], 0, []
+
+        def close(k: int) -> None:
+            nonlocal held, n
+            w, held = held[:k], held[k:]
+            done.append((*own, n, w[0].start, w[-1].end, len(w), " ".join(c.text for c in w if c.text is not None)))
+            n += 1
+
+        for part in parts:
+            for c in part.itertuples(index=False):
+                if own != (now := tuple(getattr(c, k) for k in by)):
+                    if held:
+                        close(len(held))
+                    own, n = now, 0
+                if held and c.end - held[0].start > most:
+                    ends = [k for k, h in enumerate(held) if h.sentence] or [k for k, h in enumerate(held) if h.clause] or [len(held) - 1]
+                    close(ends[-1] + 1)
+                held.append(c)
+            if done:
+                yield pd.DataFrame(done, columns=[*by, "chunk_idx", "start", "end", "n_cues", "text"])
+                done = []
+        if held:
+            close(len(held))
+            yield pd.DataFrame(done, columns=[*by, "chunk_idx", "start", "end", "n_cues", "text"])
+
+    dealt = slim.repartition(*by).sortWithinPartitions(*by, "idx")
+    return dealt.mapInPandas(fold, f"{kinds}, chunk_idx int, start double, end double, n_cues int, text string")
+
+
+def _hot(df: DataFrame, key_col: str, most: int) -> DataFrame | None:
+    """The keys of more than `most` rows, a row each, or None."""
+    keys = written(df.groupBy(key_col).agg(F.count("*").alias("n")).where(F.col("n") > most).select(F.col(key_col).alias("_hot")), "hot")
+    return None if keys.isEmpty() else keys
+
+
+def _of(df: DataFrame, keys: DataFrame, key_col: str, how: str) -> DataFrame:
+    return df.join(F.broadcast(keys), F.col(key_col) == F.col("_hot"), how)  # rows / MAX_CUES keys at most
+
+
+def group_cues(cues: DataFrame, key_col: str = "video", most: float = MAX_DURATION, gap: float = GAP, most_cues: int = MAX_CUES) -> DataFrame:
+    """key, chunk_idx, start, end, n_cues, text: greedy windows.
+
+    A gap above `gap` ends a window. One that would grow beyond `most` is cut after its last sentence end,
+    else its last clause end, else whole; what is left opens the next and is not checked again.
+
+    A video of up to `most_cues` cues is one list. A longer one is cut at its gaps, where the fold begins anew anyway, into
+    segments, found over ranges of its cues; segments are lists too, or, if still longer, streamed through a task in order."""
+    keys = _hot(cues, key_col, most_cues)
+    if keys is None:
+        return _folded(cues, [key_col], most, gap)
+    short = _folded(_of(cues, keys, key_col, "left_anti"), [key_col], most, gap)
+    long = _of(cues, keys, key_col, "left_semi").select(key_col, "idx", "start", "end", "text")
+    before = scanned(long, [key_col], [F.col("idx")], {"_before": ("last", F.col("end"), False)})
+    torn = F.coalesce((F.col("start") - F.col("_before") > gap).cast("int"), F.lit(1))
+    pieces = scanned(before, [key_col], [F.col("idx")], {"segment": ("sum", torn, True)}).drop("_before")
+    pieces = written(pieces, "segments")
+    by = [key_col, "segment"]
+    sizes = written(pieces.groupBy(*by).agg(F.count("*").alias("_n")), "sizes")
+    whole = pieces.join(sizes.where(F.col("_n") <= most_cues).select(*by), by, "left_semi")
+    rest = sizes.where(F.col("_n") > most_cues).select(*by)
+    found = _folded(whole, by, most, gap)
+    if not rest.isEmpty():
+        found = found.unionByName(_streamed(pieces.join(F.broadcast(rest), by, "left_semi"), by, most))
+    found = written(found, "windows")
+    counts = found.groupBy(*by).agg(F.count("*").alias("_w"))
+    offsets = scanned(counts, [key_col], [F.col("segment")], {"_offset": ("sum", F.col("_w"), False)}).select(*by, F.coalesce("_offset", F.lit(0)).alias("_offset"))
+    placed = found.join(offsets, by).withColumn("chunk_idx", (F.col("chunk_idx") + F.col("_offset")).cast("int"))
+    return short.unionByName(placed.select(*short.columns))
+
+
 def gap_sessions(df: DataFrame, key_cols: list[str], order_cols: list[str], start: Column, end: Column, threshold) -> DataFrame:
     """df with session: from 0, it grows where a row starts more than threshold after the end of the one before."""
     order = Window.partitionBy(*key_cols).orderBy(*order_cols)
@@ -120,19 +201,38 @@ def shifts(bounds: DataFrame, least: float = 0.05) -> DataFrame:
     return bounds.where(F.abs("shift") > least)
 
 
-def reassign(cues: DataFrame, chunks: DataFrame, key_col: str = "video") -> DataFrame:
+def reassign(cues: DataFrame, chunks: DataFrame, key_col: str = "video", most_cues: int = MAX_CUES) -> DataFrame:
     """key, chunk_idx, n_cues, text by the chunks' final ends: a cue goes to the first chunk that ends after it
-    starts, else to the last, and never before the chunk of a cue ahead of it."""
+    starts, else to the last, and never before the chunk of a cue ahead of it.
+
+    Videos of more than `most_cues` cues are scanned by ranges of time and of cues, which carry what came before."""
+    keys = _hot(cues, key_col, most_cues)
+    if keys is None:
+        placed = _placed(cues, chunks, key_col, False)
+    else:
+        sides = [[_of(x, keys, key_col, how) for x in (cues, chunks)] for how in ("left_anti", "left_semi")]
+        placed = _placed(*sides[0], key_col, False).unionByName(_placed(*sides[1], key_col, True))
+    said = F.array_sort(F.collect_list(F.struct("idx", "text")))
+    return placed.groupBy(key_col, "chunk_idx").agg(F.count("*").alias("n_cues"), F.array_join(F.transform(said, lambda x: x["text"]), " ").alias("text"))
+
+
+def _placed(cues: DataFrame, chunks: DataFrame, key_col: str, by_ranges: bool) -> DataFrame:
+    """key, idx, text, chunk_idx of cues of videos that have chunks."""
     cue = cues.select(key_col, F.col("start").cast("double").alias("at"), F.lit(0).alias("kind"), F.col("idx").cast("int").alias("idx"), F.col("text").cast("string").alias("text"), F.lit(None).cast("int").alias("chunk_idx"))
     end = chunks.select(key_col, F.col("chunk_end").cast("double").alias("at"), F.lit(1).alias("kind"), F.lit(None).cast("int").alias("idx"), F.lit(None).cast("string").alias("text"), F.col("chunk_idx").cast("int").alias("chunk_idx"))
+    rows = cue.unionByName(end)
     # from the latest time on, the least chunk met so far is the first that ends later; at equal times cues come first
-    later = Window.partitionBy(key_col).orderBy(F.desc("at"), "kind").rowsBetween(Window.unboundedPreceding, 0)
-    rows = cue.unionByName(end).withColumns({"first": F.min("chunk_idx").over(later), "last": F.max("chunk_idx").over(Window.partitionBy(key_col))})
-    placed = rows.where((F.col("kind") == 0) & F.col("last").isNotNull()).withColumn("first", F.coalesce("first", "last"))
+    if by_ranges:
+        ends = chunks.groupBy(F.col(key_col).alias("_key")).agg(F.max("chunk_idx").cast("int").alias("last"))
+        rows = scanned(rows, [key_col], [F.desc("at"), F.col("kind"), F.col("idx"), F.col("chunk_idx")], {"first": ("min", F.col("chunk_idx"), True)}).join(F.broadcast(ends), F.col(key_col) == F.col("_key")).drop("_key")
+    else:
+        later = Window.partitionBy(key_col).orderBy(F.desc("at"), "kind").rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.withColumns({"first": F.min("chunk_idx").over(later), "last": F.max("chunk_idx").over(Window.partitionBy(key_col))})
+    placed = rows.where((F.col("kind") == 0) & F.col("last").isNotNull()).withColumn("first", F.coalesce("first", "last")).select(key_col, "idx", "text", "first")
+    if by_ranges:
+        return scanned(placed, [key_col], [F.col("idx")], {"chunk_idx": ("max", F.col("first"), True)}).select(key_col, "idx", "text", "chunk_idx")
     ahead = Window.partitionBy(key_col).orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
-    placed = placed.withColumn("chunk_idx", F.max("first").over(ahead))
-    said = F.array_sort(F.collect_list(F.struct("idx", "text")))
-    return placed.groupBy(key_col, "chunk_idx").agg(F.count("*").alias("n_cues"), F.array_join(F.transform(said, lambda x: x["text"]), " ").alias("text"))
+    return placed.select(key_col, "idx", "text", F.max("first").over(ahead).alias("chunk_idx"))
 
 
 def tumbling(df: DataFrame, duration_col: str = "duration", most: float = MAX_DURATION, least: float = 1.0) -> DataFrame:

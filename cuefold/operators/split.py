@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cuefold.operators.numbering import scanned
+
 
 def ranked_groups(rows: DataFrame, group: str, rich: Column, pos: str = "pos") -> DataFrame:
-    """group, n, rich, fraction, first, rank, before, n_groups, total: one row for each group."""
+    """group, n, rich, fraction, first, rank, before, n_groups, total: one row for each group. Ranks and running sums come from ranges, so there may be as many groups as rows."""
     sums = rows.groupBy(group).agg(F.count("*").alias("n"), F.count_if(rich).alias("rich"), F.min(pos).alias("first"))
     sums = sums.withColumn("fraction", F.col("rich") / F.col("n"))
-    order = Window.orderBy(F.desc("fraction"), F.desc("rich"), F.desc("n"), F.asc("first"))
-    every = Window.partitionBy()
-    return sums.select(
-        "*", F.row_number().over(order).alias("rank"), (F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before"),
-        F.count("*").over(every).alias("n_groups"), F.sum("n").over(every).alias("total"),
-    )
+    order = [F.desc("fraction"), F.desc("rich"), F.desc("n"), F.asc("first")]
+    ranked = scanned(sums, [], order, {"rank": ("sum", F.lit(1), True), "before": ("sum", F.col("n"), False)})
+    n_groups, total = sums.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    return ranked.withColumns({"rank": F.col("rank").cast("int"), "before": F.coalesce("before", F.lit(0)), "n_groups": F.lit(n_groups), "total": F.lit(total)})
 
 
 def held_groups(rows: DataFrame, group: str, rich: Column, share: float = 0.1, pos: str = "pos") -> DataFrame:
