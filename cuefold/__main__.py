@@ -74,6 +74,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--out")
     p = commands.add_parser("evaluate", help="word error rates of a Parquet table of predictions")
     p.add_argument("predictions")
+    p.add_argument("--sidecar", help="of predictions that hold no buckets: an array of episode, sentence and buckets in their order")
     p.add_argument("--which", choices=("base", "finetuned", "both"), default="both")
     p.add_argument("--out")
     return top
@@ -143,7 +144,13 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
         text = spark.range(1).select(prompt).first()[0]
         sinks.text(spark, text, a.out) if a.out else print(text)
     elif a.command == "evaluate":
-        rows = pipelines.evaluate(spark.read.parquet(a.predictions), a.which)
+        given = spark.read.parquet(a.predictions)
+        if "buckets" in given.columns and not a.sidecar:
+            rows = pipelines.evaluate(given, a.which)
+        else:
+            rows, why = pipelines.evaluate_with_sidecar(given, files.sidecar(spark, a.sidecar) if a.sidecar else None, a.which)
+            if why:
+                print(f"overall rates only: {why}")
         sinks.metrics(rows, a.out) if a.out else rows.show(1000, truncate=False)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cuefold.functions.replacements import replace_chain  # noqa: F401
+
 # The normaliser's phrases and rules, (label, pattern, replacement) in order.
 SALAWAT = "صَلَّى اللَّهُ عَلَيْهِ وَسَلَّمَ"
 ALAYHISSALAM = "عَلَیْہِ السَّلَام"
@@ -23,6 +25,7 @@ WER_PUNCTUATION = "[۔،؛؟!?.,:;\"'“”‘’()\\-—…]"
 SENTENCE_END = r"(?U)[۔؟!]\s*$"
 CLAUSE_END = r"(?U)،\s*$"
 LATIN_RUN = "[A-Za-z]{2,}"
+# The sentence that opens a prompt.
 CARRIER = "آج کی گفتگو روحانیت اور تصوف کے بارے میں ہے۔"
 
 SPACE = r"[\s\x1c-\x1f]"
@@ -122,14 +125,6 @@ def wer_text(text: Column) -> Column:
     return strip(F.regexp_replace(F.regexp_replace(text, WER_PUNCTUATION, " "), f"(?U){SPACE}+", " "))
 
 
-def replace_chain(text: Column, pairs: list[tuple[str, str]]) -> Column:
-    """Literal replacements in order, each on the result of the one before; no word boundaries."""
-    if not pairs:
-        return text
-    table = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in pairs])
-    return F.aggregate(table, text, lambda done, p: F.replace(done, p["k"], p["v"]))
-
-
 def correct_ci(text: Column, corrections: dict[str, str]) -> Column:
     """Substrings replaced whatever their case, in order."""
     for wrong, right in corrections.items():

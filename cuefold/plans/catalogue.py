@@ -90,7 +90,10 @@ def normalize_wer_text(spark, sf_dir):
     return V.clips_ur(spark, sf_dir).select("pos", F.md5(T.wer_text(F.col("transcript"))).alias("text_md5"))
 
 
+_SYLLABLES = "the of and in re en ch is le que ion ant ent ver"
+#: 165 pairs, some of which make keys of later ones: a few words, then every two syllables in upper case or cut short.
 _CHAIN = [("the ", "ذ "), ("tion", "شن"), ("شن of", "شنِ"), (" la ", " لا "), ("er", "ر")]
+_CHAIN += [(a + b, (b + a).upper() if (len(a) + len(b)) % 2 else b) for a in _SYLLABLES.split() for b in _SYLLABLES.split() if a != b][:160]
 
 
 def _chain_sql(column: str) -> str:
@@ -614,6 +617,18 @@ def sidecar_zip_align(spark, sf_dir):
     return M.aligned(sidecar, rows)
 
 
+@query(f"""WITH {V.CLIPS}, {_held_sql(0.12)}, e AS (SELECT row_number() OVER (ORDER BY pos) - 1 AS pos, transcript FROM split WHERE split = 'eval'), s AS (SELECT pos, CASE WHEN pos > 20 AND pos % 17 = 0 THEN transcript || 'x' ELSE transcript END AS sentence FROM e WHERE pos % 1000 <> 999)
+SELECT (SELECT count(*) FROM s) AS n_sidecar, (SELECT count(*) FROM e) AS n_rows, (SELECT min(e.pos) FROM e LEFT JOIN s USING (pos) WHERE s.sentence IS DISTINCT FROM e.transcript) AS first_pos""")
+def sidecar_first_difference(spark, sf_dir):
+    """Where a sidecar departs from its dataset, by digests of ranges."""
+    rows = _split(spark, sf_dir).where("split = 'eval'").select("pos", F.col("transcript").alias("sentence"))
+    rows = numbered(rows.withColumnRenamed("pos", "at"), [F.col("at")], "pos").select((F.col("pos") - 1).alias("pos"), "sentence")
+    rows = written(rows, "held")
+    changed = (F.col("pos") > 20) & (F.col("pos") % 17 == 0)
+    sidecar = rows.where("pos % 1000 <> 999").withColumn("sentence", F.when(changed, F.concat("sentence", F.lit("x"))).otherwise(F.col("sentence")))
+    return M.alignment(sidecar, rows, ranges=16)
+
+
 @query("""WITH b AS (SELECT conv_id, turn, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) // 3 AS batch, text FROM conversations)
 SELECT conv_id, CAST(batch AS INTEGER) AS batch, count(*) AS rows, CAST(max(length(text)) AS INTEGER) AS longest FROM b GROUP BY conv_id, batch""")
 def mini_batches(spark, sf_dir):

@@ -19,6 +19,8 @@ from cuefold.sources import files, sinks
 from cuefold.storage import written
 
 MAX_PATHS = 100_000
+#: Models that are evaluated together.
+MAX_MODELS = 100
 
 
 _CHUNKS = "video_id string, chunk_idx int, chunk_start double, chunk_end double, duration double, transcript string, samples binary, rate double"
@@ -200,6 +202,26 @@ def evaluate(predictions: DataFrame, which: str = "both") -> DataFrame:
     return raw.join(norm, "model").unionByName(by)
 
 
+def evaluate_with_sidecar(predictions: DataFrame, sidecar: DataFrame | None, which: str = "both") -> tuple[DataFrame, str | None]:
+    """As evaluate, of predictions (model, pos, reference, prediction) and the sidecar (pos, sentence, buckets) as they come; and
+    why the rates are overall only, if they are: there is no sidecar, or some model's references aren't its sentences."""
+    rows = predictions if which == "both" else predictions.where(F.col("model") == which)
+    why = None if sidecar is not None else "no sidecar"
+    if why is None:
+        for model in [r.model for r in rows.select("model").distinct().limit(MAX_MODELS).collect()]:
+            own = rows.where(F.col("model").eqNullSafe(model)).select("pos", F.col("reference").alias("sentence"))
+            first = M.first_difference(sidecar.select("pos", "sentence"), own)
+            if first is not None:
+                n = sidecar.count(), own.count()
+                why = f"{model}: the sidecar has {n[0]} rows, the predictions {n[1]}; they differ first at position {first}"
+                break
+    if why is None:
+        joined = rows.drop("buckets").join(sidecar.select("pos", "buckets"), "pos")
+    else:
+        joined = rows.withColumn("buckets", F.array().cast("array<string>"))
+    return evaluate(joined), why
+
+
 def transcribe(spark: SparkSession, paths: list[str], load: Callable, label: str) -> DataFrame:
     """path, transcript, error, out: a caller's model over whole files, those that don't exist skipped; out is stem_label.txt."""
     rows = models.transcribe_bytes(files.listed(spark, paths), load)
