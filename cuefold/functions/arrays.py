@@ -1,4 +1,4 @@
-"""Array expressions: padding, masks, and word edit distance without a UDF."""
+"""Arrays: padding and masks as expressions, and word edit distance in Arrow batches."""
 
 from __future__ import annotations
 
@@ -6,11 +6,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cuefold.columns import free
+
 IGNORED = -100
 
 
 def pad_and_mask(df: DataFrame, batch_col: str, labels_col: str, bos: int, ignored: int = IGNORED) -> DataFrame:
     """labels padded with `ignored` to the longest of the batch; a start token that all rows have is dropped."""
+    free(df, "_width", "_bos")
     size = F.size(labels_col)
     sums = df.groupBy(batch_col).agg(F.max(size).alias("_width"), F.every(F.coalesce(F.get(F.col(labels_col), F.lit(0)) == bos, F.lit(False))).alias("_bos"))
     own = df.join(sums, batch_col)

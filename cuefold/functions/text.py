@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cuefold.columns import free
 from cuefold.functions.replacements import replace_chain  # noqa: F401
 
 # The normaliser's phrases and rules, (label, pattern, replacement) in order.
@@ -73,9 +74,7 @@ def normalise(df: DataFrame, text_col: str = "transcript", rules=RULES) -> DataF
 
     Each rule sees the result of the one before. Runs of spaces collapse last. A text that no rule
     touches stays as it is, spaces too; null stays null. Columns of those names in df raise."""
-    taken = {c.lower() for c in df.columns} & {"hits", "changed", *(f"_{x}{k}" for x in "nt" for k in range(len(rules)))}
-    if taken:
-        raise ValueError(f"rename these columns before: {sorted(taken)}")
+    free(df, "hits", "changed", *[f"_{x}{k}" for x in "nt" for k in range(len(rules))])
     out, at, counts = df, text_col, []
     for k, (_, pattern, replacement) in enumerate(rules):  # one column for each step, so that none is computed twice
         out = out.withColumn(f"_t{k}", _rewritten(F.col(at), pattern, replacement))

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cuefold.columns import free
 from cuefold.functions import signal as S
 from cuefold.functions import text as T
 from cuefold.operators.numbering import scanned
@@ -174,6 +175,7 @@ def group_cues(cues: DataFrame, key_col: str = "video", most: float = MAX_DURATI
 
 def gap_sessions(df: DataFrame, key_cols: list[str], order_cols: list[str], start: Column, end: Column, threshold) -> DataFrame:
     """df with session: from 0, it grows where a row starts more than threshold after the end of the one before."""
+    free(df, "session", "_torn")
     order = Window.partitionBy(*key_cols).orderBy(*order_cols)
     torn = F.coalesce((start - F.lag(end).over(order)) > threshold, F.lit(False)).cast("int")
     return df.withColumn("_torn", torn).withColumn("session", F.sum("_torn").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_torn")
@@ -184,6 +186,7 @@ def boundaries(windows: DataFrame, key_col: str = "video", gap: float = GAP, pad
 
     The first window opens `pad` early and the last closes `pad` late, within the signal. Over a gap above
     `gap` each side keeps its own boundary; else neighbours share one. `snapped(nominal, until)` moves it."""
+    free(windows, "gap", "shift", "chunk_start", "chunk_end", "_next")
     order = Window.partitionBy(key_col).orderBy("chunk_idx")
     following, snap = F.lead("start").over(order), snapped or (lambda nominal, until: nominal)
     rows = windows.withColumn("gap", following - F.col("end")).withColumn("_next", following)
@@ -237,6 +240,7 @@ def _placed(cues: DataFrame, chunks: DataFrame, key_col: str, by_ranges: bool) -
 
 def tumbling(df: DataFrame, duration_col: str = "duration", most: float = MAX_DURATION, least: float = 1.0) -> DataFrame:
     """df with slice, slice_start, slice_length: int(duration / most) + 1 slices where it is longer, those of `least` and more."""
+    free(df, "slice", "slice_start", "slice_length")
     d = F.col(duration_col)
     n = F.when(d > most, F.floor(d / most)).otherwise(0).cast("int")
     rows = df.withColumn("slice", F.explode(F.sequence(F.lit(0), n))).withColumn("slice_start", F.col("slice") * F.lit(most))
@@ -245,6 +249,7 @@ def tumbling(df: DataFrame, duration_col: str = "duration", most: float = MAX_DU
 
 def sliding(df: DataFrame, duration_col: str = "duration", window: float = MAX_DURATION, strides: tuple[float, float] = (4.0, 2.0)) -> DataFrame:
     """df with window, window_start, window_end: overlapping windows up to the first that reaches the end."""
+    free(df, "window", "window_start", "window_end")
     d, step = F.col(duration_col), window - sum(strides)
     n = F.when(d <= window, 0).otherwise(F.ceil((d - window) / step)).cast("int")
     rows = df.withColumn("window", F.explode(F.sequence(F.lit(0), n))).withColumn("window_start", F.col("window") * F.lit(step))

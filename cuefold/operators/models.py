@@ -8,11 +8,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cuefold.batches import bounded
+from cuefold.columns import free
 from cuefold.functions import arrays
 
 
 def batches(rows: DataFrame, key: list[str], order: list[str], size: int = 8) -> DataFrame:
     """rows with batch, from 0, of `size` rows each within a key."""
+    free(rows, "batch")
     place = F.row_number().over(Window.partitionBy(*key).orderBy(*order)) - 1
     return rows.withColumn("batch", F.floor(place / size).cast("int"))
 
@@ -21,9 +24,7 @@ def apply_model(rows: DataFrame, column: str, load: Callable[[], Callable], out:
     """rows with `out` and `error`: what the function that `load` makes (once a task) gives for lists of `size` values.
 
     Where a list fails its values are tried one by one; a value that fails has its error. Columns of those names in rows raise."""
-    taken = {c.lower() for c in rows.columns} & {out.lower(), "error"}
-    if taken:
-        raise ValueError(f"rename these columns before: {sorted(taken)}")
+    free(rows, out, "error")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + f", `{out}` {out_type}, error string"
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -45,7 +46,7 @@ def apply_model(rows: DataFrame, column: str, load: Callable[[], Callable], out:
                     found += [one(v) for v in values]
             yield part.assign(**{out: [f[0] for f in found], "error": [f[1] for f in found]})
 
-    return rows.mapInPandas(run, schema)
+    return bounded(rows).mapInPandas(run, schema)
 
 
 def transcribe_paths(paths: DataFrame, load: Callable[[], Callable], path_col: str = "path", size: int = 8) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cuefold.columns import free
 from cuefold.storage import written
 
 _IN_PARTITION = 33  # bits of monotonically_increasing_id that count within a partition
@@ -15,6 +16,7 @@ def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
 
     Rows are sorted by ranges and keep their place in their range; the ranges' sizes, one row for each
     partition, give the offsets."""
+    free(df, name, "_at", "_part", "_before")
     rows = written(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "numbered")
     sizes = rows.groupBy(F.shiftright("_at", _IN_PARTITION).alias("_part")).agg(F.count("*").alias("_n"))
     before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
@@ -38,6 +40,7 @@ def scanned(df: DataFrame, key: list[str], order: list[Column], scans: dict[str,
     Rows are sorted by key and `order` (total within a key) into ranges of like size, so a key that holds most rows fills many of
     them. Each range is scanned on its own; what a key carries into a range is the aggregate of its earlier ranges. Only the first
     key of a range has any, so what is carried is a row for each range at most, and is broadcast. `last` is for values without nulls."""
+    free(df, *scans, "_at", "_part", "_of", *[f"_{x}{i}" for x in "xc" for i in range(len(scans))], *[f"_k{j}" for j in range(len(key))])
     columns = {f"_x{i}": x for i, (_, x, _) in enumerate(scans.values())}
     rows = written(df.withColumns(columns).orderBy(*key, *order).withColumn("_at", F.monotonically_increasing_id()), "sorted")
     rows = rows.withColumn("_part", F.shiftright("_at", _IN_PARTITION))

@@ -8,12 +8,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
+from cuefold.batches import bounded
+from cuefold.columns import free
 from cuefold.functions import ids
 from cuefold.functions import text as T
-from cuefold.operators.numbering import numbered
-from cuefold.storage import gathered
+from cuefold.operators.numbering import numbered, scanned
+from cuefold.storage import gathered, written
 
 #: Characters of the terms that a worker holds at once.
 MAX_TERM_CHARS = 20_000_000
@@ -68,6 +70,7 @@ def merge_lookups(lookups: DataFrame, key: list[str] = KEY) -> DataFrame:
 
 def join_back(reviewed: DataFrame, lookup: DataFrame, root: Column, key: list[str] = KEY) -> DataFrame:
     """reviewed with its local path, else the path that its key spells, and whether it matched. No row goes."""
+    free(reviewed, "matched", "audio_path", "_local")
     local = lookup.select(*key, F.col("audio_path").alias("_local"))
     rows = reviewed.join(local, key, "left")
     spelled = ids.audio_path(root, F.col("episode"), F.col("yt_id"), F.col("chunk_index"))
@@ -135,31 +138,37 @@ def _automaton(terms: list[tuple]) -> tuple[object | None, list]:
 def term_matches(docs: DataFrame, terms: DataFrame, doc_id: str, text_col: str, term_id: str, term_col: str, most: int = MAX_TERM_CHARS) -> DataFrame:
     """doc_id, term_id for every row of docs and of terms where the term is a substring of the text.
 
-    The terms become an automaton that every worker holds, and each text is read once, where it lies. Terms of
-    more than `most` characters together are dealt to several automata, one after the other. Null texts and
+    The terms become an automaton that every worker holds, and each text is read once, where it lies. Where all rows of terms
+    have more than `most` characters together, the distinct terms are numbered, dealt in order to automata of about `most`
+    characters, one after the other, and the ids of their rows are joined to what matched. Null texts and
     terms match nothing, an empty term every text; rows that repeat match each."""
     t = terms.select(F.col(term_id).alias("_id"), F.col(term_col).cast("string").alias("_term")).where(F.col("_term").isNotNull())
     d = docs.select(F.col(doc_id).alias("_doc"), F.col(text_col).cast("string").alias("_text")).where(F.col("_text").isNotNull())
-    kinds = StructType([StructField(doc_id, d.schema["_doc"].dataType), StructField(term_id, t.schema["_id"].dataType)])
-    id_kind = to_arrow_type(kinds[1].dataType)
-    chars = t.agg(F.coalesce(F.sum(F.length("_term") + 16), F.lit(0))).first()[0]
-    parts = max(1, -(-chars // most))
-
-    def part(k: int) -> DataFrame:
-        own = t if parts == 1 else t.where(F.pmod(F.xxhash64("_term"), F.lit(parts)) == k)
-        known = [tuple(r) for r in own.collect()]  # about `most` characters
-
-        def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            automaton, empty = _automaton(known)
-            for batch in batches:
-                rows, matched = [], []
-                for i, text in enumerate(batch.column(1).to_pylist()):
-                    held = {term: own_ids for _, (term, own_ids) in automaton.iter(text)} if automaton else {}
-                    for own_ids in (empty, *held.values()):
-                        rows += [i] * len(own_ids)
-                        matched += own_ids
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(matched, id_kind)], [doc_id, term_id])
-
-        return d.mapInArrow(found, kinds)
-
-    return part(0) if parts == 1 else gathered((part(k) for k in range(parts)), "terms")
+    size = F.length("_term") + 16
+    if t.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] <= most:
+        return _found(d, [tuple(r) for r in t.collect()], doc_id, term_id, t.schema["_id"].dataType)
+    numbers = scanned(t.select("_term").distinct(), [], [F.col("_term")], {"_number": ("sum", F.lit(1), True), "_before": ("sum", size, False)})
+    numbers = written(numbers.withColumn("_part", (F.coalesce("_before", F.lit(0)) / most).cast("int")).select("_number", "_term", "_part"), "terms")
+    parts = sorted(r[0] for r in numbers.select("_part").distinct().collect())  # a number for each automaton
+    each = (_found(d, [tuple(r) for r in numbers.where(F.col("_part") == k).select("_number", "_term").collect()], "_doc", "_number", numbers.schema["_number"].dataType) for k in parts)
+    ids_ = t.join(numbers, "_term").select("_number", "_id")
+    return gathered(each, "matches").join(ids_, "_number").select(F.col("_doc").alias(doc_id), F.col("_id").alias(term_id))
+
+
+def _found(d: DataFrame, known: list[tuple], doc_id: str, term_id: str, term_kind: DataType) -> DataFrame:
+    """doc_id, term_id of texts (_doc, _text) that hold one of the known terms (id, term)."""
+    kinds = StructType([StructField(doc_id, d.schema["_doc"].dataType), StructField(term_id, term_kind)])
+    id_kind = to_arrow_type(term_kind)
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton, empty = _automaton(known)
+        for batch in batches:
+            rows, matched = [], []
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                held = {term: own_ids for _, (term, own_ids) in automaton.iter(text)} if automaton else {}
+                for own_ids in (empty, *held.values()):
+                    rows += [i] * len(own_ids)
+                    matched += own_ids
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(matched, id_kind)], [doc_id, term_id])
+
+    return bounded(d).mapInArrow(found, kinds)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cuefold.columns import free
 from cuefold.operators.numbering import scanned
 
 
@@ -39,6 +40,7 @@ def forced_groups(rows: DataFrame, group: str, forced: list[str], short_labels:
 
 def split_rows(rows: DataFrame, held: DataFrame, group: str) -> DataFrame:
     """rows with split: eval for held groups, else train."""
+    free(rows, "split", "_held")
     return rows.join(held.withColumn("_held", F.lit(True)), group, "left").withColumn("split", F.when(F.col("_held"), "eval").otherwise("train")).drop("_held")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cuefold import schemas
+from cuefold.batches import bounded
 from cuefold.functions import ids
 from cuefold.operators import signals
 from cuefold.operators.numbering import numbered
@@ -167,7 +168,7 @@ def audio(spark: SparkSession, path: str | list[str], rate: int = 16_000, decode
                 yield pd.DataFrame([row], columns=["video", "rate", "samples", "error"])
 
     files = spark.read.format("binaryFile").load(path).select(ids.stem(F.col("path")).alias("video"), "content")
-    return files.mapInPandas(decoded, "video string, rate int, samples array<double>, error string")
+    return bounded(files).mapInPandas(decoded, "video string, rate int, samples array<double>, error string")
 
 
 _PROBED = "path string, video string, rate int, channels int, frames long, duration double, error string"
@@ -239,7 +240,7 @@ def audio_blocks(
 
     if decode is not None:
         files = spark.read.format("binaryFile").load(path).select(ids.stem(F.col("path")).alias("video"), "content")
-        return files.mapInPandas(whole, _BLOCKS)
+        return bounded(files).mapInPandas(whole, _BLOCKS)
     total = F.when(F.col("rate") == rate, F.col("frames")).otherwise(F.floor(F.col("frames") * F.lit(rate) / F.col("rate"))).cast("long")
     found = probe(spark, path, open_).withColumn("total", total)
     blocks = found.select("path", "video", "total", "error", F.explode(F.when(F.col("error").isNull(), F.sequence(F.lit(0).cast("long"), F.expr(f"greatest(total - 1, 0) div {size}"))).otherwise(F.array(F.lit(0).cast("long")))).alias("block"))

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cuefold.batches import bounded
 from cuefold.storage import written
 
 _TOKENS = re.compile(r'\\.|"', re.DOTALL)
@@ -92,7 +93,7 @@ def _effects(pieces: DataFrame) -> DataFrame:
         if out:
             yield table()
 
-    return pieces.mapInArrow(read, "file string, start long, turned boolean, depth0 int, commas0 map<int,bigint>, depth1 int, commas1 map<int,bigint>")
+    return bounded(pieces).mapInArrow(read, "file string, start long, turned boolean, depth0 int, commas0 map<int,bigint>, depth1 int, commas1 map<int,bigint>")
 
 
 def _entries(effects: DataFrame) -> DataFrame:

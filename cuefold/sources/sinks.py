@@ -5,7 +5,8 @@ from __future__ import annotations
 import io
 import uuid
 import wave
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import BinaryIO
 
 import numpy as np
 import pandas as pd
@@ -13,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
+from cuefold.batches import bounded
 from cuefold.operators import signals
-from cuefold.sources import json_arrays, ledger
+from cuefold.sources import json_arrays, ledger, wav
 
 def json_lines(rows: DataFrame, path: str) -> None:
     """The scalable manifest: a folder of JSON lines, written in parallel."""
@@ -99,7 +101,7 @@ def waves(rows: DataFrame) -> DataFrame:
             content = [encode_wav(s, r) for s, r in zip(part["samples"], part["rate"], strict=True)]
             yield part[[f.name for f in others]].assign(content=content)
 
-    return rows.mapInPandas(encoded, StructType([*others, StructField("content", BinaryType())]))
+    return bounded(rows).mapInPandas(encoded, StructType([*others, StructField("content", BinaryType())]))
 
 
 def clips(chunks: DataFrame) -> DataFrame:
@@ -108,17 +110,13 @@ def clips(chunks: DataFrame) -> DataFrame:
     return waves(chunks.select("video", "chunk_idx", path.alias("path"), "samples", F.col("rate").cast("int").alias("rate")))
 
 
-def wav_files(clips: DataFrame, root: str) -> None:
-    """Each clip as a file below root, which must be a folder that all workers see. A retried task writes the same files again."""
+def wav_files(clips: DataFrame, root: str, create: Callable[[str], BinaryIO] = wav.create_file) -> None:
+    """Each clip as a file below root, in any store that Arrow knows; a local folder must be one that all workers see. A file is there
+    whole or not at all, and a retried task writes the same files again."""
 
     def put(rows) -> None:
-        import os
-
         for r in rows:
-            path = os.path.join(root, r.path)
-            os.makedirs(os.path.dirname(path), exist_ok=True)
-            with open(f"{path}.{os.getpid()}", "wb") as f:
+            with create(f"{root}/{r.path}") as f:
                 f.write(r.content)
-            os.replace(f"{path}.{os.getpid()}", path)
 
     clips.select("path", "content").foreachPartition(put)

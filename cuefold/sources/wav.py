@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
 import struct
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import BinaryIO, NamedTuple
 
 import numpy as np
@@ -26,12 +28,30 @@ def open_file(path: str) -> BinaryIO:
     """A file in any store that Arrow knows (local, HDFS, S3, GCS), at which a reader can seek."""
     from pyarrow import fs
 
-    if re.match("file:/+|/", path):
+    if re.match("file:/+|/", path) or "://" not in path:
         return open(re.sub("^file:/+", "/", path), "rb")
     store, at = fs.FileSystem.from_uri(path)
     return store.open_input_file(at)
 
 
+@contextmanager
+def create_file(path: str) -> Iterator[BinaryIO]:
+    """A new file in any store that Arrow knows. On a local disk it gets its name when it is whole; object stores do so themselves."""
+    from pyarrow import fs
+
+    if re.match("file:/+|/", path) or "://" not in path:
+        own = re.sub("^file:/+", "/", path)
+        beside = f"{own}.{os.getpid()}"
+        os.makedirs(os.path.dirname(own) or ".", exist_ok=True)
+        with open(beside, "wb") as f:
+            yield f
+        os.replace(beside, own)
+        return
+    store, at = fs.FileSystem.from_uri(path)
+    with store.open_output_stream(at) as f:
+        yield f
+
+
 def header(f: BinaryIO) -> Header:
     """What the chunks before the samples say. A file whose data chunk claims more than there is (a stream's header) ends where the file does."""
     if (top := f.read(12))[:4] != b"RIFF" or top[8:12] != b"WAVE":

@@ -9,6 +9,7 @@ import uuid
 import warnings
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,9 @@ from pyspark.sql.types import StructType
 
 _own: dict[str, str] = {}
 _written: list[tuple[SparkSession, str]] = []
+#: Who a table belongs to: the scopes and steps that its writer is in. Other threads have their own.
+_within: ContextVar[tuple[object, ...]] = ContextVar("cuefold_within", default=())
+_owners: dict[str, tuple[object, ...]] = {}
 #: The folder of each table that is still in use.
 _folder: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
@@ -35,6 +39,7 @@ def _path(spark: SparkSession, label: str) -> str:
         atexit.register(release)
     path = f"{shared_dir(spark)}/cuefold-{label}-{uuid.uuid4().hex}"
     _written.append((spark, path))
+    _owners[path] = _within.get()
     return path
 
 
@@ -66,36 +71,52 @@ def gathered(parts: Iterable[DataFrame], label: str) -> DataFrame:
     return _read(spark, schema, path)
 
 
+@contextmanager
+def _owned() -> Iterator[object]:
+    """What is written within, by this thread, belongs to the token that it gets."""
+    token = object()
+    before = _within.set((*_within.get(), token))
+    try:
+        yield token
+    finally:
+        _within.reset(before)
+
+
+def _taken(gone: Callable[[str], bool]) -> list[tuple[SparkSession, str]]:
+    """Tables that leave the list of what is to be deleted."""
+    found = [x for x in _written if gone(x[1])]
+    for x in found:
+        _written.remove(x)
+        _owners.pop(x[1], None)
+    return found
+
+
 def settled(make: Callable[[], DataFrame], label: str, *done: DataFrame) -> DataFrame:
     """What `make` returns as a table; the tables that were written on the way go, and so do those of `done` that are such tables themselves."""
-    before = len(_written)
-    out = written(make(), label)
-    between, _written[before:] = _written[before:-1], _written[-1:]
+    with _owned() as steps:
+        made = make()
+    out = written(made, label)
     folders = {_folder.get(d) for d in done}
-    spent = [x for x in _written if x[1] in folders]
-    for x in spent:
-        _written.remove(x)
-    _delete(between + spent)
+    _delete(_taken(lambda path: steps in _owners.get(path, ()) or path in folders))
     return out
 
 
 @contextmanager
 def scope() -> Iterator[None]:
-    """Tables written within go at its end, whatever happens; results must be consumed or written elsewhere before."""
-    before = len(_written)
-    try:
-        yield
-    finally:
-        release(before)
+    """Tables that this thread writes within go at its end, whatever happens; results must be consumed or written elsewhere before."""
+    with _owned() as own:
+        try:
+            yield
+        finally:
+            _delete(_taken(lambda path: own in _owners.get(path, ())))
 
 
-def release(keep: int = 0) -> None:
-    """Delete the tables that this process has written, but for the first `keep`. Their DataFrames can't be read afterwards.
+def release() -> None:
+    """Delete the tables that this process has written. Their DataFrames can't be read afterwards.
 
     A folder that can't be deleted (its session has ended, its store fails) does not keep the others; it is
     named in a warning. After a driver's loss, delete cuefold-* in the shared folder by hand."""
-    gone, _written[keep:] = _written[keep:], []
-    _delete(gone)
+    _delete(_taken(lambda path: True))
 
 
 def _delete(tables: list[tuple[SparkSession, str]]) -> None:

@@ -192,3 +192,15 @@ def test_edit_distance_by_brute_force():
         a = r.choices("abcde", k=r.randint(0, n))
         b = r.choices("abcdefg", k=r.randint(0, n)) if r.random() < 0.5 else [r.choice("xyz") if r.random() < 0.1 else x for x in a if r.random() < 0.9]
         assert arrays.edit_distance(a, b) == arrays.edit_distance(b, a) == brute(a, b)
+
+
+def test_term_matches_of_one_term_many_times(spark, monkeypatch):
+    """20,000 rows of one term are one term of an automaton; automata hold about `most` characters, and none is empty."""
+    docs = spark.createDataFrame([(1, "xx hot yy"), (2, "cold w17"), (3, "w17 w18")], "d long, x string")
+    terms = spark.range(20000).select("id", F.lit("hot").alias("y")).unionByName(spark.range(300).select((F.col("id") + 50000).alias("id"), F.concat(F.lit("w"), "id").alias("y")))
+    held, automaton = [], P._found
+    monkeypatch.setattr(P, "_found", lambda d, known, *rest: (held.append(sum(len(t) + 16 for _, t in known)), automaton(d, known, *rest))[1])
+    got = P.term_matches(docs, terms, "d", "x", "id", "y", most=1000)
+    assert got.where("d = 1").count() == 20000 and got.where("d = 1 AND id < 20000").distinct().count() == 20000
+    assert sorted(r.id - 50000 for r in got.where("d > 1").collect()) == [1, 1, 17, 17, 18]
+    assert len(held) == 7 and min(held) > 0 and max(held) < 1100

@@ -208,6 +208,24 @@ def test_columns_that_clash_are_named(spark):
         T.normalise(spark.createDataFrame([("a", 1)], "transcript string, hits int"))
 
 
+def test_names_that_operators_add_must_be_free(spark):
+    from pyspark.sql import functions as F
+
+    from cuefold.functions import arrays
+    from cuefold.operators import cues as C
+    from cuefold.operators import numbering, pairing, split
+
+    one = lambda *names: spark.range(1).select("id", *[F.lit(1).alias(n) for n in names])
+    for f in (
+        lambda: C.gap_sessions(one("Session"), ["id"], ["id"], F.col("id"), F.col("id"), 1), lambda: C.boundaries(one("gap")), lambda: C.tumbling(one("slice")), lambda: C.sliding(one("window")),
+        lambda: numbering.numbered(one("place"), [F.col("id")], "place"), lambda: numbering.scanned(one("_at"), [], [F.col("id")], {"n": ("sum", F.lit(1), True)}),
+        lambda: split.split_rows(one("SPLIT"), one("g"), "id"), lambda: pairing.join_back(one("matched"), one("audio_path"), F.lit("")), lambda: models.batches(one("batch"), ["id"], ["id"]),
+        lambda: arrays.pad_and_mask(one("_bos"), "id", "id", 1),
+    ):
+        with pytest.raises(ValueError, match="rename"):
+            f()
+
+
 def test_scope_of_shared_tables(spark):
     from cuefold import storage
 
@@ -237,3 +255,71 @@ def test_settled_tables(spark):
     assert (other.count(), second.count()) == (3, 3)
     left = [p for _, p in storage._written]
     assert not any("-first-" in p for p in left) and sum("-second-" in p for p in left) == 1
+
+
+def test_tables_of_other_threads_stay(spark):
+    """A scope and a settled step delete what their own thread wrote, whatever others write meanwhile."""
+    import threading
+
+    from cuefold import storage
+
+    kept, go, done = [], threading.Event(), threading.Event()
+
+    def other():
+        go.wait(60)
+        kept.append(storage.written(spark.range(4), "thread"))
+        with storage.scope():
+            gone.append(storage.written(spark.range(5), "thread"))
+        done.set()
+
+    gone: list = []
+    thread = threading.Thread(target=other)
+    thread.start()
+    with storage.scope():
+        own = storage.written(spark.range(3), "own")
+        go.set()
+        assert done.wait(60)
+        settled = storage.settled(lambda: storage.written(own, "step"), "settled", kept[0])  # kept is given as done: it goes
+        assert own.count() == settled.count() == 3
+    kept.clear()
+    thread.join()
+    before = storage.written(spark.range(2), "before")
+
+    def late():
+        kept.append(storage.written(spark.range(7), "late"))
+
+    with storage.scope():
+        thread = threading.Thread(target=late)
+        thread.start()
+        thread.join()
+    assert before.count() == 2 and kept[0].count() == 7
+    with pytest.raises(Exception):
+        gone[0].count()
+
+
+def test_small_functions(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from cuefold.functions import text as T
+    from cuefold.operators import cues as C
+
+    moved = spark.createDataFrame([(0.01,), (-0.2,), (0.06,)], "shift double")
+    assert sorted(r[0] for r in C.shifts(moved).collect()) == [-0.2, 0.06]
+    one = spark.createDataFrame([([(" a\n",), ("b ",)], 4500.0)], "chunks array<struct<text:string>>, s double")
+    assert tuple(one.select(T.chunks_to_text(F.col("chunks")), T.hours(F.col("s")), T.hours(F.lit(None).cast("double"))).first()) == ("a\nb", "1.25h", "0.00h")
+    (tmp_path / "c.json").write_text('{"data": {"dataset_path": "x"}}')
+    assert files.config(spark, str(tmp_path / "c.json"))["data"]["dataset_path"] == "x"
+    (tmp_path / "c.txt").write_text("a: 1")
+    try:
+        import yaml  # noqa: F401
+    except ImportError:
+        with pytest.raises(ValueError, match="PyYAML"):
+            files.config(spark, str(tmp_path / "c.txt"))
+    sinks.metrics(spark.createDataFrame([("base", 1.5, ["p"])], "model string, wer double, predictions array<string>"), str(tmp_path / "m"))
+    assert spark.read.json(str(tmp_path / "m")).columns == ["model", "wer"]
+    for name in ("b.mkv", "a.webm", "c.mp4", "d.txt"):
+        (tmp_path / name).write_bytes(b"x")
+    assert [r.path.rsplit("/", 1)[1] for r in files.videos(spark, str(tmp_path)).collect()] == ["c.mp4", "b.mkv", "a.webm"]
+    clips = spark.createDataFrame([("audio/v/a.wav", b"abc")], "path string, content binary")
+    sinks.wav_files(clips, f"file://{tmp_path}/out")
+    assert (tmp_path / "out" / "audio" / "v" / "a.wav").read_bytes() == b"abc" and len(list((tmp_path / "out" / "audio" / "v").iterdir())) == 1
