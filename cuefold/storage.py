@@ -8,12 +8,14 @@ import tempfile
 import uuid
 import warnings
 from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
+from pyspark.util import inheritable_thread_target
 
 _own: dict[str, str] = {}
 _written: list[tuple[SparkSession, str]] = []
@@ -71,6 +73,22 @@ def gathered(parts: Iterable[DataFrame], label: str) -> DataFrame:
     return _read(spark, schema, path)
 
 
+def gathered_together(spark: SparkSession, makes: list[Callable[[], DataFrame]], label: str, at_once: int) -> DataFrame:
+    """The rows of what all of `makes`, one at least, return, in one table. So many are made and written at once, each in a folder of its own, so the cluster isn't idle at the end of each."""
+    path = _path(spark, label)
+
+    def put(k: int) -> StructType:
+        part = makes[k]()
+        part.write.parquet(f"{path}/{k}")
+        return part.schema
+
+    with ThreadPoolExecutor(at_once) as pool:  # threads of the driver, which only start jobs
+        schemas = list(pool.map(lambda x: x[0].run(inheritable_thread_target(spark)(put), x[1]), [(copy_context(), k) for k in range(len(makes))]))
+    out = spark.read.schema(schemas[0]).option("recursiveFileLookup", True).parquet(path)
+    _folder[out] = path
+    return out
+
+
 @contextmanager
 def _owned() -> Iterator[object]:
     """What is written within, by this thread, belongs to the token that it gets."""
