@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cuefold.llm.rows import Rows
-from cuefold.llm.storage import gathered, written
+from cuefold.llm.storage import gathered_together, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HASHES = 2
@@ -31,6 +31,8 @@ BITS_PER_ROW = 16
 #: Of one filter: 4 M words at most, of which about a third hold a repeat by chance, of 16 bytes each.
 MAX_BITS = 1 << 28
 MAX_FOLDERS = 256
+#: Slices that are worked on at once; the broadcasts of so many are held.
+AT_ONCE = 8
 HOT = 64
 MAX_HOT = 20_000
 
@@ -61,7 +63,7 @@ def slices(slim: DataFrame, max_bits: int = MAX_BITS) -> Iterator[tuple[DataFram
     part = F.pmod(F.conv(F.hex(F.substring("sha", 29, 4)), 16, 10).cast("long"), F.lit(n))  # positions use other bytes
     per_folder = -(-n // MAX_FOLDERS)
     dealt = slim.withColumn("slice", part).withColumn("folder", F.floor(F.col("slice") / per_folder).cast("int"))
-    dealt = written(dealt, "slices", by=("folder",))
+    dealt = written(dealt.repartition("slice"), "slices", by=("folder",))  # hashes and ids, so that a task writes few folders
     for k in range(n):
         own = dealt.where((F.col("folder") == k // per_folder) & (F.col("slice") == k))
         yield own.drop("slice", "folder"), -(-n_rows // n)
@@ -126,12 +128,8 @@ def grouped(slim: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     if first is slim:
         return _grouped(slim, n_rows, max_bits)
 
-    def all_parts() -> Iterator[DataFrame]:
-        yield _grouped(first, n_rows, max_bits)
-        for part, n in parts:
-            yield _grouped(part, n, max_bits)
-
-    return gathered(all_parts(), "groups")
+    made = [lambda part=part, n=n: _grouped(part, n, max_bits) for part, n in [(first, n_rows), *parts]]
+    return gathered_together(slim.sparkSession, made, "groups", AT_ONCE)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:

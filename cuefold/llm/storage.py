@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cuefold.storage import gathered, release, scope, settled, shared_dir, written
+from cuefold.storage import gathered, gathered_together, release, scope, settled, shared_dir, written
 
-__all__ = ["gathered", "release", "scope", "settled", "shared_dir", "table", "written"]
+__all__ = ["gathered", "gathered_together", "release", "scope", "settled", "shared_dir", "table", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

