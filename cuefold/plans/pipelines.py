@@ -152,7 +152,7 @@ def convert_reviewed(
     if batch_folder:
         lookup = P.local_lookup(local.where(F.col("folder") == batch_folder).withColumn("live", F.lit(True)))
     else:
-        there = files.listing(spark, f"{processed_dir}/*/audio/*/*.wav") if files._exists(spark, f"{processed_dir}/*/audio/*/*.wav") else spark.createDataFrame([], "path string")
+        there = files.below(spark, processed_dir, "*.wav").where(F.col("path").rlike("/[^/]+/audio/[^/]+/[^/]+$"))
         lookup = P.merge_lookups(P.local_lookup(files.mark_live(local, there)))
     joined = written(P.join_back(rows, lookup, F.lit(f"data\\processed\\{batch_folder or ''}")), "joined")
     coverage = P.in_order(P.coverage(joined))

@@ -90,6 +90,11 @@ def listing(spark: SparkSession, folder: str, extensions: tuple[str, ...] = ())
     return rows.where(ids.suffix(F.col("path")).isin(*extensions)) if extensions else rows
 
 
+def below(spark: SparkSession, root: str, names: str) -> DataFrame:
+    """path and length of the files of such names in all folders below root, which Spark lists in parallel; contents aren't read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", names).load(root).select("path", "length")
+
+
 def videos(spark: SparkSession, folder: str) -> DataFrame:
     """Listing of video files, .mp4 first, then .mkv, then .webm."""
     rank = F.array_position(F.array(*[F.lit(e) for e in ids.VIDEO_EXTENSIONS]), ids.suffix(F.col("path")))
