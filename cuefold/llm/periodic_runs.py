@@ -201,3 +201,23 @@ def run_digests(collapsed: DataFrame) -> DataFrame:
         "doc_id", "n_runs", F.col("best.start").alias("start"), (-F.col("best.less")).alias("length"), F.col("best.period").alias("period"),
         F.expr("-1000 * best.less div best.period").alias("exponent_milli"), F.sha2("listed", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+def oracle(least: int = LEAST) -> str:
+    """The digests in DuckDB, for ids that don't repeat: all pairs of equal words of a document, and stretches of pairs of one distance."""
+    checksum = "xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+    return f"""
+WITH crc AS (SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+h AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w, {checksum} AS h FROM documents, crc),
+a AS (SELECT doc_id, w, len(w) AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN h // 10 % len(w) END AS a FROM h),
+x AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1] END) END AS w FROM a),
+t AS (SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS i FROM x),
+e AS (SELECT r.doc_id, r.i, r.i - l.i AS p FROM t r JOIN t l ON l.doc_id = r.doc_id AND l.word = r.word AND l.i < r.i WHERE 2 * (r.i - l.i) <= r.n),
+s AS (SELECT doc_id, p, i, i - row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS island FROM e),
+stretches AS (SELECT doc_id, p, min(i) - p AS s, count(*) + p AS size FROM s GROUP BY doc_id, p, island HAVING count(*) + p >= greatest({least}, 2 * p)),
+runs AS (SELECT * FROM stretches o WHERE NOT EXISTS (SELECT 1 FROM stretches q WHERE q.doc_id = o.doc_id AND q.p < o.p AND o.p % q.p = 0 AND q.s <= o.s AND q.s + q.size >= o.s + o.size)),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || size || ',' || p || chr(10), '' ORDER BY s, p) AS runs, min({{'less': -size, 's': s, 'p': p}}) AS best FROM runs GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM t WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.doc_id = t.doc_id AND t.i >= r.s + r.p AND t.i < r.s + r.size) GROUP BY doc_id)
+SELECT x.doc_id, coalesce(n_runs, 0) AS n_runs, CAST(best.s AS BIGINT) AS start, CAST(-best.less AS BIGINT) AS length, CAST(best.p AS BIGINT) AS period, CAST(1000 * -best.less // best.p AS BIGINT) AS exponent_milli,
+  sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM x LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)"""

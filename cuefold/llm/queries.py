@@ -94,4 +94,5 @@ ORACLES: dict[str, str] = {
     "op9_exact_top_k": topk.oracle(),
     "op11_embedding_near_dedup": cover_tree.oracle(),
     "op12_conversation_repair": conversation_repair.oracle(),
+    "op13_periodic_runs": periodic_runs.oracle(),
 }
