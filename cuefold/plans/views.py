@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cuefold.operators import signals as G
+from cuefold.storage import written
 
 SALLA, AS, ZWNJ = "ﷺ", "ؑ", "‌"
 
@@ -151,7 +152,7 @@ def long_signals(spark: SparkSession, sf_dir: str, size: int = G.SIZE) -> DataFr
     rows = table(spark, sf_dir, "embeddings").select(F.col("label").cast("string").alias("video"), "vec_id", "embedding")
     end = F.sum(F.size("embedding")).over(Window.partitionBy("video").orderBy("vec_id").rowsBetween(Window.unboundedPreceding, 0))
     pieces = rows.select("video", F.lit(64).alias("rate"), (end - F.size("embedding")).alias("at"), G.pack(F.col("embedding")).alias("samples"))
-    return G.reblocked(pieces, size=size)
+    return written(G.reblocked(pieces, size=size), "blocks")  # read several times
 
 
 LONG_SIGNALS = """long_signals AS (SELECT CAST(label AS VARCHAR) AS video, flatten(list(list_transform(embedding, lambda x: CAST(x AS DOUBLE)) ORDER BY vec_id)) AS s FROM embeddings GROUP BY label)"""
