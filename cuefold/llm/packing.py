@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from cuefold.llm.batches import map_batches
 from cuefold.llm.storage import written
-from cuefold.llm.word_ids import END_ID, VOCABULARY
+from cuefold.llm.word_ids import CACHED, END_ID, VOCABULARY
 
 CAPACITY = 4096
 SHARD = 8192
@@ -150,8 +150,8 @@ def pack_lengths(lengths: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
     return np.unique(bins.bin_of, return_inverse=True)[1].astype(np.int64)
 
 
-def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, capacity: int = CAPACITY) -> DataFrame:
-    """doc_id, piece, start, length and ids_crc32 of every piece."""
+def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, capacity: int = CAPACITY, cached: int = CACHED) -> DataFrame:
+    """doc_id, piece, start, length and ids_crc32 of every piece. `cached` words stay in each worker's memory."""
     slim = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").cast("binary").alias("text"))
     kind = slim.schema["doc_id"].dataType.simpleString()
     end = int(END_ID).to_bytes(4, "little")
@@ -161,7 +161,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from cuefold.llm.word_ids import encoder
 
-        words = encoder(vocabulary)
+        words = encoder(vocabulary, cached)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -214,8 +214,8 @@ def pack(found: DataFrame, capacity: int = CAPACITY, shard: int = SHARD, relay:
     return short.join(places, "rid").drop("rid").unionByName(own)
 
 
-def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, capacity: int = CAPACITY, cached: int = CACHED) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack(pieces(docs, id_col, text_col, vocabulary, capacity), capacity).select(
+    return pack(pieces(docs, id_col, text_col, vocabulary, capacity, cached), capacity).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )

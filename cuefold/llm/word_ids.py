@@ -14,6 +14,7 @@ import regex
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
+#: Words that a worker keeps, of about 190 bytes each.
 CACHED = 700_000
 LONGEST_CACHED = 48
 
@@ -22,7 +23,7 @@ _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N
 
 
 class WordEncoder:
-    def __init__(self, vocabulary: str = VOCABULARY):
+    def __init__(self, vocabulary: str = VOCABULARY, cached: int = CACHED):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(public_tokenizers.path(vocabulary))
@@ -33,6 +34,7 @@ class WordEncoder:
         rest = [b for b in range(256) if b not in plain]
         self.spelling = {b: 256 + i for i, b in enumerate(rest)}
         self.words: dict[bytes, bytes] = {}
+        self.cached = cached
 
     def _piece(self, piece: str) -> bytes:
         raw = piece.encode()
@@ -45,7 +47,7 @@ class WordEncoder:
 
     def _keep(self, word: bytes, ids: bytes) -> None:
         if len(word) <= LONGEST_CACHED:
-            if len(self.words) >= CACHED:
+            if len(self.words) >= self.cached:
                 self.words.clear()
             self.words[word] = ids
 
@@ -79,11 +81,12 @@ class WordEncoder:
         return b"".join([known(w) or one(w) for w in text.lower().split()])
 
 
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[tuple[str, int], WordEncoder] = {}
 
 
-def encoder(vocabulary: str = VOCABULARY) -> WordEncoder:
+def encoder(vocabulary: str = VOCABULARY, cached: int = CACHED) -> WordEncoder:
     """This worker's encoder; later tasks find its cache filled."""
-    if vocabulary not in _encoders:
-        _encoders[vocabulary] = WordEncoder(vocabulary)
-    return _encoders[vocabulary]
+    key = vocabulary, cached
+    if key not in _encoders:
+        _encoders[key] = WordEncoder(vocabulary, cached)
+    return _encoders[key]
