@@ -18,7 +18,9 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,8 +29,8 @@ from cuefold.batches import bounded
 from cuefold.storage import written
 
 _TOKENS = re.compile(r'\\.|"', re.DOTALL)
-_MARKS = re.compile(r'"(?:[^"\\]|\\.)*"?|[\[\]{},]', re.DOTALL)
-_REST = re.compile(r'(?:[^"\\]|\\.)*"?', re.DOTALL)
+_MARKS = re.compile(r'"[^"\\]*(?:\\.[^"\\]*)*"?|[\[\]{},]', re.DOTALL)
+_REST = re.compile(r'[^"\\]*(?:\\.[^"\\]*)*"?', re.DOTALL)
 _OPEN, _CLOSE = "[{", "]}"
 
 
@@ -38,6 +40,18 @@ def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
 
 
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, str, int, str]]:
+    """Row, file, start and text of each run of a batch's rows that belong to one range, braces put back between its pieces."""
+    if not batch.num_rows:
+        return
+    differ = np.zeros(batch.num_rows - 1, bool)
+    for column in batch.columns[:2]:
+        differ |= pc.not_equal(column.slice(1), column.slice(0, batch.num_rows - 1)).to_numpy(zero_copy_only=False)
+    cuts = [0, *(np.flatnonzero(differ) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        yield a, batch.column(0)[a].as_py(), batch.column(1)[a].as_py(), "}".join(batch.column(2).slice(a, b - a).to_pylist())
+
+
 class _Effect:
     """What a range of text does to a lexer, for both states that it may start in: outside of a string (0) and in one (1)."""
 
@@ -83,13 +97,12 @@ def _effects(pieces: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays(found, ["file", "start", "turned", "depth0", "commas0", "depth1", "commas1"])
 
         for batch in batches:
-            for file, start, value in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if (file, start) != at:
+            for _, file, start, text in _texts(batch):
+                begins = (file, start) != at
+                if begins:
                     at, effect = (file, start), _Effect()
                     out.append((at, effect))
-                    effect.pass_(value if not start else "}" + value)
-                else:
-                    effect.pass_("}" + value)
+                effect.pass_(text if begins and not start else "}" + text)
         if out:
             yield table()
 
@@ -178,17 +191,16 @@ def _elements(pieces: DataFrame, entries: DataFrame) -> DataFrame:
 
         for batch in batches:
             rows: list[tuple] = []
-            for file, start, value, quoted, depth, before in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if (file, start) != at:
+            for k, file, start, text in _texts(batch):
+                begins = (file, start) != at
+                if begins:
                     if at:
                         rows += [(*at, *e) for e in cutter.rest()]
+                    quoted, depth, before = (batch.column(c)[k].as_py() for c in (3, 4, 5))
                     if quoted is None:
                         raise ValueError(f"{file} was read in other ranges than before: its size or the session's settings have changed; read it again")
                     at, cutter = (file, start), _Cutter(quoted, depth, before)
-                    value = value if not start else "}" + value
-                else:
-                    value = "}" + value
-                rows += [(*at, *e) for e in cutter.pass_(value)]
+                rows += [(*at, *e) for e in cutter.pass_(text if begins and not start else "}" + text)]
             if rows:
                 yield table(rows)
         if at and (rows := [(*at, *e) for e in cutter.rest()]):
