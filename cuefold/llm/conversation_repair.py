@@ -324,13 +324,13 @@ def repair(
     """conv_id, segment, n_segments, the report's gaps, blank, duplicate, truncated, illegal and cost, audit and repaired (the turns as role:text by lines).
 
     A conversation has one row, or one for each segment if it is longer than `segment` rows: its counts are the sums, its audit
-    the segments' one after the other. Rows whose `present_col` is false only name their conversation; equal rows are ordered by `copy_col`."""
+    the segments' one after the other. Rows whose `present_col` is false or null only name their conversation; equal rows are ordered by `copy_col`."""
     space = lambda c: F.coalesce(rows[c].cast("string"), F.lit(" "))
     copy = rows[copy_col].cast("int") if copy_col else F.lit(0)
-    present = rows[present_col] if present_col else F.lit(True)
+    present = F.coalesce(rows[present_col], F.lit(False)) if present_col else F.lit(True)
     slim = rows.select(rows[conv_col].alias("conv_id"), present.alias("present"), rows[turn_col].cast("long").alias("turn"), space(role_col).alias("role"), space(text_col).alias("text"), copy.alias("copy"))
     kind = slim.schema["conv_id"].dataType.simpleString()
-    sizes = written(slim.groupBy("conv_id").agg(F.count("*").alias("n")).where(F.col("n") > segment), "long")
+    sizes = written(slim.where("present").groupBy("conv_id").agg(F.count("*").alias("n")).where(F.col("n") > segment), "long")
     n_long, n_rows = sizes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     if n_long > MAX_LONG:
         segment = max(segment, n_rows // MAX_LONG)

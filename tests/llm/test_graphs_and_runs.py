@@ -168,6 +168,10 @@ def test_repair_of_nothing_and_of_dropped_rows(spark):
     none = spark.createDataFrame([], CHAT)
     assert repair.repair_digests(repair.repair(none)).collect() == []
     df = spark.createDataFrame([(1, 0, "user", "a", 0, False), (2, 0, "user", "Hi.", 0, True)], "conv_id string, turn int, role string, text string, copy int, present boolean")
+    for segment in (4096, 1):  # many rows that are not there don't make a conversation long
+        gone = spark.range(5).selectExpr("'3' AS conv_id", "cast(id AS int) AS turn", "'user' AS role", "'x' AS text", "0 AS copy", "cast(null AS boolean) AS present")
+        rows = repair.repair_digests(repair.repair(df.unionByName(gone), copy_col="copy", present_col="present", segment=segment)).collect()
+        assert sorted((r.conv_id, r.audit) for r in rows) == [("1", ""), ("2", "KI"), ("3", "")]
     got = {r.conv_id: r for r in repair.repair_digests(repair.repair(df, copy_col="copy", present_col="present")).collect()}
     empty = hashlib.sha256(b"").hexdigest()
     assert tuple(got["1"])[1:] == (0, 0, 0, 0, 0, 0, "", empty)
