@@ -15,7 +15,7 @@ def ranked_groups(rows: DataFrame, group: str, rich: Column, pos: str = "pos") -
     sums = sums.withColumn("fraction", F.col("rich") / F.col("n"))
     order = [F.desc("fraction"), F.desc("rich"), F.desc("n"), F.asc("first")]
     ranked = scanned(sums, [], order, {"rank": ("sum", F.lit(1), True), "before": ("sum", F.col("n"), False)})
-    n_groups, total = sums.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    n_groups, total = ranked.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     return ranked.withColumns({"rank": F.col("rank").cast("int"), "before": F.coalesce("before", F.lit(0)), "n_groups": F.lit(n_groups), "total": F.lit(total)})
 
 
