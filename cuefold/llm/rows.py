@@ -71,7 +71,8 @@ class Rows:
 
 def of_hot_keys(rows: DataFrame, table: DataFrame, key: str, least: int) -> DataFrame:
     """rows joined to the one row of `table` for their key. `table` has n, the rows of a key: keys of `least` rows
-    or more, of which there are (all rows) / least at most, meet a broadcast, so that no task gathers one."""
+    or more, of which there are (all rows) / least at most, meet a broadcast, so that no task gathers one. The others grow
+    with the table and meet a merge, whatever the size of its files."""
     hot = F.broadcast(table.where(F.col("n") >= least))
     cold = rows.join(F.broadcast(table.where(F.col("n") >= least).select(key)), key, "left_anti")
-    return rows.join(hot, key).unionByName(cold.join(table.where(F.col("n") < least), key))
+    return rows.join(hot, key).unionByName(cold.join(table.where(F.col("n") < least).hint("merge"), key))

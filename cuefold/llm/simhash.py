@@ -12,7 +12,8 @@ every node joins the neighbour of least random priority, edges are renamed, and
 until no edge is left.
 
 Copies share a fingerprint and never meet in a join among themselves; fingerprints and components of many rows
-are broadcast as one row each. Texts are lower-cased in A-Z; words are runs of characters other than \\x20 and
+are broadcast as one row each. The other joins are merges (`hint("merge")`): Spark takes an exploded table for no larger than
+its file and would broadcast it through the driver. Texts are lower-cased in A-Z; words are runs of characters other than \\x20 and
 \\x09-\\x0D. Fewer words than a shingle has are one shingle; no words (null and empty texts too) give fingerprint
 0, which is linked like any other. Rows that repeat an id have fingerprints of their own; a null doc_id is never
 a component's id unless all of its are null.
@@ -98,15 +99,15 @@ def candidates(distinct: DataFrame, full: int = FULL, max_full: int = MAX_FULL)
     least = max(full, 2 * distinct.count() // max_full)
     crowded = written(index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > least).select("key"), "full")
     if crowded.isEmpty():
-        return probes.withColumnRenamed("fp", "a").join(index.select(F.col("fp").alias("b"), "key"), "key").where(once).select("a", "b")
+        return probes.withColumnRenamed("fp", "a").join(index.select(F.col("fp").alias("b"), "key").hint("merge"), "key").where(once).select("a", "b")
     few = F.broadcast(crowded)  # max_full keys at most
-    plain = probes.join(few, "key", "left_anti").withColumnRenamed("fp", "a").join(index.join(few, "key", "left_anti").select(F.col("fp").alias("b"), "key"), "key")
+    plain = probes.join(few, "key", "left_anti").withColumnRenamed("fp", "a").join(index.join(few, "key", "left_anti").select(F.col("fp").alias("b"), "key").hint("merge"), "key")
     part = lambda j, flip: F.shiftright(F.col("rest").bitwiseXOR(flip), 16 * j).bitwiseAND(F.lit(0xFFFF)).bitwiseOR(F.lit(j << 16))
     nothing = F.lit(0).cast("long")
     second = index.join(few, "key", "left_semi").select(F.col("fp").alias("b"), "key", F.explode(F.array(*[part(j, nothing) for j in range(2)])).alias("part"))
     asked = probes.join(few, "key", "left_semi").select(F.col("fp").alias("a"), "rest", "key", "same", F.explode(_ball(16)).alias("turn"))
     asked = asked.select("a", "key", "same", F.explode(F.array(*[part(j, F.col("turn") * (1 << 16 * j)) for j in range(2)])).alias("part"))
-    return plain.where(once).select("a", "b").unionByName(asked.join(second, ["key", "part"]).where(once).select("a", "b"))
+    return plain.where(once).select("a", "b").unionByName(asked.join(second.hint("merge"), ["key", "part"]).where(once).select("a", "b"))
 
 
 def links(distinct: DataFrame, distance: int = DISTANCE, full: int = FULL) -> DataFrame:
@@ -126,7 +127,7 @@ def components(edges: DataFrame) -> DataFrame:
         priority = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(len(steps))).alias("p"), F.col(c).alias("v"))
         least = both.groupBy(F.col("a").alias("v")).agg(F.min(priority("b")).alias("least"))
         joined = written(least.select("v", F.least(priority("v"), F.col("least"))["v"].alias("to")), "joined")
-        to = lambda c: joined.select(F.col("v").alias(c), F.col("to").alias(f"to_{c}"))  # noqa: E731, B023
+        to = lambda c: joined.select(F.col("v").alias(c), F.col("to").alias(f"to_{c}")).hint("merge")  # noqa: E731, B023
         renamed = edges.join(to("a"), "a").join(to("b"), "b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b")).where("a <> b")
         edges = written(renamed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
         steps.append(joined)
@@ -137,7 +138,7 @@ def components(edges: DataFrame) -> DataFrame:
             ends = joined.select(F.col("v").alias("node"), F.col("to").alias("root"))
             continue
         later = ends.withColumnsRenamed({"node": "to", "root": "_root"})
-        ends = joined.join(later, "to", "left").select(F.col("v").alias("node"), F.coalesce("_root", "to").alias("root"))
+        ends = joined.join(later.hint("merge"), "to", "left").select(F.col("v").alias("node"), F.coalesce("_root", "to").alias("root"))
     return nodes.withColumn("root", F.col("node")) if ends is None else written(ends, "roots")
 
 
@@ -147,10 +148,10 @@ def firsts(found: DataFrame, order: Column, distance: int = DISTANCE) -> tuple[D
     own = written(found.groupBy("fp").agg(F.min(order).alias("own"), F.count("*").alias("n")), "distinct")
     n_rows, n_distinct = own.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     edges = written(links(own, distance), "links")
-    linked = written(own.drop("n").join(components(edges).withColumnRenamed("node", "fp"), "fp"), "linked")
+    linked = written(own.drop("n").join(components(edges).withColumnRenamed("node", "fp").hint("merge"), "fp"), "linked")
     least = written(linked.groupBy("root").agg(F.min("own").alias("least"), F.count("*").alias("n")), "least")
     named = of_hot_keys(linked.select("fp", "root"), least, "root", max(HOT, n_distinct // MAX_HOT)).select("fp", "least")
-    return written(own.join(named, "fp", "left").select("fp", F.coalesce("least", "own").alias("first"), "n"), "named"), max(HOT, n_rows // MAX_HOT)
+    return written(own.join(named.hint("merge"), "fp", "left").select("fp", F.coalesce("least", "own").alias("first"), "n"), "named"), max(HOT, n_rows // MAX_HOT)
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:

@@ -263,6 +263,21 @@ def test_near_copies_without_ids_and_with_repeated_ids(spark):
     assert simhash.drop_near_copies(frame(spark, [])).count() == 0
 
 
+def test_tables_that_grow_are_not_broadcast(spark):
+    """A small file of fingerprints is 34 times as many probes; Spark's estimate of these is the file's size."""
+    r = random.Random(5)
+    rows = spark.createDataFrame([(r.getrandbits(63), k, 1) for k in range(2_000)], "fp long, first long, n long")
+    table = written(rows, "distinct")
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    plan = plan_of(simhash.candidates(table))
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan, plan
+    plan = plan_of(rows_of.of_hot_keys(table.select("fp"), table, "fp", 1 << 30))
+    assert plan.count("SortMergeJoin") == 1, plan  # the keys that aren't hot
+    crowded = spark.createDataFrame([((k << 32) | 9,) for k in range(200)], "fp long")
+    plan = plan_of(simhash.candidates(crowded))
+    assert plan.count("SortMergeJoin") == 2, plan
+
+
 def test_links_and_components_of_chains(spark):
     """Links at every distance up to 3 are found, and a long chain is one component."""
     r = random.Random(3)
