@@ -39,16 +39,20 @@ def youtube_id(path: Column) -> Column:
     return F.when(found != "", found)
 
 
-def video_id(path: Column, index: Column) -> Column:
-    """label_id where the id follows nothing but an episode label; else vidNNNN, with the id if there is one."""
+def video_name(path: Column, numbered: Column) -> Column:
+    """label_id where the id follows nothing but an episode label; else `numbered`, with the id if there is one."""
     found, base = youtube_id(path), stem(path)
     # the id may occur again further right: what stands before its last occurrence counts
     at = F.length(base) - F.length(found) - F.instr(F.reverse(base), F.reverse(found)) + 1
     label = F.regexp_replace(base.substr(F.lit(1), at), "_+$", "")
-    numbered = F.format_string("vid%04d", index.cast("int"))
     return F.when(found.isNull(), numbered).when(label.rlike(LABEL), F.concat_ws("_", label, found)).otherwise(F.concat_ws("_", numbered, found))
 
 
+def video_id(path: Column, index: Column) -> Column:
+    """video_name with vidNNNN; an index of more than four digits stays whole."""
+    return video_name(path, F.format_string("vid%04d", index.cast("long")))
+
+
 def natural_key(path: Column) -> Column:
     """Sorts digits by value and the rest by lower case. A name's runs are marked so that digits and letters compare as lists do.
 

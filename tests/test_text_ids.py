@@ -1,7 +1,11 @@
 from pyspark.sql import functions as F
 
+import compare
 from cuefold.functions import ids
 from cuefold.functions import text as T
+from cuefold.plans.catalogue import ORACLES, QUERIES
+
+SF = "/root/testdata/sf0.001"
 
 
 def one(spark, value, column, kind="string"):
@@ -72,6 +76,22 @@ def test_video_ids(spark):
         assert one(spark, path, lambda c, i=index: ids.video_id(c, F.lit(i))) == want
 
 
+def test_video_ids_of_large_numbers(spark):
+    assert one(spark, "a.mp3", lambda c: ids.video_id(c, F.lit(12345))) == "vid12345"
+    assert one(spark, "a.mp3", lambda c: ids.video_id(c, F.lit(1 << 40))) == f"vid{1 << 40}"
+
+
+def test_video_id_query_agrees_with_sql_on_large_numbers(spark, tmp_path):
+    for t in compare.TABLES:
+        if t != "pages":
+            (tmp_path / f"{t}.parquet").symlink_to(f"{SF}/{t}.parquet")
+    pages = [(k,) for at in (0, 9_990, 100_000, 1 << 40) for k in range(at, at + 20)] + [(-5,), (-12_345,), (None,)]
+    spark.createDataFrame(pages, "page_id long").coalesce(1).write.parquet(str(tmp_path / "made"))
+    next((tmp_path / "made").glob("part-*")).rename(tmp_path / "pages.parquet")
+    ours, theirs = compare.both(spark, QUERIES["video_id"], ORACLES["video_id"], str(tmp_path))
+    assert ours == theirs
+
+
 def test_natural_order(spark):
     names = ["EP10_a", "EP2_b", "ep1_c", "1x", "a", "a1"]
     got = [r.x for r in spark.createDataFrame([(n,) for n in names], "x string").orderBy(ids.natural_key(F.col("x"))).collect()]
