@@ -73,8 +73,11 @@ def normalise(df: DataFrame, text_col: str = "transcript", rules=RULES) -> DataF
     """df with `hits` (a count for each rule), `changed`, and the text rewritten where a rule fired.
 
     Each rule sees the result of the one before. Runs of spaces collapse last. A text that no rule
-    touches stays as it is, spaces too; null stays null. Columns of those names in df raise."""
-    free(df, "hits", "changed", *[f"_{x}{k}" for x in "nt" for k in range(len(rules))])
+    touches stays as it is, spaces too; null stays null. Columns of those names in df raise.
+
+    The results pass an explode of one element: Spark pushes a later filter below columns, and as each step reads the one
+    before more than once, it would compute the first of them a hundred times in the filter alone."""
+    free(df, "hits", "changed", "_row", *[f"_{x}{k}" for x in "nt" for k in range(len(rules))])
     out, at, counts = df, text_col, []
     for k, (_, pattern, replacement) in enumerate(rules):  # one column for each step, so that none is computed twice
         out = out.withColumn(f"_t{k}", _rewritten(F.col(at), pattern, replacement))
@@ -83,9 +86,11 @@ def normalise(df: DataFrame, text_col: str = "transcript", rules=RULES) -> DataF
     out = out.withColumns({f"_n{k}": n for k, n in enumerate(counts)})
     counts = [F.col(f"_n{k}") for k in range(len(rules))]
     fired = F.greatest(*counts, F.lit(0), F.lit(0)) > 0
-    out = out.withColumn("hits", F.array(*counts)).withColumn("changed", fired)
-    out = out.withColumn(text_col, F.when(F.col("changed"), strip(_single_spaced(F.col(at)))).otherwise(F.col(text_col)))
-    return out.drop(*[f"_{x}{k}" for x in "nt" for k in range(len(rules))])
+    out = out.withColumn("changed", fired)
+    text = F.when(F.col("changed"), strip(_single_spaced(F.col(at)))).otherwise(F.col(text_col))
+    row = F.struct(F.array(*counts).alias("hits"), F.col("changed"), text.alias("text"))
+    out = out.select("*", F.explode(F.array(row)).alias("_row")).drop("changed", *[f"_{x}{k}" for x in "nt" for k in range(len(rules))])
+    return out.withColumn("hits", F.col("_row.hits")).withColumn("changed", F.col("_row.changed")).withColumn(text_col, F.col("_row.text")).drop("_row")
 
 
 def rule_totals(normalised: DataFrame, rules=RULES) -> DataFrame:

@@ -34,6 +34,13 @@ def test_rule_totals_and_log(spark):
     assert {r.pos: list(r.rules) for r in T.changed_log(df).collect()} == {0: ["space before full stop x2"], 2: ["space before full stop x1", "no space after comma x1"]}
 
 
+def test_rules_are_computed_once_when_rows_are_filtered(spark):
+    df = spark.range(2).select(F.col("id").alias("pos"), F.concat(F.lit("a ۔ b"), F.col("id")).alias("transcript"))
+    for rows in (T.changed_log(df), T.normalise(df).where("hits[5] > 1")):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_replace") == 3 and not any("regexp" in x for x in plan.splitlines() if "Filter" in x), plan
+
+
 def test_valid_transcript(spark):
     for text, ok in ((None, False), (" ", False), (" a ", False), ("ab", True), ("a" * 500, True), ("a" * 501, False), (" a ", False)):
         assert one(spark, text, T.valid_transcript) is ok
