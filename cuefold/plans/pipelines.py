@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cuefold.batches import bounded
 from cuefold.functions import ids
 from cuefold.functions import text as T
 from cuefold.operators import cues as C
@@ -167,7 +168,7 @@ def convert_reviewed(
 def fix_lexicon(spark: SparkSession, path: str, output: str, pairs: list[tuple[str, str]]) -> tuple[DataFrame, int]:
     """The manifest with literal replacements, written to output, and the number of changed rows."""
     rows = written(files.manifest(spark, path), "manifest")  # the output may be the input
-    fixed = rows.withColumn("_fixed", T.replace_chain(F.col("transcript"), pairs))
+    fixed = bounded(rows).withColumn("_fixed", T.replace_chain(F.col("transcript"), pairs))
     changed = fixed.where(F.col("_fixed") != F.col("transcript")).count()
     out = fixed.withColumn("transcript", F.col("_fixed")).drop("_fixed")
     sinks.manifest(out, output)

@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from cuefold import __main__ as cli
+from cuefold import batches
 from cuefold.functions import replacements
 from cuefold.operators import metrics as M
 from cuefold.plans import pipelines
+from cuefold.plans.catalogue import QUERIES
 from cuefold.sources import sinks
 
 
@@ -40,6 +42,21 @@ def test_chains_of_columns(spark, n):
     assert got == [None if t is None else plain(t, pairs) for t in texts]
 
 
+def test_batches_of_chains_are_bounded_by_bytes(spark):
+    """The query sets the bound, and it holds for column functions."""
+    before = spark.conf.get(batches.LIMIT, None)
+    try:
+        spark.conf.unset(batches.LIMIT)
+        QUERIES["lexicon_replace_chain"](spark, "/root/testdata/sf0.001")
+        assert spark.conf.get(batches.LIMIT, None) is not None
+        rows_of = F.pandas_udf(lambda texts: texts * 0 + len(texts), "long")
+        long_ = spark.range(64, numPartitions=1).select("id", F.repeat(F.lit("x"), 1 << 20).alias("t"))
+        most = long_.select(rows_of("id").alias("n"), F.pandas_udf(lambda t: t.str.len() * 0 + len(t), "long")("t").alias("m")).agg(F.max("n"), F.max("m")).first()
+        assert max(most) <= 9
+    finally:
+        spark.conf.unset(batches.LIMIT) if before is None else spark.conf.set(batches.LIMIT, before)
+
+
 def test_first_difference(spark):
     rng = random.Random(4)
     base = [(i, f"s{i % 50}") for i in range(700)]
