@@ -169,3 +169,21 @@ def test_late_rows_are_dropped_and_numbers_go_on(spark, tmp_path):
     u = ("u", 0, 100, 120, 4)  # 118 comes in time and joins two sessions
     assert run("b", [("w", 200), ("u", 118)]) == [u, v]
     assert run("c", [("u", 130), ("u", 300), ("w", 400)]) == [u, ("u", 1, 300, 300, 1), v, ("w", 0, 200, 200, 1)]  # 130 is late
+
+
+def test_keys_share_groups(spark, tmp_path):
+    """State rows, and so calls, are as many as buckets, not as keys; null and large keys keep their values."""
+    keys = [None, (1 << 60) + 1, (1 << 60) + 2, -3, *range(500)]
+    rows = [(k, 1_000_000 * s) for i, k in enumerate(keys) for s in (5, 12, 40 + i % 3, 51)]
+    spark.createDataFrame(rows, "user long, at long").repartition(3).write.parquet(str(tmp_path / "in" / "a"))
+    stream = spark.readStream.schema("user long, at long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "*"))
+    at = F.timestamp_micros("at")
+    out = sessions.session_stream(stream, "user", at, at, 10, "100 seconds", buckets=8)
+    run = lambda: out.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    query = run()
+    query.awaitTermination()
+    assert max(op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]) == 8
+    spark.createDataFrame([(-9, 10_000_000_000)], "user long, at long").write.parquet(str(tmp_path / "in" / "z"))
+    run().awaitTermination()
+    got = sorted(((r.user, r.session, r.start_us // 1_000_000, r.end_us // 1_000_000, r.n) for r in spark.read.parquet(str(tmp_path / "out")).collect()), key=repr)
+    assert got == sorted([x for i, k in enumerate(keys) for x in ((k, 0, 5, 12, 2), *([(k, 1, 40 + i % 3, 51, 2)] if i % 3 else [(k, 1, 40, 40, 1), (k, 2, 51, 51, 1)]))], key=repr)
