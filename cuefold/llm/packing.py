@@ -211,7 +211,7 @@ def pack(found: DataFrame, capacity: int = CAPACITY, shard: int = SHARD, relay:
     again = first.where("open").select("rid", "length", F.expr(f"shard div {relay}").alias("shard")).groupBy("shard")
     again = again.applyInPandas(_packer(capacity, False), schema).withColumn("sequence_id", F.col("sequence_id") + F.lit(1 << 60))
     places = first.where("not open").unionByName(again).select("rid", "sequence_id", "offset")
-    return short.join(places, "rid").drop("rid").unionByName(own)
+    return short.join(places.hint("merge"), "rid").drop("rid").unionByName(own)  # a row a piece, of which the files tell too little
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY, capacity: int = CAPACITY, cached: int = CACHED) -> DataFrame:

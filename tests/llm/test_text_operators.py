@@ -198,6 +198,13 @@ def test_packing_query(spark):
     assert used <= -(-sum(map(len, ids.values())) // 4096) + 1
 
 
+def test_places_of_pieces_are_not_broadcast(spark):
+    """There is a place for each piece, in files that are far smaller than what a broadcast of them holds."""
+    found = spark.range(500).select(F.col("id").alias("doc_id"), (F.col("id") % 900 + 1).alias("length"))
+    plan = packing.pack(found)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan, plan
+
+
 def test_packing_edges_and_shards(spark):
     ids = dict(enumerate(ids_of(EDGES)))
     check_packing(packing.pack_documents(docs_of(spark, EDGES)).collect(), ids)
